@@ -1,15 +1,15 @@
 """Column builders: built-in expressions only."""
 
 from .attributes import any_attr_le, attr, center_or_point, fallback
-from .geometry import bbox, edge_list, even_odd, parse_rings, rings_intersect
+from .geometry import bbox, box_of, edge_list, even_odd, parse_rings, rings_of
 from .temporal import day_label, instant, local_date, month_label
 from .text import (
     extract_category, head_segment, identifier, json_text, level, normalise, strip,
 )
 
 __all__ = [
-    "any_attr_le", "attr", "bbox", "center_or_point", "day_label", "edge_list",
+    "any_attr_le", "attr", "bbox", "box_of", "center_or_point", "day_label", "edge_list",
     "even_odd", "extract_category", "fallback", "head_segment", "identifier",
     "instant", "json_text", "level", "local_date", "month_label", "normalise",
-    "parse_rings", "rings_intersect", "strip",
+    "parse_rings", "rings_of", "strip",
 ]

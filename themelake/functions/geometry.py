@@ -8,7 +8,7 @@ share an edge then compute the same crossing for it, bit by bit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .text import _col
@@ -82,7 +82,7 @@ def _side(ax, ay, bx, by, px, py) -> Column:
     return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
 
-def _segments_meet(e: Column, f: Column) -> Column:
+def segments_meet(e: Column, f: Column) -> Column:
     """Closed segments share a point; touching counts."""
     near = (
         (F.least(e["x1"], e["x2"]) <= F.greatest(f["x1"], f["x2"]))
@@ -100,11 +100,26 @@ def _segments_meet(e: Column, f: Column) -> Column:
     return near & e_splits & f_splits
 
 
-def rings_intersect(a: Column | str, b: Column | str) -> Column:
-    """Do two polygons share a point? Edges meet, or one holds a ring of the other."""
-    a, b = _col(a), _col(b)
-    a_edges, b_edges = edge_list(a), edge_list(b)
-    edges_meet = F.exists(a_edges, lambda e: F.exists(b_edges, lambda f: _segments_meet(e, f)))
-    a_in_b = F.exists(a, lambda r: even_odd(b_edges, r[0]["x"], r[0]["y"]))
-    b_in_a = F.exists(b, lambda r: even_odd(a_edges, r[0]["x"], r[0]["y"]))
-    return edges_meet | a_in_b | b_in_a
+def literal_edges(rings: list[list[tuple[float, float]]]) -> Column:
+    """The edges of a polygon known beforehand, as a constant."""
+    pairs = [(p, q) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1])]
+    low_high = [(p, q) if p[1] <= q[1] else (q, p) for p, q in pairs]
+    return F.array(*[
+        F.struct(
+            F.lit(p[0]).alias("x1"), F.lit(p[1]).alias("y1"), F.lit(q[0]).alias("x2"), F.lit(q[1]).alias("y2")
+        )
+        for p, q in low_high
+    ])
+
+
+def rings_of(spark: SparkSession, wkt: str) -> list[list[tuple[float, float]]]:
+    """Rings of one polygon text, read once instead of for every row."""
+    rings = spark.range(1).select(parse_rings(F.lit(wkt)).alias("rings")).first()["rings"]
+    return [[(p["x"], p["y"]) for p in ring] for ring in rings]
+
+
+def box_of(rings: list[list[tuple[float, float]]]) -> tuple[float, float, float, float]:
+    """(south, west, north, east)."""
+    xs = [x for ring in rings for x, _ in ring]
+    ys = [y for ring in rings for _, y in ring]
+    return min(ys), min(xs), max(ys), max(xs)

@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from .assets import asset_patterns, outcomes, select_assets
-from .columns import flatten, keep, lead_columns, standardise_names
+from .columns import computed_once, flatten, keep, lead_columns, standardise_names
 from .filters import (
     any_attribute_le, complete, in_bbox, in_window, intersects_aoi, name_filter, prefix, tagged,
 )
@@ -11,14 +11,14 @@ from .products import product_columns
 from .ranking import latest_n, page
 from .reshape import collapse, count_distinct, counts, distinct_sorted, pivot_mean, stack
 from .spines import expand_daily, month_spine, trailing_days, window_bounds
-from .zonal import point_in_zone, suggest_cell, zonal_stats, zone_cells
+from .zonal import point_in_zone, summarise_zones, zonal_stats, zone_cells
 
 __all__ = [
-    "any_attribute_le", "asset_patterns", "collapse", "complete", "count_distinct", "counts",
+    "any_attribute_le", "asset_patterns", "collapse", "complete", "computed_once", "count_distinct", "counts",
     "distinct_sorted", "expand_daily", "flatten", "in_bbox", "in_window", "intersects_aoi",
     "join", "keep", "latest_n", "lead_columns", "lookup", "month_spine", "name_filter",
     "needs_refresh", "outcomes", "page", "pivot_mean", "point_in_zone", "prefix",
     "product_columns", "restrict", "select_assets", "stack", "standardise_names",
-    "suggest_cell", "tagged", "trailing_days", "unmatched", "upsert", "window_bounds",
+    "summarise_zones", "tagged", "trailing_days", "unmatched", "upsert", "window_bounds",
     "zonal_stats", "zone_cells",
 ]

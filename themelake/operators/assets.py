@@ -21,9 +21,18 @@ def asset_patterns(mode: str, bands: list[str] | None = None, collection: str =
 
 
 def glob_regex(globs: list[str]) -> str:
-    """One regex for any of the globs; ``*`` also crosses ``/``."""
+    """One regex for any of the globs; ``*`` also crosses ``/``.
+
+    Each part is taken where it first occurs and never given back: with ``*``
+    alone an earlier place is as good as any, and matching stays linear.
+    """
+
     def one(glob: str) -> str:
-        return ".*".join(re.escape(part) for part in re.split(r"\*+", glob))
+        first, *rest = [re.escape(part) for part in re.split(r"\*+", glob)]
+        if not rest:
+            return first
+        *middle, last = rest
+        return first + "".join(f"(?>.*?{part})" for part in middle) + ".*" + last
 
     return r"(?s)\A(?:" + "|".join(one(g) for g in globs) + r")\z"
 

@@ -30,6 +30,15 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     )
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Further columns, each computed once per row.
+
+    Filters on them are not pushed below a generator, so they read the computed
+    column where they would otherwise repeat its expression.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def lead_columns(df: DataFrame, names: Iterable[str] = LEAD_COLUMNS) -> DataFrame:
     """The listed columns that exist come first, the others follow in order."""
     first = [c for c in names if c in df.columns]

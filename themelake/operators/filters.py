@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import SENTINEL_2, STATION_RULES
-from ..functions import any_attr_le, bbox, parse_rings, rings_intersect
+from ..functions import any_attr_le, bbox, box_of, edge_list, even_odd, rings_of
 from ..functions.attributes import tagged_as
+from ..functions.geometry import literal_edges, segments_meet
+from .columns import computed_once
 
 
 def _literal_like(df: DataFrame, column: str, at: datetime) -> Column:
@@ -53,15 +55,22 @@ def in_window(
 def intersects_aoi(df: DataFrame, rings: str, wkt: str) -> DataFrame:
     """Footprints that share a point with a polygon; touching counts.
 
-    A box comparison rejects most footprints before any edge is looked at.
+    A box comparison rejects most footprints before any edge is looked at. The
+    rest meet an edge, lie inside, or hold a ring of the area.
     """
-    aoi = parse_rings(F.lit(wkt))
-    box, own = bbox(aoi), bbox(rings)
-    near = (
-        (own["west"] <= box["east"]) & (own["east"] >= box["west"])
-        & (own["south"] <= box["north"]) & (own["north"] >= box["south"])
+    aoi = rings_of(df.sparkSession, wkt)
+    south, west, north, east = box_of(aoi)
+    aoi_edges = literal_edges(aoi)
+    near = computed_once(df, _box=bbox(rings)).where(
+        (F.col("_box.west") <= east) & (F.col("_box.east") >= west)
+        & (F.col("_box.south") <= north) & (F.col("_box.north") >= south)
     )
-    return df.where(near).where(rings_intersect(rings, aoi))
+    edged = computed_once(near, _edges=edge_list(rings))
+    inside = F.exists(rings, lambda r: even_odd(aoi_edges, r[0]["x"], r[0]["y"]))
+    meets = F.exists("_edges", lambda e: F.exists(aoi_edges, lambda f: segments_meet(e, f)))
+    for ring in aoi:
+        meets = meets | even_odd("_edges", F.lit(ring[0][0]), F.lit(ring[0][1]))
+    return edged.where(inside | meets).drop("_box", "_edges")
 
 
 def any_attribute_le(

@@ -11,51 +11,99 @@ is monotone, so leaving edges out by cell never changes a result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import edge_list, even_odd
-from ..functions.temporal import month_label
+from ..functions import edge_list, even_odd, month_label
+from ..functions.geometry import crosses
+from .columns import computed_once
 
 # A grid index up to this size goes to every executor, a larger one is shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _EDGE_BYTES = 48
-_CELL_BYTES = 96
+_CELL_BYTES = 320
+# Share of one task when the index is built.
+PARTITION_BYTES = 1024 * 1024
+# Edges of a border cell that get columns of their own.
+FLAT_EDGES = 4
+# Cells across the median zone: more of them leave fewer points to test.
+CELLS_ACROSS = 8
 
 
 def _cell(c, cell: float):
     return F.floor(c / F.lit(float(cell)))
 
 
-def suggest_cell(zones: DataFrame, rings: str = "rings", per_zone: int = 8) -> float:
-    """A cell of which the median zone spans ``per_zone`` in its longer direction."""
-    points = F.flatten(rings)
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    extent = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
-    median = zones.agg(F.percentile_approx(extent, 0.5).alias("m")).first()["m"]
-    return (median or 1.0) / per_zone
-
-
-def index_bytes(zones: DataFrame, cell: float, rings: str = "rings") -> int:
-    """Upper bound for the size of :func:`zone_cells`, from one pass over the zones."""
-    points = F.flatten(rings)
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    across = _cell(F.array_max(xs), cell) - _cell(F.array_min(xs), cell) + 1
-    down = _cell(F.array_max(ys), cell) - _cell(F.array_min(ys), cell) + 1
-    edge_rows = F.aggregate(
-        edge_list(rings),
-        F.lit(0).cast("bigint"),
-        lambda n, e: n + _cell(e["y2"], cell) - _cell(e["y1"], cell) + 1,
-    )
-    size = across * (down * _CELL_BYTES + edge_rows * _EDGE_BYTES)
-    return zones.agg(F.sum(size.cast("double")).alias("b")).first()["b"] or 0
+def _cell_key(cx, cy):
+    """Column and row in one number: the join key is a single long."""
+    return F.shiftleft(cx, 32).bitwiseXOR(cy)
+
+
+@dataclass(frozen=True)
+class ZoneSummary:
+    """What one pass over the zones says about a grid index of them.
+
+    A zone of extent ``w * h`` spans at most ``w / cell + 2`` columns and
+    ``h / cell + 2`` rows, an edge of height ``d`` at most ``d / cell + 2`` rows.
+    Summed over all zones the size bound is a polynomial in ``1 / cell``.
+    """
+
+    median_extent: float
+    per_area: float
+    per_length: float
+    per_zone: float
 
+    def cell(self, across: int = CELLS_ACROSS) -> float:
+        """A cell of which the median zone spans ``across`` in its longer direction."""
+        return self.median_extent / across if self.median_extent else 1.0
+
+    def index_bytes(self, cell: float) -> float:
+        """Upper bound for the size of :func:`zone_cells`."""
+        return self.per_area / cell**2 + self.per_length / cell + self.per_zone
+
+
+def zone_edges(zones: DataFrame, zone_id: str, rings: str) -> DataFrame:
+    return zones.select(zone_id, F.inline(edge_list(rings)))
+
+
+def summarise_zones(zones: DataFrame, zone_id: str = "zone_id", rings: str = "rings") -> ZoneSummary:
+    boxes = zone_edges(zones, zone_id, rings).groupBy(zone_id).agg(
+        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
+        (F.max("y2") - F.min("y1")).alias("h"),
+        F.sum(F.col("y2") - F.col("y1")).alias("d"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    w, h, d, n = (F.col(c) for c in "whdn")
+    growing = h * _CELL_BYTES + d * _EDGE_BYTES
+    fixed = 2 * _CELL_BYTES + 2 * n * _EDGE_BYTES
+    row = boxes.agg(
+        F.percentile_approx(F.greatest(w, h), 0.5).alias("median"),
+        F.sum(w * growing).alias("area"),
+        F.sum(w * fixed + 2 * growing).alias("length"),
+        F.sum(2 * fixed).alias("zone"),
+    ).first()
+    return ZoneSummary(*[v or 0.0 for v in (row["median"], row["area"], row["length"], row["zone"])])
+
+
+def zone_cells(
+    zones: DataFrame,
+    cell: float,
+    zone_id: str = "zone_id",
+    rings: str = "rings",
+    partitions: int | None = None,
+) -> DataFrame:
+    """The grid index of the zones: (zone, cell, inside, e0.., more).
 
-def zone_cells(zones: DataFrame, cell: float, zone_id: str = "zone_id", rings: str = "rings") -> DataFrame:
-    """The grid index of the zones: (zone, cx, cy, edges); no edges means wholly inside."""
+    A cell wholly ``inside`` has no edges. A border cell has its first edges in
+    columns of their own, where the test compiles to plain arithmetic; only what
+    goes beyond is an array.
+    """
     edge = F.struct("x1", "y1", "x2", "y2")
-    by_row = (
-        zones.select(zone_id, F.inline(edge_list(rings)))
+    pieces = (
+        zone_edges(zones, zone_id, rings)
         .where("y1 < y2")  # a level edge never crosses the ray
         .select(
             zone_id,
@@ -64,12 +112,13 @@ def zone_cells(zones: DataFrame, cell: float, zone_id: str = "zone_id", rings: s
             _cell(F.least("x1", "x2"), cell).alias("west"),
             _cell(F.greatest("x1", "x2"), cell).alias("east"),
         )
-        .groupBy(zone_id, "cy")
-        .agg(
-            F.collect_list(F.struct("edge", "west", "east")).alias("row"),
-            F.min("west").alias("west"),
-            F.max("east").alias("east"),
-        )
+    )
+    if partitions:
+        pieces = pieces.repartition(partitions, zone_id, "cy")
+    by_row = pieces.groupBy(zone_id, "cy").agg(
+        F.collect_list(F.struct("edge", "west", "east")).alias("row"),
+        F.min("west").alias("west"),
+        F.max("east").alias("east"),
     )
     cx = F.col("cx")
     cells = by_row.select(
@@ -81,10 +130,26 @@ def zone_cells(zones: DataFrame, cell: float, zone_id: str = "zone_id", rings: s
         F.exists("row", lambda r: (r["west"] <= cx) & (r["east"] >= cx)).alias("border"),
     )
     half = F.lit(0.5)
-    inside = even_odd("edges", (cx + half) * cell, (F.col("cy") + half) * cell)
-    return cells.where(F.col("border") | inside).select(
-        zone_id, "cx", "cy", F.when(F.col("border"), F.col("edges")).alias("edges")
+    centre_in = even_odd("edges", (cx + half) * cell, (F.col("cy") + half) * cell)
+    kept = computed_once(cells, _in=F.when(F.col("border"), F.lit(False)).otherwise(centre_in)).where("border OR _in")
+    edges = F.when(F.col("border"), F.col("edges"))
+    return kept.select(
+        zone_id,
+        _cell_key(cx, F.col("cy")).alias("_cell"),
+        F.col("_in").alias("inside"),
+        *[F.get(edges, F.lit(i)).alias(f"e{i}") for i in range(FLAT_EDGES)],
+        F.when(F.size(edges) > FLAT_EDGES, F.slice(edges, FLAT_EDGES + 1, F.size(edges))).alias("more"),
+    )
+
+
+def _covered(x, y):
+    """Does the index row's zone cover the point?"""
+    flat = reduce(
+        lambda a, b: a + b,
+        [F.when(crosses(F.col(f"e{i}"), x, y), 1).otherwise(0) for i in range(FLAT_EDGES)],
     )
+    more = F.when(F.col("more").isNull(), 0).otherwise(F.size(F.filter("more", lambda e: crosses(e, x, y))))
+    return F.col("inside") | ((flat + more) % 2 == 1)
 
 
 def point_in_zone(
@@ -104,24 +169,20 @@ def point_in_zone(
     shuffled by cell, and adaptive execution splits a cell that holds too many
     points.
     """
-    if cell is None:
-        cell = suggest_cell(zones, rings)
-    index = zone_cells(zones, cell, zone_id, rings)
-    if index_bytes(zones, cell, rings) <= broadcast_bytes:
-        index = F.broadcast(index)
+    summary = summarise_zones(zones, zone_id, rings)
+    cell = cell or summary.cell()
+    size = summary.index_bytes(cell)
+    if size <= broadcast_bytes:
+        cores = zones.sparkSession.sparkContext.defaultParallelism
+        partitions = max(1, min(cores, int(size / PARTITION_BYTES)))
+        index = F.broadcast(zone_cells(zones, cell, zone_id, rings, partitions))
     else:
-        index = index.hint("shuffle_merge")
+        index = zone_cells(zones, cell, zone_id, rings).hint("shuffle_merge")
     x, y = F.col(lon), F.col(lat)
-    placed = (
-        points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y))
-        .withColumn("cx", _cell(x, cell))
-        .withColumn("cy", _cell(y, cell))
-    )
-    return (
-        placed.join(index, ["cx", "cy"])
-        .where(F.col("edges").isNull() | even_odd("edges", x, y))
-        .drop("cx", "cy", "edges")
+    placed = points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumn(
+        "_cell", _cell_key(_cell(x, cell), _cell(y, cell))
     )
+    return placed.join(index, "_cell").where(_covered(x, y)).select(*points.columns, zone_id)
 
 
 def zonal_stats(

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import (
-    bbox, center_or_point, extract_category, head_segment, identifier, json_text, normalise, parse_rings,
+    box_of, center_or_point, extract_category, head_segment, identifier, json_text, normalise, rings_of,
 )
 from ..operators import (
-    any_attribute_le, asset_patterns, collapse, complete, expand_daily, in_bbox, in_window,
+    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily, in_bbox, in_window,
     intersects_aoi, latest_n, lookup, name_filter, needs_refresh, outcomes, page, pivot_mean,
     prefix, product_columns, restrict, select_assets, standardise_names, tagged, trailing_days,
     upsert, zonal_stats,
@@ -46,12 +46,10 @@ def clean_population(
     Names are normalised before the pivot so that two spellings meet in one row;
     ``normalise_after`` keeps them apart.
     """
-    title = F.col("municipio")
-    named = series.select(
-        (head_segment(title) if normalise_after else normalise(head_segment(title))).alias("municipio"),
-        "year",
-        extract_category(title, categories).alias("category"),
-        "population",
+    named = computed_once(
+        series.where(F.col("municipio").isNotNull()).select(F.col("municipio").alias("_title"), "year", "population"),
+        municipio=head_segment("_title") if normalise_after else normalise(head_segment("_title")),
+        category=extract_category("_title", categories),
     )
     wide = pivot_mean(named, ["municipio", "year"], "category", "population", categories, names)
     if normalise_after:
@@ -122,7 +120,7 @@ def product_catalogue(
 
 def rail_stations(elements: DataFrame, wkt: str) -> DataFrame:
     """Stations inside the box of a polygon."""
-    box = bbox(parse_rings(F.lit(wkt)))
+    box = box_of(rings_of(elements.sparkSession, wkt))
     placed = tagged(elements).select(
         F.col("id").alias("osm_id"),
         F.try_element_at("tags", F.lit("name")).alias("name"),
@@ -130,7 +128,7 @@ def rail_stations(elements: DataFrame, wkt: str) -> DataFrame:
         center_or_point("lon", "center.lon").alias("lon"),
         json_text("tags", empty_as_null=False).alias("tags"),
     )
-    return in_bbox(placed, "lat", "lon", (box["south"], box["west"], box["north"], box["east"]))
+    return in_bbox(placed, "lat", "lon", box)
 
 
 def provincial_population(

@@ -1,0 +1,140 @@
+import random
+from datetime import date
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from themelake.operators import month_spine, point_in_zone, summarise_zones, zonal_stats, zone_cells
+from themelake.operators.zonal import all_zone_months
+from themelake.plans.jobs import night_light_history
+
+ZONES = "zone_id string, rings array<array<struct<x:double,y:double>>>"
+
+
+def crossings(ring, x, y):
+    n = 0
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+        if y1 > y2:
+            x1, y1, x2, y2 = x2, y2, x1, y1
+        if y1 <= y < y2 and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+            n += 1
+    return n
+
+
+def brute(zones, points):
+    return sorted((z, x, y) for z, rings in zones for x, y in points if sum(crossings(r, x, y) for r in rings) % 2)
+
+
+def random_zones(rng):
+    """Stars with many corners, a hole, two triangles sharing their long side, a part far off, a sliver."""
+    import math
+
+    zones = []
+    for k in range(12):
+        cx, cy, n = rng.uniform(-5, 5), rng.uniform(-5, 5), rng.choice([3, 5, 9, 40])
+        rings = []
+        for scale in ([1.0, 0.3] if k % 3 == 0 else [1.0]):
+            rings.append([
+                (cx + scale * rng.uniform(0.5, 2.5) * math.cos(2 * math.pi * i / n),
+                 cy + scale * rng.uniform(0.5, 2.5) * math.sin(2 * math.pi * i / n)) for i in range(n)
+            ])
+        zones.append((f"z{k}", rings))
+    zones.append(("low", [[(-1.1, -7.3), (3.7, -9.9), (-1.1, -9.9)]]))
+    zones.append(("high", [[(-1.1, -7.3), (3.7, -7.3), (3.7, -9.9)]]))
+    zones.append(("parts", [[(6, 6), (7, 6), (7, 7), (6, 7)], [(-9, 8), (-8, 8), (-8.5, 9.3)]]))
+    zones.append(("sliver", [[(-10, 9.5), (10, 9.6), (10, 9.61)]]))
+    return zones
+
+
+@pytest.mark.parametrize("cell, broadcast_bytes", [(None, 1 << 26), (0.37, 1 << 26), (0.11, 0), (3.0, 1 << 26), (0.5, 0)])
+def test_points_in_zones_against_brute_force(spark, cell, broadcast_bytes):
+    rng = random.Random(7)
+    zones = random_zones(rng)
+    points = [(rng.uniform(-10.5, 10.5), rng.uniform(-10.5, 10.5)) for _ in range(1500)]
+    # on the shared side, on corners, on cell borders
+    points += [(-1.1 + t * 4.8 / 16, -7.3 - t * 2.6 / 16) for t in range(17)]
+    points += [p for _, rings in zones for r in rings for p in r[:3]]
+    points += [(i * 0.37, 6.5) for i in range(-20, 20)] + [(6.0, 6.0), (7.0, 6.5), (6.5, 7.0), (6.5, 6.0)]
+    zdf = spark.createDataFrame([(z, [[(float(x), float(y)) for x, y in r] for r in rings]) for z, rings in zones], ZONES)
+    pdf = spark.createDataFrame([(float(x), float(y)) for x, y in points], "lon double, lat double")
+    found = point_in_zone(pdf, zdf, cell, broadcast_bytes=broadcast_bytes)
+    assert sorted((r["zone_id"], r["lon"], r["lat"]) for r in found.collect()) == brute(zones, points)
+
+
+def square(spark, *boxes):
+    return spark.createDataFrame(
+        [(z, [[(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]]) for z, x, y, s in boxes], ZONES
+    )
+
+
+def test_missing_coordinates_drop_out(spark):
+    points = spark.createDataFrame([(0.5, 0.5), (None, 0.5), (float("nan"), 0.5), (0.5, float("nan"))], "lon double, lat double")
+    assert rows(point_in_zone(points, square(spark, ("a", 0.0, 0.0, 1.0)), 0.1)) == [(0.5, 0.5, "a")]
+
+
+def test_a_shared_border_has_one_owner(spark):
+    zones = square(spark, ("a", 0.0, 0.0, 1.0), ("b", 1.0, 0.0, 1.0), ("c", 0.0, 1.0, 1.0), ("d", 1.0, 1.0, 1.0))
+    points = spark.createDataFrame([(i / 8, j / 8) for i in range(16) for j in range(16)], "lon double, lat double")
+    found = point_in_zone(points, zones)
+    assert found.count() == 256 and found.select("lon", "lat").distinct().count() == 256
+
+
+def test_statistics(spark):
+    zones = square(spark, ("a", 0.0, 0.0, 1.0), ("empty", 5.0, 5.0, 1.0))
+    pixels = spark.createDataFrame(
+        [(0.1, 0.1, date(2018, 1, 3), 1.0), (0.2, 0.2, date(2018, 1, 9), 3.0), (0.3, 0.3, date(2018, 1, 9), float("nan")),
+         (0.3, 0.3, date(2018, 1, 9), None), (0.2, 0.2, date(2018, 2, 1), 4.0), (9.0, 9.0, date(2018, 2, 1), 4.0)],
+        "lon double, lat double, date date, avg_rad double",
+    )
+    assert rows(zonal_stats(pixels, zones)) == [("a", "2018-01", 2.0, 1.0, 3.0, 1.0), ("a", "2018-02", 4.0, 4.0, 4.0, 0.0)]
+    assert rows(zonal_stats(pixels, zones, sample=True).select(F.round("stdDev", 6)))[0] == (1.414214,)
+    assert all_zone_months(zones, month_spine(2018, 2018)).count() == 24
+    history = night_light_history(pixels, zones.withColumn("LAU_NAME", F.upper("zone_id")), month_spine(2018, 2018), all_zones=True)
+    assert history.count() == 24
+    assert rows(history.where("mean IS NOT NULL").select("zone_id", "date", "LAU_NAME")) == [("a", "2018-01", "A"), ("a", "2018-02", "A")]
+    assert night_light_history(pixels, zones, month_spine(2019, 2019)).count() == 0
+
+
+def test_the_bound_holds(spark):
+    zones = square(spark, *[(str(i), float(i), 0.3, 0.9) for i in range(20)])
+    summary = summarise_zones(zones)
+    for cell in (0.05, 0.2, 2.0):
+        index = zone_cells(zones, cell)
+        edges = sum(F.when(F.col(f"e{i}").isNotNull(), 1).otherwise(0) for i in range(4))
+        used = index.agg(F.count("*"), F.sum(edges)).first()
+        assert used[0] * 320 + used[1] * 32 <= summary.index_bytes(cell)
+    assert summarise_zones(zones.limit(0)).index_bytes(1.0) == 0
+
+
+def test_plans(spark, plan):
+    points = spark.createDataFrame([(0.5, 0.5)], "lon double, lat double")
+    zones = square(spark, ("a", 0.0, 0.0, 1.0))
+    small, large = plan(point_in_zone(points, zones, 0.5)), plan(point_in_zone(points, zones, 0.5, broadcast_bytes=0))
+    assert "BroadcastHashJoin [_cell" in small and "SortMergeJoin [_cell" in large
+    for text in (small, large):
+        assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
+
+
+def test_a_cell_with_most_points_is_split(spark, plan):
+    """One hot cell, shuffled join: more tasks than keys, same rows."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        points = spark.range(0, 40000, 1, 8).select(
+            F.when(F.col("id") % 3 > 0, F.lit(0.5)).otherwise((F.col("id") % 997) / 10.0).alias("lon"), F.lit(0.5).alias("lat"), "id",
+        )
+        zones = square(spark, *[(str(i), float(i), 0.0, 1.0) for i in range(100)])
+        found = point_in_zone(points, zones, 1.0, broadcast_bytes=0)
+        assert found.count() == 40000
+        found.write.format("noop").mode("overwrite").save()
+        assert found.collect() and "skew=true" in plan(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

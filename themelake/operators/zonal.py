@@ -104,7 +104,6 @@ def zone_cells(
     edge = F.struct("x1", "y1", "x2", "y2")
     pieces = (
         zone_edges(zones, zone_id, rings)
-        .where("y1 < y2")  # a level edge never crosses the ray
         .select(
             zone_id,
             F.explode(F.sequence(_cell(F.col("y1"), cell), _cell(F.col("y2"), cell))).alias("cy"),
@@ -125,8 +124,10 @@ def zone_cells(
         zone_id, "cy", "row", F.explode(F.sequence("west", "east")).alias("cx")
     ).select(
         zone_id, "cx", "cy",
-        # The ray runs east: what lies wholly west of the cell is never crossed.
-        F.transform(F.filter("row", lambda r: r["east"] >= cx), lambda r: r["edge"]).alias("edges"),
+        # The ray runs east: what lies wholly west of the cell is never crossed, nor is a level edge.
+        F.transform(
+            F.filter("row", lambda r: (r["east"] >= cx) & (r["edge"]["y1"] < r["edge"]["y2"])), lambda r: r["edge"]
+        ).alias("edges"),
         F.exists("row", lambda r: (r["west"] <= cx) & (r["east"] >= cx)).alias("border"),
     )
     half = F.lit(0.5)

@@ -107,6 +107,14 @@ def test_the_bound_holds(spark):
     assert summarise_zones(zones.limit(0)).index_bytes(1.0) == 0
 
 
+def test_cells_grow_only_as_far_as_needed(spark):
+    zones = square(spark, *[(str(i), float(i), 0.0, 1.0) for i in range(9)], ("land", -100.0, -100.0, 200.0))
+    summary = summarise_zones(zones)
+    assert summary.cell(1e12) == 0.125 and summary.cell(0) == 1.0
+    middle = summary.cell(summary.index_bytes(0.5))
+    assert middle == 0.5
+
+
 def test_plans(spark, plan):
     points = spark.createDataFrame([(0.5, 0.5)], "lon double, lat double")
     zones = square(spark, ("a", 0.0, 0.0, 1.0))

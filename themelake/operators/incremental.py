@@ -9,8 +9,11 @@ from .filters import complete
 
 
 def restrict(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key is among ``keys``."""
-    return df.join(keys.select(*on), on, "left_semi")
+    """Rows whose key is among ``keys``.
+
+    Repeats of a key fold before they are sent anywhere.
+    """
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def needs_refresh(targets: DataFrame, store: DataFrame, on: list[str], required: dict[str, str]) -> DataFrame:
@@ -45,5 +48,6 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order_col: str)
     ``order_col`` wins; that column is dropped unless the table has it.
     """
     latest = latest_per_key(updates, keys, order_col).select(*base.columns)
-    # The anti join needs the keys only, not the rows that won.
-    return base.join(updates.select(*keys), keys, "left_anti").select(*base.columns).unionByName(latest)
+    # The anti join needs the keys only, each once, not the rows that won.
+    changed = updates.select(*keys).distinct()
+    return base.join(changed, keys, "left_anti").select(*base.columns).unionByName(latest)

@@ -56,9 +56,20 @@ class ZoneSummary:
     per_length: float
     per_zone: float
 
-    def cell(self, across: int = CELLS_ACROSS) -> float:
-        """A cell of which the median zone spans ``across`` in its longer direction."""
-        return self.median_extent / across if self.median_extent else 1.0
+    def cell(self, fitting: float, across: int = CELLS_ACROSS) -> float:
+        """A cell of which the median zone spans ``across`` in its longer direction.
+
+        A few huge zones among small ones would need very many of those. Coarser
+        cells cost longer edge tests, but keep the points where they are, so the
+        cell grows up to the median zone's extent while the index is over
+        ``fitting`` bytes.
+        """
+        if not self.median_extent:
+            return 1.0
+        cell = self.median_extent / across
+        while self.index_bytes(cell) > fitting and cell < self.median_extent:
+            cell *= 2
+        return cell
 
     def index_bytes(self, cell: float) -> float:
         """Upper bound for the size of :func:`zone_cells`."""
@@ -171,7 +182,7 @@ def point_in_zone(
     points.
     """
     summary = summarise_zones(zones, zone_id, rings)
-    cell = cell or summary.cell()
+    cell = cell or summary.cell(broadcast_bytes)
     size = summary.index_bytes(cell)
     if size <= broadcast_bytes:
         cores = zones.sparkSession.sparkContext.defaultParallelism

@@ -154,14 +154,19 @@ def zone_cells(
     )
 
 
-def _covered(x, y):
-    """Does the index row's zone cover the point?"""
-    flat = reduce(
+def _covering(candidates: DataFrame, columns: list[str], x, y) -> DataFrame:
+    """The candidates whose zone covers the point.
+
+    The edges in columns are tested where generated code still runs; the rare
+    array comes after, in a filter of its own.
+    """
+    crossed = reduce(
         lambda a, b: a + b,
         [F.when(crosses(F.col(f"e{i}"), x, y), 1).otherwise(0) for i in range(FLAT_EDGES)],
     )
-    more = F.when(F.col("more").isNull(), 0).otherwise(F.size(F.filter("more", lambda e: crosses(e, x, y))))
-    return F.col("inside") | ((flat + more) % 2 == 1)
+    tested = computed_once(candidates, _odd=F.col("inside") | (crossed % 2 == 1))
+    more_odd = F.when(F.col("more").isNull(), F.lit(False)).otherwise(even_odd("more", x, y))
+    return tested.where(F.col("_odd") != more_odd).select(*columns)
 
 
 def point_in_zone(
@@ -194,7 +199,7 @@ def point_in_zone(
     placed = points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumn(
         "_cell", _cell_key(_cell(x, cell), _cell(y, cell))
     )
-    return placed.join(index, "_cell").where(_covered(x, y)).select(*points.columns, zone_id)
+    return _covering(placed.join(index, "_cell"), [*points.columns, zone_id], x, y)
 
 
 def zonal_stats(

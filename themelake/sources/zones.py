@@ -19,15 +19,15 @@ def features_to_zones(features: DataFrame, properties: dict[str, str] | list[str
     rings = F.when(
         kind == "MultiPolygon",
         F.flatten(F.from_json(text, "array<array<array<array<double>>>>")),
-    ).when(kind == "Polygon", F.from_json(text, "array<array<array<double>>>"))
+    ).otherwise(F.from_json(text, "array<array<array<double>>>"))
     as_points = F.transform(
         rings,
         lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))),
     )
-    return features.select(
+    return features.where(kind.isin("Polygon", "MultiPolygon") & text.isNotNull()).select(
         *[F.try_element_at("properties", F.lit(p)).alias(out) for p, out in names.items()],
         as_points.alias("rings"),
-    ).where(F.col("rings").isNotNull())
+    )
 
 
 def read_zones(

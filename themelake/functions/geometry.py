@@ -4,6 +4,9 @@ Holes and further parts are just more rings under one even-odd rule. The rule
 is half-open, so a point on a border shared by two polygons is in exactly one.
 Every edge is written from its lower end to its upper end; two polygons that
 share an edge then compute the same crossing for it, bit by bit.
+
+The expressions are written as SQL over column names: one text is parsed where
+dozens of nested calls would each go to the JVM and back.
 """
 
 from __future__ import annotations
@@ -37,79 +40,64 @@ def parse_rings(wkt: Column | str) -> Column:
     )
 
 
-def bbox(rings: Column | str) -> Column:
-    """(south, west, north, east) of the rings."""
-    points = F.flatten(_col(rings))
-    xs = F.transform(points, lambda p: p["x"])
-    ys = F.transform(points, lambda p: p["y"])
-    return F.struct(
-        F.array_min(ys).alias("south"), F.array_min(xs).alias("west"),
-        F.array_max(ys).alias("north"), F.array_max(xs).alias("east"),
+def bbox(rings: str) -> Column:
+    """(south, west, north, east) of a rings column."""
+    xs = f"transform(flatten({rings}), p -> p.x)"
+    ys = f"transform(flatten({rings}), p -> p.y)"
+    return F.expr(
+        f"named_struct('south', array_min({ys}), 'west', array_min({xs}),"
+        f" 'north', array_max({ys}), 'east', array_max({xs}))"
     )
 
 
-def edge_list(rings: Column | str) -> Column:
-    """All edges, lower end first; an open ring is closed."""
+def edge_list(rings: str) -> Column:
+    """All edges of a rings column, lower end first; an open ring is closed."""
+    ends = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
+    upward = "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)"
+    downward = "named_struct('x1', q.x, 'y1', q.y, 'x2', p.x, 'y2', p.y)"
+    edge = f"(p, q) -> if(p.y <= q.y, {upward}, {downward})"
+    return F.expr(f"flatten(transform({rings}, ring -> zip_with(ring, {ends}, {edge})))")
 
-    def edge(p: Column, q: Column) -> Column:
-        up = p["y"] <= q["y"]
-        low, high = F.when(up, p).otherwise(q), F.when(up, q).otherwise(p)
-        return F.struct(
-            low["x"].alias("x1"), low["y"].alias("y1"),
-            high["x"].alias("x2"), high["y"].alias("y2"),
-        )
 
-    def ring_edges(ring: Column) -> Column:
-        rest = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-        return F.zip_with(ring, rest, edge)
+def crosses(edge: str, x: str, y: str) -> str:
+    """SQL: does the ray from (x, y) towards larger x cross this edge?"""
+    at_y = f"{edge}.x1 + ({y} - {edge}.y1) * ({edge}.x2 - {edge}.x1) / ({edge}.y2 - {edge}.y1)"
+    return f"({edge}.y1 <= {y} AND {y} < {edge}.y2 AND {x} < {at_y})"
 
-    return F.flatten(F.transform(_col(rings), ring_edges))
 
+def inside(edges: str, x: str, y: str) -> str:
+    """SQL: point in polygon by the even-odd rule."""
+    return f"(size(filter({edges}, e -> {crosses('e', x, y)})) % 2 = 1)"
 
-def crosses(edge: Column, x: Column, y: Column) -> Column:
-    """Does the ray from (x, y) towards larger x cross this edge?"""
-    at_y = edge["x1"] + (y - edge["y1"]) * (edge["x2"] - edge["x1"]) / (edge["y2"] - edge["y1"])
-    return (edge["y1"] <= y) & (y < edge["y2"]) & (x < at_y)
 
+def even_odd(edges: str, x: str, y: str) -> Column:
+    """Point in polygon by the even-odd rule, over an edges column."""
+    return F.expr(inside(edges, x, y))
 
-def even_odd(edges: Column | str, x: Column | str, y: Column | str) -> Column:
-    """Point in polygon by the even-odd rule."""
-    x, y = _col(x), _col(y)
-    return F.size(F.filter(_col(edges), lambda e: crosses(e, x, y))) % 2 == 1
 
+def segments_meet(e: str, f: str) -> str:
+    """SQL: closed segments share a point; touching counts."""
 
-def _side(ax, ay, bx, by, px, py) -> Column:
-    return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
+    def side(s: str, px: str, py: str) -> str:
+        return f"signum(({s}.x2 - {s}.x1) * ({py} - {s}.y1) - ({s}.y2 - {s}.y1) * ({px} - {s}.x1))"
 
+    def splits(s: str, t: str) -> str:
+        return f"{side(s, f'{t}.x1', f'{t}.y1')} * {side(s, f'{t}.x2', f'{t}.y2')} <= 0"
 
-def segments_meet(e: Column, f: Column) -> Column:
-    """Closed segments share a point; touching counts."""
-    near = (
-        (F.least(e["x1"], e["x2"]) <= F.greatest(f["x1"], f["x2"]))
-        & (F.least(f["x1"], f["x2"]) <= F.greatest(e["x1"], e["x2"]))
-        & (e["y1"] <= f["y2"]) & (f["y1"] <= e["y2"])
+    return (
+        f"(least({e}.x1, {e}.x2) <= greatest({f}.x1, {f}.x2) AND least({f}.x1, {f}.x2) <= greatest({e}.x1, {e}.x2)"
+        f" AND {e}.y1 <= {f}.y2 AND {f}.y1 <= {e}.y2 AND {splits(e, f)} AND {splits(f, e)})"
     )
-    e_splits = (
-        _side(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"])
-        * _side(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"])
-    ) <= 0
-    f_splits = (
-        _side(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"])
-        * _side(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"])
-    ) <= 0
-    return near & e_splits & f_splits
-
-
-def literal_edges(rings: list[list[tuple[float, float]]]) -> Column:
-    """The edges of a polygon known beforehand, as a constant."""
-    pairs = [(p, q) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1])]
-    low_high = [(p, q) if p[1] <= q[1] else (q, p) for p, q in pairs]
-    return F.array(*[
-        F.struct(
-            F.lit(p[0]).alias("x1"), F.lit(p[1]).alias("y1"), F.lit(q[0]).alias("x2"), F.lit(q[1]).alias("y2")
+
+
+def literal_edges(rings: list[list[tuple[float, float]]]) -> str:
+    """SQL: the edges of a polygon known beforehand, as a constant."""
+    pairs = [(p, q) if p[1] <= q[1] else (q, p) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1])]
+    return "array({})".format(
+        ", ".join(
+            f"named_struct('x1', {p[0]!r}D, 'y1', {p[1]!r}D, 'x2', {q[0]!r}D, 'y2', {q[1]!r}D)" for p, q in pairs
         )
-        for p, q in low_high
-    ])
+    )
 
 
 def rings_of(spark: SparkSession, wkt: str) -> list[list[tuple[float, float]]]:

@@ -34,7 +34,12 @@ def glob_regex(globs: list[str]) -> str:
         *middle, last = rest
         return first + "".join(f"(?>.*?{part})" for part in middle) + ".*" + last
 
-    return r"(?s)\A(?:" + "|".join(one(g) for g in globs) + r")\z"
+    # A glob that another one matches, stars included, adds nothing to it.
+    needed: list[str] = []
+    for glob in sorted(set(globs), key=len):
+        if not any(re.fullmatch(one(n), glob) for n in needed):
+            needed.append(glob)
+    return r"(?s)\A(?:" + "|".join(one(g) for g in needed) + r")\z"
 
 
 def select_assets(

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import SENTINEL_2, STATION_RULES
-from ..functions import any_attr_le, bbox, box_of, edge_list, even_odd, rings_of
+from ..functions import any_attr_le, bbox, box_of, edge_list, rings_of
 from ..functions.attributes import tagged_as
-from ..functions.geometry import literal_edges, segments_meet
+from ..functions.geometry import inside, literal_edges, segments_meet
 from .columns import computed_once
 
 
@@ -66,11 +66,12 @@ def intersects_aoi(df: DataFrame, rings: str, wkt: str) -> DataFrame:
         & (F.col("_box.south") <= north) & (F.col("_box.north") >= south)
     )
     edged = computed_once(near, _edges=edge_list(rings))
-    inside = F.exists(rings, lambda r: even_odd(aoi_edges, r[0]["x"], r[0]["y"]))
-    meets = F.exists("_edges", lambda e: F.exists(aoi_edges, lambda f: segments_meet(e, f)))
-    for ring in aoi:
-        meets = meets | even_odd("_edges", F.lit(ring[0][0]), F.lit(ring[0][1]))
-    return edged.where(inside | meets).drop("_box", "_edges")
+    tests = [
+        f"exists({rings}, r -> {inside(aoi_edges, 'r[0].x', 'r[0].y')})",
+        f"exists(_edges, a -> exists({aoi_edges}, b -> {segments_meet('a', 'b')}))",
+        *[inside("_edges", f"{ring[0][0]!r}D", f"{ring[0][1]!r}D") for ring in aoi],
+    ]
+    return edged.where(" OR ".join(tests)).drop("_box", "_edges")
 
 
 def any_attribute_le(

@@ -12,13 +12,12 @@ is monotone, so leaving edges out by cell never changes a result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import edge_list, even_odd, month_label
-from ..functions.geometry import crosses
+from ..functions import edge_list, month_label
+from ..functions.geometry import crosses, inside
 from .columns import computed_once
 
 # A grid index up to this size goes to every executor, a larger one is shuffled.
@@ -33,13 +32,13 @@ FLAT_EDGES = 4
 CELLS_ACROSS = 8
 
 
-def _cell(c, cell: float):
-    return F.floor(c / F.lit(float(cell)))
+def _cell(c: str, cell: float) -> str:
+    return f"floor({c} / {float(cell)!r}D)"
 
 
-def _cell_key(cx, cy):
+def _cell_key(cx: str, cy: str) -> str:
     """Column and row in one number: the join key is a single long."""
-    return F.shiftleft(cx, 32).bitwiseXOR(cy)
+    return f"(shiftleft({cx}, 32) ^ {cy})"
 
 
 @dataclass(frozen=True)
@@ -82,19 +81,18 @@ def zone_edges(zones: DataFrame, zone_id: str, rings: str) -> DataFrame:
 
 def summarise_zones(zones: DataFrame, zone_id: str = "zone_id", rings: str = "rings") -> ZoneSummary:
     boxes = zone_edges(zones, zone_id, rings).groupBy(zone_id).agg(
-        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
-        (F.max("y2") - F.min("y1")).alias("h"),
-        F.sum(F.col("y2") - F.col("y1")).alias("d"),
-        F.count(F.lit(1)).alias("n"),
+        F.expr("max(greatest(x1, x2)) - min(least(x1, x2)) AS w"),
+        F.expr("max(y2) - min(y1) AS h"),
+        F.expr("sum(y2 - y1) AS d"),
+        F.expr("count(1) AS n"),
     )
-    w, h, d, n = (F.col(c) for c in "whdn")
-    growing = h * _CELL_BYTES + d * _EDGE_BYTES
-    fixed = 2 * _CELL_BYTES + 2 * n * _EDGE_BYTES
+    growing = f"(h * {_CELL_BYTES} + d * {_EDGE_BYTES})"
+    fixed = f"(2 * {_CELL_BYTES} + 2 * n * {_EDGE_BYTES})"
     row = boxes.agg(
-        F.percentile_approx(F.greatest(w, h), 0.5).alias("median"),
-        F.sum(w * growing).alias("area"),
-        F.sum(w * fixed + 2 * growing).alias("length"),
-        F.sum(2 * fixed).alias("zone"),
+        F.expr("percentile_approx(greatest(w, h), 0.5) AS median"),
+        F.expr(f"sum(w * {growing}) AS area"),
+        F.expr(f"sum(w * {fixed} + 2 * {growing}) AS length"),
+        F.expr(f"sum(2.0D * {fixed}) AS zone"),
     ).first()
     return ZoneSummary(*[v or 0.0 for v in (row["median"], row["area"], row["length"], row["zone"])])
 
@@ -112,61 +110,48 @@ def zone_cells(
     columns of their own, where the test compiles to plain arithmetic; only what
     goes beyond is an array.
     """
-    edge = F.struct("x1", "y1", "x2", "y2")
-    pieces = (
-        zone_edges(zones, zone_id, rings)
-        .select(
-            zone_id,
-            F.explode(F.sequence(_cell(F.col("y1"), cell), _cell(F.col("y2"), cell))).alias("cy"),
-            edge.alias("edge"),
-            _cell(F.least("x1", "x2"), cell).alias("west"),
-            _cell(F.greatest("x1", "x2"), cell).alias("east"),
-        )
+    pieces = zone_edges(zones, zone_id, rings).selectExpr(
+        f"`{zone_id}`",
+        f"explode(sequence({_cell('y1', cell)}, {_cell('y2', cell)})) AS cy",
+        "named_struct('x1', x1, 'y1', y1, 'x2', x2, 'y2', y2) AS edge",
+        f"{_cell('least(x1, x2)', cell)} AS west",
+        f"{_cell('greatest(x1, x2)', cell)} AS east",
     )
     if partitions:
         pieces = pieces.repartition(partitions, zone_id, "cy")
     by_row = pieces.groupBy(zone_id, "cy").agg(
-        F.collect_list(F.struct("edge", "west", "east")).alias("row"),
-        F.min("west").alias("west"),
-        F.max("east").alias("east"),
+        F.expr("collect_list(struct(edge, west, east)) AS row"),
+        F.expr("min(west) AS west"),
+        F.expr("max(east) AS east"),
     )
-    cx = F.col("cx")
-    cells = by_row.select(
-        zone_id, "cy", "row", F.explode(F.sequence("west", "east")).alias("cx")
-    ).select(
-        zone_id, "cx", "cy",
+    cells = by_row.selectExpr(f"`{zone_id}`", "cy", "row", "explode(sequence(west, east)) AS cx").selectExpr(
+        f"`{zone_id}`",
+        "cx",
+        "cy",
         # The ray runs east: what lies wholly west of the cell is never crossed, nor is a level edge.
-        F.transform(
-            F.filter("row", lambda r: (r["east"] >= cx) & (r["edge"]["y1"] < r["edge"]["y2"])), lambda r: r["edge"]
-        ).alias("edges"),
-        F.exists("row", lambda r: (r["west"] <= cx) & (r["east"] >= cx)).alias("border"),
+        "transform(filter(row, r -> r.east >= cx AND r.edge.y1 < r.edge.y2), r -> r.edge) AS edges",
+        "exists(row, r -> r.west <= cx AND r.east >= cx) AS border",
     )
-    half = F.lit(0.5)
-    centre_in = even_odd("edges", (cx + half) * cell, (F.col("cy") + half) * cell)
-    kept = computed_once(cells, _in=F.when(F.col("border"), F.lit(False)).otherwise(centre_in)).where("border OR _in")
-    edges = F.when(F.col("border"), F.col("edges"))
-    return kept.select(
-        zone_id,
-        _cell_key(cx, F.col("cy")).alias("_cell"),
-        F.col("_in").alias("inside"),
-        *[F.get(edges, F.lit(i)).alias(f"e{i}") for i in range(FLAT_EDGES)],
-        F.when(F.size(edges) > FLAT_EDGES, F.slice(edges, FLAT_EDGES + 1, F.size(edges))).alias("more"),
+    centre_in = inside("edges", f"(cx + 0.5D) * {float(cell)!r}D", f"(cy + 0.5D) * {float(cell)!r}D")
+    kept = computed_once(cells, _in=F.expr(f"if(border, false, {centre_in})")).where("border OR _in")
+    return kept.selectExpr(
+        f"`{zone_id}`",
+        f"{_cell_key('cx', 'cy')} AS _cell",
+        "_in AS inside",
+        *[f"if(border, get(edges, {i}), null) AS e{i}" for i in range(FLAT_EDGES)],
+        f"if(border AND size(edges) > {FLAT_EDGES}, slice(edges, {FLAT_EDGES + 1}, size(edges)), null) AS more",
     )
 
 
-def _covering(candidates: DataFrame, columns: list[str], x, y) -> DataFrame:
+def _covering(candidates: DataFrame, columns: list[str], x: str, y: str) -> DataFrame:
     """The candidates whose zone covers the point.
 
     The edges in columns are tested where generated code still runs; the rare
     array comes after, in a filter of its own.
     """
-    crossed = reduce(
-        lambda a, b: a + b,
-        [F.when(crosses(F.col(f"e{i}"), x, y), 1).otherwise(0) for i in range(FLAT_EDGES)],
-    )
-    tested = computed_once(candidates, _odd=F.col("inside") | (crossed % 2 == 1))
-    more_odd = F.when(F.col("more").isNull(), F.lit(False)).otherwise(even_odd("more", x, y))
-    return tested.where(F.col("_odd") != more_odd).select(*columns)
+    crossed = " + ".join(f"if({crosses(f'e{i}', x, y)}, 1, 0)" for i in range(FLAT_EDGES))
+    tested = computed_once(candidates, _odd=F.expr(f"inside OR ({crossed}) % 2 = 1"))
+    return tested.where(f"_odd != if(more IS NULL, false, {inside('more', x, y)})").select(*columns)
 
 
 def point_in_zone(
@@ -195,10 +180,10 @@ def point_in_zone(
         index = F.broadcast(zone_cells(zones, cell, zone_id, rings, partitions))
     else:
         index = zone_cells(zones, cell, zone_id, rings).hint("shuffle_merge")
-    x, y = F.col(lon), F.col(lat)
-    placed = points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumn(
-        "_cell", _cell_key(_cell(x, cell), _cell(y, cell))
-    )
+    x, y = f"`{lon}`", f"`{lat}`"
+    placed = points.where(
+        f"{x} IS NOT NULL AND {y} IS NOT NULL AND NOT isnan({x}) AND NOT isnan({y})"
+    ).withColumn("_cell", F.expr(_cell_key(_cell(x, cell), _cell(y, cell))))
     return _covering(placed.join(index, "_cell"), [*points.columns, zone_id], x, y)
 
 

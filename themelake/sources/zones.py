@@ -15,18 +15,15 @@ FEATURE = "properties map<string,string>, geometry struct<type:string,coordinate
 def features_to_zones(features: DataFrame, properties: dict[str, str] | list[str]) -> DataFrame:
     """One row per feature: the named properties and ``rings``."""
     names = properties if isinstance(properties, dict) else {p: p for p in properties}
-    text, kind = F.col("geometry.coordinates"), F.col("geometry.type")
-    rings = F.when(
-        kind == "MultiPolygon",
-        F.flatten(F.from_json(text, "array<array<array<array<double>>>>")),
-    ).otherwise(F.from_json(text, "array<array<array<double>>>"))
-    as_points = F.transform(
-        rings,
-        lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))),
+    text, kind = "geometry.coordinates", "geometry.type"
+    rings = (
+        f"if({kind} = 'MultiPolygon', flatten(from_json({text}, 'array<array<array<array<double>>>>')),"
+        f" from_json({text}, 'array<array<array<double>>>'))"
     )
-    return features.where(kind.isin("Polygon", "MultiPolygon") & text.isNotNull()).select(
+    as_points = f"transform({rings}, ring -> transform(ring, p -> named_struct('x', p[0], 'y', p[1])))"
+    return features.where(f"{kind} IN ('Polygon', 'MultiPolygon') AND {text} IS NOT NULL").select(
         *[F.try_element_at("properties", F.lit(p)).alias(out) for p, out in names.items()],
-        as_points.alias("rings"),
+        F.expr(as_points).alias("rings"),
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Spark limits each map task's rows per group before the shuffle up to this rank
 # (spark.sql.optimizer.windowGroupLimitThreshold, default).
 GROUP_LIMIT = 1000
-SUBGROUPS = 64
 
 
 def latest_n(
@@ -17,17 +16,17 @@ def latest_n(
     """The last ``n`` rows of each series by period; ``None`` keeps all.
 
     For usual ``n`` the group limit bounds what a hot series sends to its task.
-    For larger ones the rows are ranked in subgroups first: what is among the
-    last ``n`` of its series is among the last ``n`` of its subgroup.
+    For larger ones the rows are ranked per series and input partition first,
+    which spreads a hot series over all tasks: what is among the last ``n`` of
+    its series is among the last ``n`` of its part.
     """
     if n is None:
         return df
     order = [F.desc(period), *[F.asc(c) for c in tie_break or []]]
     if n > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(SUBGROUPS))
         split = Window.partitionBy(*series, "_part").orderBy(*order)
         df = (
-            df.withColumn("_part", part)
+            df.withColumn("_part", F.spark_partition_id())
             .withColumn("_rank", F.row_number().over(split))
             .where(F.col("_rank") <= n)
             .drop("_part", "_rank")

@@ -18,7 +18,7 @@ def _present(df: DataFrame, keys: list[str]) -> DataFrame:
 def collapse(df: DataFrame, keys: list[str], label: str, order_col: str) -> DataFrame:
     """One row per key: mean of each other number column, first non-null label.
 
-    "First" is by ``order_col``. Two hash aggregations: the first is per key and
+    "First" is by ``order_col``, a missing one being the last. Two hash aggregations: the first is per key and
     label with number buffers only, where nearly all rows fold before the
     shuffle; the second picks among the labels of a key. A label kept in the
     first buffer would make Spark sort all rows instead.
@@ -37,7 +37,8 @@ def collapse(df: DataFrame, keys: list[str], label: str, order_col: str) -> Data
             *[F.count(c).alias(f"_count_{c}") for c in numbers],
         )
     )
-    first_label = F.min_by(label, F.when(F.col(label).isNotNull(), F.col("_order")))
+    order = F.struct(F.col("_order").isNull(), "_order")
+    first_label = F.min_by(label, F.when(F.col(label).isNotNull(), order))
     means = [
         F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}")).alias(c) for c in numbers
     ]

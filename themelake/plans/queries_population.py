@@ -207,7 +207,7 @@ SELECT event_type, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) <= 1500"""
 )
 def latest_periods_deep(spark, sf_dir):
-    """More rows per series than the group limit takes: ranked in subgroups first."""
+    """More rows per series than the group limit takes: ranked per input partition first."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
     return latest_n(events, ["event_type"], "ts", 1500, ["event_id"]).drop("ts")
 

@@ -8,6 +8,7 @@ from themelake.fixed_values import WEATHER_VALUES
 from themelake.operators import join, lookup, needs_refresh, restrict, trailing_days, unmatched, upsert
 from themelake.plans.jobs import province_table
 from themelake.sinks import ensure_table, read_table, save_theme, save_theme_json, upsert_table
+from themelake.sinks.keyed import touched_partitions
 from themelake.sources import read_csv
 
 
@@ -82,6 +83,17 @@ def test_keyed_table(spark, tmp_path):
     assert rows(read_table(spark, path, SCHEMA)) == expected
 
 
+def test_an_upsert_opens_the_partitions_of_its_batch_only(spark, plan, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = [(date(2024, m, 1), float(m), f"2024-{m:02d}") for m in range(1, 10)]
+    spark.createDataFrame(rows_, SCHEMA).write.partitionBy("month").parquet(path)
+    batch = spark.createDataFrame(rows_[3:5], SCHEMA)
+    touched = touched_partitions(read_table(spark, path, SCHEMA), batch, "month")
+    assert touched.count() == 2
+    assert "PartitionFilters: [month" in plan(touched)
+    assert touched_partitions(read_table(spark, path, SCHEMA), batch.limit(0), "month").count() == 0
+
+
 def test_themed_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, ' a "b", ñ\\ ', {"k": 'q"ñ'})], "i int, s string, tags map<string,string>")
     path = save_theme(df, "transporte", "x.csv", str(tmp_path))

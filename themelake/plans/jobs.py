@@ -19,7 +19,7 @@ from ..functions import (
 )
 from ..operators import (
     any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily, in_bbox, in_window,
-    intersects_aoi, latest_n, lookup, name_filter, needs_refresh, outcomes, page, pivot_mean,
+    intersects_aoi, latest_n, lookup, name_filter, needs_refresh, page, pivot_mean,
     prefix, product_columns, restrict, select_assets, standardise_names, tagged, trailing_days,
     upsert, zonal_stats,
 )

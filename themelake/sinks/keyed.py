@@ -7,6 +7,7 @@ week of new days in a table of many years costs a week's worth of partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import upsert
@@ -25,6 +26,16 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
     return spark.read.schema(struct_of(schema)).parquet(path)
 
 
+def touched_partitions(base: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
+    """The partitions of the table that a batch writes to.
+
+    Their names come back to the driver, as a listing of the table would bring
+    them: with a list of values the other partitions are not even opened.
+    """
+    names = [row[0] for row in updates.select(partition).distinct().collect()]
+    return base.where(F.col(partition).isin(names))
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -41,9 +52,7 @@ def upsert_table(
     table.
     """
     updates = cut_lineage(updates)  # used three times below
-    base = read_table(spark, path, schema)
-    # The partition column sits on both sides: the semi join prunes the scan.
-    touched = base.join(updates.select(partition).distinct(), partition, "left_semi")
+    touched = touched_partitions(read_table(spark, path, schema), updates, partition)
     merged = upsert(touched, updates, keys, order_col)
     (
         merged.select(*struct_of(schema).names).write.mode("overwrite")

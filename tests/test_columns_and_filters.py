@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from themelake.fixed_values import AOIS
 from themelake.functions import parse_rings
 from themelake.operators import (
-    any_attribute_le, complete, in_bbox, in_window, intersects_aoi, flatten, keep, lead_columns, name_filter, prefix,
+    any_attribute_le, complete, computed_once, flat_products, in_bbox, in_window, intersects_aoi, flatten, keep, lead_columns, name_filter, prefix,
     product_columns, standardise_names, tagged,
 )
 from themelake.sources import CATALOGUE_ITEM
@@ -67,6 +67,20 @@ def test_product_columns_without_the_optional_ones(spark):
         product_columns(df, "sentinel3")
 
 
+def test_flat_products(spark):
+    df = item(spark, Id="p1", Name="a.b", ContentDate=("2024-01-01T00:00:00.000Z", "e"), ContentLength=3)
+    flat = flat_products(df)
+    assert flat.columns[:6] == ["Id", "Name", "ContentDate.Start", "ContentDate.End", "ContentType", "ContentLength"]
+    row = flat.first()
+    assert row["identifier"] == "a" and str(row["content_start"]).startswith("2024-01-01") and "GeoFootprint.type" in flat.columns
+
+
+def test_computed_once_is_not_repeated(spark, plan):
+    df = spark.createDataFrame([(" a ",)], "s string")
+    text = plan(computed_once(df, t=F.md5("s")).where("t != 'x' AND length(t) > 3"))
+    assert text.count("md5(") == 1
+
+
 STARTS = [
     "2023-12-31T23:59:59.999Z", "2024-01-01T00:00:00.000Z", "2024-01-01T00:00:00.001Z", "2024-01-31T00:00:00.000Z",
     "2024-01-31T23:59:59.999Z", "2024-02-01T00:00:00.000Z",

@@ -73,6 +73,8 @@ def test_product_catalogue(spark):
     got = product_catalogue(items, "sentinel2", "SENTINEL-2", *window, max_cloud=40, exclude="L1C")
     assert [r["Id"] for r in got.collect()] == ["b", "a"]
     assert [r["Id"] for r in product_catalogue(items, "sentinel2", "SENTINEL-2", *window, top=1, max_pages=2).collect()] == ["d", "b"]
+    flat = product_catalogue(items, None, "SENTINEL-2", *window)
+    assert [r["identifier"] for r in flat.collect()] == ["w_L2A", "y_L2A", "z_L1C", "x_L2A"] and "ContentDate.Start" in flat.columns
     assert [r["Id"] for r in product_catalogue(items, "sentinel1", "SENTINEL-1", *window, max_cloud=40).collect()] == ["f"]
 
 

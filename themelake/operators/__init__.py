@@ -7,7 +7,7 @@ from .filters import (
 )
 from .incremental import needs_refresh, restrict, upsert
 from .lookups import join, lookup, unmatched
-from .products import product_columns
+from .products import flat_products, product_columns
 from .ranking import latest_n, page
 from .reshape import collapse, count_distinct, counts, distinct_sorted, pivot_mean, stack
 from .spines import expand_daily, month_spine, trailing_days, window_bounds
@@ -15,7 +15,7 @@ from .zonal import point_in_zone, summarise_zones, zonal_stats, zone_cells
 
 __all__ = [
     "any_attribute_le", "asset_patterns", "collapse", "complete", "computed_once", "count_distinct", "counts",
-    "distinct_sorted", "expand_daily", "flatten", "in_bbox", "in_window", "intersects_aoi",
+    "distinct_sorted", "expand_daily", "flat_products", "flatten", "in_bbox", "in_window", "intersects_aoi",
     "join", "keep", "latest_n", "lead_columns", "lookup", "month_spine", "name_filter",
     "needs_refresh", "outcomes", "page", "pivot_mean", "point_in_zone", "prefix",
     "product_columns", "restrict", "select_assets", "stack", "standardise_names",

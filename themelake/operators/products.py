@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import SENTINEL_1, SENTINEL_1_COLUMNS, SENTINEL_2, SENTINEL_2_COLUMNS
+from ..fixed_values import LEAD_COLUMNS, SENTINEL_1, SENTINEL_1_COLUMNS, SENTINEL_2, SENTINEL_2_COLUMNS
 from ..functions import attr, fallback, identifier, instant, json_text, level
-from .columns import keep
+from .columns import flatten, keep, lead_columns
 
 COLLECTION_OF = {"sentinel1": SENTINEL_1, "sentinel2": SENTINEL_2}
 COLUMNS_OF = {"sentinel1": SENTINEL_1_COLUMNS, "sentinel2": SENTINEL_2_COLUMNS}
@@ -42,3 +42,13 @@ def product_columns(df: DataFrame, theme: str) -> DataFrame:
         }
     )
     return keep(shaped, ["collection", *COLUMNS_OF[theme]])
+
+
+def flat_products(df: DataFrame, sep: str = ".") -> DataFrame:
+    """All catalogue fields as flat columns, usual ones first, with identifier and start instant."""
+    return lead_columns(
+        flatten(df, sep).withColumns(
+            {"identifier": identifier("Name", "Id"), "content_start": instant(f"`ContentDate{sep}Start`")}
+        ),
+        [c.replace(".", sep) for c in LEAD_COLUMNS],
+    )

@@ -18,7 +18,7 @@ from ..functions import (
     box_of, center_or_point, extract_category, head_segment, identifier, json_text, normalise, rings_of,
 )
 from ..operators import (
-    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily, in_bbox, in_window,
+    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily, flat_products, in_bbox, in_window,
     intersects_aoi, latest_n, lookup, name_filter, needs_refresh, page, pivot_mean,
     prefix, product_columns, restrict, select_assets, standardise_names, tagged, trailing_days,
     upsert, zonal_stats,
@@ -92,7 +92,7 @@ def night_light_history(
 
 def product_catalogue(
     items: DataFrame,
-    theme: str,
+    theme: str | None,
     collection: str,
     start: date,
     end: date,
@@ -105,7 +105,10 @@ def product_catalogue(
     top: int = 500,
     max_pages: int = 50,
 ) -> DataFrame:
-    """Products of a collection by time, area, name and cloud, latest first, capped as a page set."""
+    """Products of a collection by time, area, name and cloud, latest first, capped as a page set.
+
+    With a ``theme`` the columns of that collection, without one all fields flat.
+    """
     found = in_window(
         items.withColumn("_start", F.col("ContentDate.Start").try_cast("timestamp")),
         collection, start, end, closed, start_col="_start",
@@ -114,8 +117,8 @@ def product_catalogue(
     found = any_attribute_le(found, max_cloud)
     if aoi_wkt:
         found = intersects_aoi(found, aoi_rings, aoi_wkt)
-    found = page(found, [F.desc("_start"), F.asc("Id")], top, max_pages)
-    return product_columns(found, theme)
+    found = page(found, [F.desc("_start"), F.asc("Id")], top, max_pages).drop("_start")
+    return product_columns(found, theme) if theme else flat_products(found)
 
 
 def rail_stations(elements: DataFrame, wkt: str) -> DataFrame:

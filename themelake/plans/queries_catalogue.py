@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import AOIS, ASSET_GLOBS, LEAD_COLUMNS
 from ..functions import any_attr_le, attr, fallback, identifier, level
 from ..operators import (
-    any_attribute_le, asset_patterns, counts, flatten, in_window, intersects_aoi, keep, lead_columns,
+    any_attribute_le, asset_patterns, counts, flat_products, flatten, in_window, intersects_aoi, keep, lead_columns,
     name_filter, outcomes, page, product_columns, select_assets, standardise_names,
 )
 from ..operators.assets import glob_regex as _regex
@@ -104,6 +104,18 @@ def flatten_items(spark, sf_dir):
     return flatten(items, sep="_").drop("GeoFootprint_coordinates")
 
 
+@query(
+    "WITH " + _ITEMS + """
+SELECT "Id", "Name", strftime(start, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate_Start",
+       strftime(start + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate_End",
+       identifier, content_start, "IngestionDate", "sizeInBytes", cover AS "CloudCover", collection
+FROM shaped"""
+)
+def flat_catalogue(spark, sf_dir):
+    items = inputs.catalogue_items(spark, sf_dir).drop("GeoFootprint", "Attributes", "Assets")
+    return _plain_start(flat_products(items, sep="_"))
+
+
 @query("SELECT p_partkey AS \"Id\", p_name AS \"Name\", p_brand, p_size AS \"ContentLength\" FROM part")
 def lead_columns_first(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(

@@ -18,8 +18,8 @@ from ..functions import (
     box_of, center_or_point, extract_category, head_segment, identifier, json_text, normalise, rings_of,
 )
 from ..operators import (
-    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily, flat_products, in_bbox, in_window,
-    intersects_aoi, latest_n, lookup, name_filter, needs_refresh, page, pivot_mean,
+    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily,
+    flat_products, in_bbox, in_window, intersects_aoi, latest_n, lookup, name_filter, needs_refresh, page, pivot_mean,
     prefix, product_columns, restrict, select_assets, standardise_names, tagged, trailing_days,
     upsert, zonal_stats,
 )

@@ -222,8 +222,9 @@ def zonal_stats(
     )
 
 
-def all_zone_months(zones: DataFrame, months, zone_id: str = "zone_id") -> DataFrame:
-    """Every zone with every month of a spine (an array column)."""
-    return zones.select(zone_id, F.explode(months).alias("_day")).select(
-        zone_id, month_label("_day").alias("date")
+def all_zone_months(zones: DataFrame, months, rings: str = "rings") -> DataFrame:
+    """Every zone, its polygon left out, with every month of a spine (an array column)."""
+    return (
+        zones.drop(rings).withColumn("_day", F.explode(months))
+        .withColumn("date", month_label("_day")).drop("_day")
     )

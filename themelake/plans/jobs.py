@@ -85,7 +85,7 @@ def night_light_history(
     day = F.col(columns.get("day", "date"))
     stats = zonal_stats(pixels.where((day >= first) & (day < last)), zones, cell, zone_id=zone_id, **columns)
     if all_zones:
-        stats = all_zone_months(zones, months, zone_id).join(stats, [zone_id, "date"], "left")
+        return all_zone_months(zones, months).join(stats, [zone_id, "date"], "left")
     attributes = zones.drop("rings")
     return stats if attributes.columns == [zone_id] else stats.join(attributes, zone_id, "left")
 

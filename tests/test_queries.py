@@ -3,7 +3,8 @@
 import pytest
 from compare import difference, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from themelake.plans.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,13 +14,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert difference(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), con, SQL[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
@@ -27,8 +28,8 @@ def test_entry(spark):
     assert df.columns == ["municipio", "year", "vistas", "clics", "compras", "provincia"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plan_has_no_slow_path(spark, plan, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text

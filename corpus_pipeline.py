@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themelake.llm.common import landed, table
+from themelake.llm.common import landed, let_workers_import, table
 from themelake.llm.quality_divergence import quality_verdicts
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,6 +24,7 @@ STAGES = [("quality rules", quality)]
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again before the next."""
+    let_workers_import(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +20,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, unless the session names another path."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def query(sql: str | None = None):
     """Register a query of this package under its function's name, with its SQL if there is one."""
 
     def register(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            let_workers_import(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql is not None:
             SQL[f.__name__] = sql
-        return f
+        return run
 
     return register
 

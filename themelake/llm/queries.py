@@ -1,4 +1,4 @@
 """Queries of the operators; importing a module registers its query."""
 
-from . import decontaminate, edit_counts, packing, quality_divergence, toxicity, url_reputation, viterbi_pieces, warc_fixity  # noqa: F401
+from . import bottomk_dedup, decontaminate, edit_counts, packing, quality_divergence, toxicity, url_reputation, viterbi_pieces, warc_fixity  # noqa: F401
 from .common import QUERIES, SQL  # noqa: F401

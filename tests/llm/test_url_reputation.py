@@ -1,0 +1,51 @@
+"""Hosts, paths, rules and the posterior bound on hand-made pages."""
+
+from themelake.llm import url_reputation as U
+
+PAGES = [
+    (1, "https://Blog.Example.ORG/en/12?q"), (2, "http://example.org/es/x"), (3, "http://a.example.org/es"), (4, "http://notexample.org/es/"),
+    (5, "http://x.com/fr/1"), (6, "http://x.com/de/1"), (7, "http://com/de/"), (8, "http://x.com/en/"), (9, None), (10, "no scheme"),
+    (11, "a://b.net?x://c.org/"), (12, "http://x.org#/"), (13, "http://"), (14, "http://É.net/É#"), (None, "http://n.net/"), (1, "http://twice.net/a"),
+]
+
+
+def test_rules(spark):
+    pages = spark.createDataFrame([(*p, "extra", 1) for p in PAGES], "page_id long, url string, host string, n long")
+    none = spark.createDataFrame([], "page_id long, bad boolean")
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in U.judge_urls(pages, none).collect()]
+    expected = [
+        (1, "blog.example.org", "/en/12", "example.org/en/1", "block"), (2, "example.org", "/es/x", "example.org/es/", "block"),
+        (3, "a.example.org", "/es", "org/", "allow"), (4, "notexample.org", "/es/", "org/", "allow"), (5, "x.com", "/fr/1", "com/fr/", "allow"),
+        (6, "x.com", "/de/1", "com/de/", "block"), (7, "com", "/de/", "com/de/", "block"), (8, "x.com", "/en/", None, "allow"),
+        (9, "", "", None, "allow"), (10, "", "", None, "allow"), (11, "b.net", "", None, "allow"), (12, "x.org", "", None, "allow"),
+        (13, "", "", None, "allow"), (14, "É.net", "/É", None, "allow"), (None, "n.net", "/", None, "allow"), (1, "twice.net", "/a", None, "allow"),
+    ]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert U.judge_urls(pages.limit(0), none).count() == 0
+
+
+def test_bad_host_is_blocked_and_small_ones_lean_on_their_domain(spark):
+    pages, outcomes = [], []
+    for host, n, bad in (("spam.bad.net", 60, 58), ("more.bad.net", 50, 47), ("new.bad.net", 1, None), ("ok.good.net", 80, 2), ("one.good.net", 1, 1), ("else.com", 40, 4)):
+        for k in range(n):
+            pages.append((len(pages), f"http://{host}/{k}"))
+            if bad is not None:
+                outcomes.append((len(pages) - 1, k < bad))
+    outcomes += [(None, True), (0, None), (0, False), (10**6, True)]
+    got = U.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad boolean"))
+    by = {r.host: r for r in got.dropDuplicates(["host"]).collect()}
+    assert by["spam.bad.net"].verdict == "block" and by["more.bad.net"].verdict == "block"
+    assert by["ok.good.net"].verdict == "allow" and by["one.good.net"].verdict == "allow" and by["else.com"].verdict == "allow"
+    assert by["spam.bad.net"].n_labels == 60 and by["spam.bad.net"].n_bad == 58
+    # one bad page of a good domain stays near the domain; an unseen host of a bad domain has its rate, less surely
+    assert by["one.good.net"].bad_rate < 0.6 < by["new.bad.net"].bad_rate
+    assert by["new.bad.net"].bad_bound < by["spam.bad.net"].bad_bound < by["spam.bad.net"].bad_rate
+
+
+def test_domains(spark):
+    rows = spark.createDataFrame([("a.b.co.uk",), ("b.co.uk",), ("x.y.example.com",), ("localhost",), ("10.0.0.1",), ("",)], "host string")
+    got = [tuple(r) for r in rows.select("host", U.domain_of(rows.host).alias("d"), U.suffix_of(U.domain_of(rows.host)).alias("s")).collect()]
+    assert got == [
+        ("a.b.co.uk", "b.co.uk", "co.uk"), ("b.co.uk", "b.co.uk", "co.uk"), ("x.y.example.com", "example.com", "com"),
+        ("localhost", "localhost", ""), ("10.0.0.1", "10.0.0.1", "0.0.1"), ("", "", ""),
+    ]

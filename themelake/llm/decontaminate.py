@@ -200,13 +200,11 @@ def _matched(df: DataFrame, block: Block) -> DataFrame:
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
                 for d in range(j - i):
                     spans[i + d] = (turns[cut[d] : cut[d + 1]] - first[d]).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(words), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "text", "n_words", "spans", "items"],
-            )
+            new = {"n_words": pa.array(words), "spans": pa.array(spans, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string()))}
+            columns = {name: new.get(name, batch.column(name)) for name in batch.schema.names}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(matched, f"doc_id {kind}, text string, n_words long, spans array<long>, items array<string>")
+    return df.mapInArrow(matched, df.schema)
 
 
 def _blocks(benchmark: DataFrame, window: int, shingle: int, block_words: int) -> Iterator[Block]:
@@ -222,21 +220,22 @@ def _blocks(benchmark: DataFrame, window: int, shingle: int, block_words: int) -
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = 5, min_percent: int = 5,
-    block_words: int = 2_000_000,
+    block_words: int = 2_000_000, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids), spans (word ranges) and contaminated of each document.
+    """doc_id, n_words, n_hit, items (sorted ids), spans (word ranges), contaminated and ``keep`` columns of each document.
 
     ``contaminated`` is ``n_hit > 0`` and at least ``min_percent`` percent of the words hit.
     """
-    rows = docs.select("doc_id", "text").withColumns({
+    carried = [F.col(c).alias(f"kept {c}") for c in keep if c != "text"]
+    rows = docs.select("doc_id", "text", *carried).withColumns({
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<bigint>"), "items": F.array().cast("array<string>"),
     })
     for block in _blocks(benchmark, window, shingle, block_words):
         rows = _matched(rows, block.ranked(_count(docs, block)))
     n_hit = F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda s, x: s + x)
-    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans").withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= min_percent * F.col("n_words"))
-    )
+    hit = (n_hit > 0) & (100 * n_hit >= min_percent * F.col("n_words"))
+    kept = [F.col("text" if c == "text" else f"kept {c}").alias(c) for c in keep]
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans", hit.alias("contaminated"), *kept)
 
 
 def digest(items: Column) -> Column:

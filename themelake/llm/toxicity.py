@@ -103,7 +103,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, shape: Shape, epochs: int = 12, batch: int = 64,
+    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, shape: Shape, steps: int = 1200, batch: int = 64,
     rate: float = 3000.0, layer_rate: float = 0.1, min_docs: int = 4, seed: int = 1,
 ) -> tuple[np.ndarray, float]:
     """Fit embeddings and softmax layer jointly by gradient descent; returns each bucket's number and the bias.
@@ -116,7 +116,7 @@ def train(
     """
     rng = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not bags or not 0 < share < 1:
         share = min(max(share, 1e-6), 1 - 1e-6)
         return np.zeros(shape.buckets), float(np.log(share / (1 - share)))
     held = np.bincount(np.concatenate([i for i, _ in bags]), minlength=shape.buckets)
@@ -125,6 +125,7 @@ def train(
     bags = [(i[some], (scale[i] * n / total)[some].astype(np.float32)) for (i, n), (some, total) in zip(bags, kept, strict=True)]
     embed = rng.normal(0, 0.1, (shape.buckets, shape.dim)).astype(np.float32)
     layer, bias = rng.normal(0, 0.3, (shape.dim, 2)).astype(np.float32), np.zeros(2, np.float32)
+    epochs = max(1, round(steps * batch / len(bags)))
     for epoch in range(epochs):
         order, slower = rng.permutation(len(bags)), 1 - epoch / epochs
         for i in range(0, len(order), batch):

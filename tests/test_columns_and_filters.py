@@ -187,3 +187,10 @@ def test_complete_rows(spark):
     )
     got = complete(df, {"a": "double", "b": "int", "c": "int"})
     assert rows(got) == [(1, 1.0, 2, 3)] and dict(got.dtypes)["c"] == "int"
+
+
+def test_window_on_text_of_any_fraction(spark):
+    texts = ["2024-06-30T23:59:59Z", "2024-06-30T23:59:59.000Z", "2024-06-30T23:59:59.9991Z", "2024-07-01T00:00:00Z", "2024-07-01T01:30:00+02:00", "x", None]
+    df = spark.createDataFrame([(t, "c", i) for i, t in enumerate(texts)], "content_start string, collection string, i int")
+    got = in_window(df, "c", date(2024, 6, 1), date(2024, 6, 30))
+    assert rows(got.select("i")) == [(0,), (1,), (4,)]

@@ -71,10 +71,10 @@ def test_product_catalogue(spark):
     )
     window = (date(2024, 1, 1), date(2024, 12, 31))
     got = product_catalogue(items, "sentinel2", "SENTINEL-2", *window, max_cloud=40, exclude="L1C")
-    assert [r["Id"] for r in got.collect()] == ["b", "a"]
+    assert sorted(r["Id"] for r in got.collect()) == ["a", "b"]
     assert [r["Id"] for r in product_catalogue(items, "sentinel2", "SENTINEL-2", *window, top=1, max_pages=2).collect()] == ["d", "b"]
     flat = product_catalogue(items, None, "SENTINEL-2", *window)
-    assert [r["identifier"] for r in flat.collect()] == ["w_L2A", "y_L2A", "z_L1C", "x_L2A"] and "ContentDate.Start" in flat.columns
+    assert sorted(r["identifier"] for r in flat.collect()) == ["w_L2A", "x_L2A", "y_L2A", "z_L1C"] and "ContentDate.Start" in flat.columns
     assert [r["Id"] for r in product_catalogue(items, "sentinel1", "SENTINEL-1", *window, max_cloud=40).collect()] == ["f"]
 
 
@@ -101,7 +101,17 @@ def test_provincial_population(spark):
 def test_municipal_series(spark):
     entities = spark.createDataFrame([("n", "1", "2", [(y, float(y)) for y in range(2000, 2010)])], SERIES_ITEM)
     assert rows(municipal_series(entities, 2).select("year")) == [(2008,), (2009,)]
-    assert municipal_series(entities, None).count() == 10
+    assert municipal_series(entities).count() == 10
+
+
+def test_municipal_series_counts_in_each_entity(spark, plan):
+    unnamed = [(None, None, None, [(2020, 1.0), (2019, 2.0)]), (None, None, None, [(2019, 4.0), (2020, 3.0), (2018, 5.0)])]
+    gap = ("n", "1", "2", [(2019, 1.0), (2021, None), (2020, 2.0)])
+    got = municipal_series(spark.createDataFrame([*unnamed, gap, ("e", "1", "2", None)], SERIES_ITEM), 2)
+    assert rows(got.select("municipio", "year", "population")) == [
+        ("Desconocido", 2019, 2.0), ("Desconocido", 2019, 4.0), ("Desconocido", 2020, 1.0), ("Desconocido", 2020, 3.0), ("n", 2020, 2.0),
+    ]
+    assert "Window" not in plan(got) and "Exchange" not in plan(got)
 
 
 STORE = "date date, tmax double, tmin double, precipitation_sum double, weather_code int"
@@ -142,6 +152,13 @@ def test_asset_run(spark):
     ]
 
 
+def test_asset_run_takes_all(spark):
+    products = spark.range(30).selectExpr("concat('p', id) AS product_id", "concat('N', id) AS Name", "id AS content_start")
+    members = products.selectExpr("product_id", "'a/TCI.jp2' AS member")
+    assets, statuses = asset_run(products, members, products.limit(0), "tci")
+    assert assets.count() == statuses.where("status = 'ok'").count() == 30
+
+
 def test_run_isolates_failures(spark, tmp_path):
     def broken():
         raise RuntimeError("no")
@@ -157,4 +174,5 @@ def test_run_isolates_failures(spark, tmp_path):
     status = {r["dataset"]: (r["rows"], r["status"]) for r in got.collect()}
     assert status["ok"] == (1, "ok") and status["none"] == status["zero"] == (0, "empty")
     assert all(status[k][1].startswith("failed: ") for k in ("bad", "x", "late"))
+    assert status["bad"][1] == "failed: RuntimeError: no" and "unknown theme" in status["x"][1]
     assert spark.read.option("header", True).csv(str(tmp_path / "satelital" / "ok")).count() == 1

@@ -8,7 +8,7 @@ from themelake.fixed_values import WEATHER_VALUES
 from themelake.operators import join, lookup, needs_refresh, restrict, trailing_days, unmatched, upsert
 from themelake.plans.jobs import province_table
 from themelake.sinks import ensure_table, read_table, save_theme, save_theme_json, upsert_table
-from themelake.sinks.keyed import touched_partitions
+from themelake.sinks.keyed import live_partitions, touched_partitions
 from themelake.sources import read_csv
 
 
@@ -70,14 +70,15 @@ def test_keyed_table(spark, tmp_path):
 
     assert ensure_table(spark, path, SCHEMA, "month").count() == 0
     put((date(2024, 1, 1), 1.0), (date(2024, 2, 1), 2.0), (date(2024, 2, 2), None))
-    january = {p.name for p in (tmp_path / "t" / "month=2024-01").iterdir()}
+    january = (tmp_path / "t" / "data" / "_version=1" / "month=2024-01")
+    assert january.exists()
     put((date(2024, 2, 2), 5.0), (date(2024, 2, 2), 6.0), (date(2024, 3, 1), 3.0))
     expected = [
         (date(2024, 1, 1), 1.0, "2024-01"), (date(2024, 2, 1), 2.0, "2024-02"), (date(2024, 2, 2), 6.0, "2024-02"),
         (date(2024, 3, 1), 3.0, "2024-03"),
     ]
     assert rows(read_table(spark, path, SCHEMA)) == expected
-    assert {p.name for p in (tmp_path / "t" / "month=2024-01").iterdir()} == january  # not rewritten
+    assert not (tmp_path / "t" / "data" / "_version=2" / "month=2024-01").exists()  # not rewritten
     put()
     ensure_table(spark, path, SCHEMA, "month")
     assert rows(read_table(spark, path, SCHEMA)) == expected
@@ -85,13 +86,51 @@ def test_keyed_table(spark, tmp_path):
 
 def test_an_upsert_opens_the_partitions_of_its_batch_only(spark, plan, tmp_path):
     path = str(tmp_path / "t")
-    rows_ = [(date(2024, m, 1), float(m), f"2024-{m:02d}") for m in range(1, 10)]
-    spark.createDataFrame(rows_, SCHEMA).write.partitionBy("month").parquet(path)
-    batch = spark.createDataFrame(rows_[3:5], SCHEMA)
-    touched = touched_partitions(read_table(spark, path, SCHEMA), batch, "month")
-    assert touched.count() == 2
-    assert "PartitionFilters: [month" in plan(touched)
-    assert touched_partitions(read_table(spark, path, SCHEMA), batch.limit(0), "month").count() == 0
+    rows_ = [(date(2024, m, 1), float(m), f"2024-{m:02d}", 0) for m in range(1, 10)]
+    ensure_table(spark, path, SCHEMA, "month")
+    upsert_table(spark, path, SCHEMA, spark.createDataFrame(rows_, SCHEMA + ", n int"), ["day", "month"], "n", "month")
+    batch = spark.createDataFrame(rows_[3:5], SCHEMA + ", n int")
+    live = live_partitions(spark, path)
+    assert live.count() == 9 and touched_partitions(live, batch, "month").count() == 2
+    assert touched_partitions(live, batch.limit(0), "month").count() == 0
+    assert "2024-07" in plan(read_table(spark, path, SCHEMA))  # folders by literals
+
+
+def test_keys_are_checked(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ensure_table(spark, path, SCHEMA, "month")
+    put = lambda row, keys: upsert_table(spark, path, SCHEMA, spark.createDataFrame([row], SCHEMA + ", n int"), keys, "n", "month")
+    with pytest.raises(ValueError, match="one of the keys"):
+        put((date(2024, 1, 1), 1.0, "2024-01", 1), ["day"])
+    with pytest.raises(Exception, match="row without a whole key"):
+        put((date(2024, 1, 1), 1.0, None, 1), ["day", "month"])
+    assert read_table(spark, path, SCHEMA).count() == 0
+
+
+def test_a_run_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    ensure_table(spark, path, SCHEMA, "month")
+    put = lambda v: upsert_table(
+        spark, path, SCHEMA, spark.createDataFrame([(date(2024, 1, 1), v, "2024-01", 1)], SCHEMA + ", n int"), ["day", "month"], "n", "month"
+    )
+    put(1.0)
+    unionByName = type(spark.range(1)).unionByName
+    calls = []
+
+    def dies(self, *a, **k):  # the last one before the manifest is written
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("driver gone")
+        return unionByName(self, *a, **k)
+
+    monkeypatch.setattr(type(spark.range(1)), "unionByName", dies)
+    with pytest.raises(RuntimeError):
+        put(2.0)
+    monkeypatch.undo()
+    assert (tmp_path / "t" / "data" / "_version=2").exists()
+    assert rows(read_table(spark, path, SCHEMA)) == [(date(2024, 1, 1), 1.0, "2024-01")]
+    put(2.0)
+    assert rows(read_table(spark, path, SCHEMA)) == [(date(2024, 1, 1), 2.0, "2024-01")]
 
 
 def test_themed_sinks(spark, tmp_path):

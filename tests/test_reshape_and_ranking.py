@@ -152,3 +152,17 @@ def test_assets_match_like_a_glob(spark):
 def test_outcomes(spark):
     df = spark.createDataFrame([("a", "ok"), ("b", "ok"), ("c", "no-id")], "identifier string, status string")
     assert rows(outcomes(df)) == [("no-id", 1), ("ok", 2)]
+
+
+def test_hourly_axis_has_the_day_of_each_instant(spark):
+    start = 1704063600 + 23 * 3600  # 23:00 in Madrid
+    values = [1.0, 2.0, 3.0, 4.0]
+    df = spark.createDataFrame([(start, start + 4 * 3600, 3600, values)], "start long, end long, interval long, a array<double>")
+    assert [(r["date"].day, r["a"]) for r in expand_daily(df, ["a"], "Europe/Madrid").collect()] == [(1, 1.0), (2, 2.0), (2, 3.0), (2, 4.0)]
+
+
+def test_nan_is_a_missing_number(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("k", "l", 1.0, 1), ("k", "l", nan, 2), ("k", "m", 3.0, 3)], "k string, label string, v double, i int")
+    assert rows(collapse(df, ["k"], "label", "i").select("v")) == [(2.0,)]
+    assert rows(pivot_mean(df, ["k"], "label", "v", ["l", "m"], {})) == [("k", 1.0, 3.0)]

@@ -5,10 +5,12 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from themelake.operators import stack
+from themelake.sinks import save_theme, save_theme_json
 from themelake.sources import (
     CATALOGUE_ITEM, SERIES_ITEM, cube_out_of_range, decode_cube, explode_series, nan_to_null, read_csv, read_csv_set,
     read_cube, read_paged_json, read_zones,
 )
+from themelake.sources.cube import split_cube
 
 ORDER = ("time", "geo")
 
@@ -92,7 +94,9 @@ def test_cube_keeps_text_order_and_reports_bad_indexes(spark, tmp_path):
     geo = {f"Z{9 - i}": f"n{i}" for i in range(10)}
     path = put(tmp_path, "c.json", cube(geo, {"2021": "b", "2020": "a"}, {"0": 1, "12": 2, "20": 3, "5": None}))
     cells, dims = read_cube(spark, path, ORDER)
-    assert rows(decode_cube(cells, dims, ORDER), "geo_code", "time_code", "value") == [("Z7", "2020", 2.0), ("Z9", "2021", 1.0)]
+    assert rows(decode_cube(cells, dims, ORDER), "geo_code", "time_code", "value") == [
+        ("Z4", "2021", None), ("Z7", "2020", 2.0), ("Z9", "2021", 1.0),
+    ]
     assert rows(cube_out_of_range(cells), "flat", "value") == [("20", 3.0)]
     with pytest.raises(Exception, match="past the axes"):
         decode_cube(cells, dims, ORDER, strict=True).collect()
@@ -133,3 +137,27 @@ def test_zones(spark, tmp_path, lines):
     zones = read_zones(spark, path, {"ID": "zone_id", "LAU_NAME": "LAU_NAME"}, one_feature_per_line=lines)
     got = {r["zone_id"]: (r["LAU_NAME"], [len(x) for x in r["rings"]]) for r in zones.collect()}
     assert got == {"a": ("Ñ", [5]), "b": (None, [5, 4])}
+
+
+def test_cut_off_page_stops_the_job(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"value": [{"Id": "1"}]}')
+    (tmp_path / "b.json").write_text('{"value": [{"Id": "2"}, {"Id"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_paged_json(spark, str(tmp_path), "Id string").collect()
+    assert read_paged_json(spark, str(tmp_path), "Id string", mode="PERMISSIVE").count() == 1
+
+
+def test_cube_with_marks_for_gaps(spark):
+    text = '{"dimension":{"geo":{"category":{"label":{"ES":"E","FR":"F"}}},"time":{"category":{"label":{"2020":"a"}}}},"value":{"0":1,"1":":"}}'
+    cells, dims = split_cube(spark.createDataFrame([("d", text)], "doc string, text string"), ("time", "geo"))
+    assert rows(decode_cube(cells, dims, ("time", "geo")), "geo_code", "value") == [("ES", 1.0), ("FR", None)]
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    path = save_theme(spark.createDataFrame([(1, "a\nb"), (2, 'c"\r\n"d')], "i int, s string"), "transporte", "x", str(tmp_path))
+    assert rows(read_csv(spark, path, "i int, s string")) == [(1, "a\nb"), (2, 'c"\r\n"d')]
+
+
+def test_json_keeps_missing_values(spark, tmp_path):
+    path = save_theme_json(spark.createDataFrame([(1, None)], "i int, s string"), "transporte", "x", str(tmp_path))
+    assert spark.read.text(path).first()[0] == '{"i":1,"s":null}'

@@ -18,8 +18,6 @@ from .columns import computed_once
 def _literal_like(df: DataFrame, column: str, at: datetime) -> Column:
     """A literal of the column's own type: a cast on the column stops pushdown."""
     kind = df.select(column).schema[0].dataType
-    if isinstance(kind, T.StringType):  # ISO text in UTC sorts as time does
-        return F.lit(at.isoformat(timespec="milliseconds") + "Z")
     if isinstance(kind, T.TimestampNTZType):
         return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(at.isoformat(sep=" ") + "+00:00").cast("timestamp")
@@ -38,9 +36,16 @@ def in_window(
 
     ``both``: from the first instant of ``start`` to 23:59:59.999 of ``end``.
     ``neither``: strictly between the two midnights, so ``end`` is out.
+    ISO text is compared as the instant it names, whatever its fraction or
+    offset; for the scan, its day is compared as text first, a day wider on
+    either side. Text that names no instant is outside.
     """
     low = datetime.combine(start, time())
     at = F.col(start_col)
+    if isinstance(df.select(start_col).schema[0].dataType, T.StringType):
+        first, behind = start - timedelta(days=1), end + timedelta(days=2)
+        df = df.where((at >= first.isoformat()) & (at < behind.isoformat()))
+        at = at.try_cast("timestamp")
     if closed == "both":
         high = datetime.combine(end, time()) + timedelta(days=1) - timedelta(milliseconds=1)
         inside = (at >= _literal_like(df, start_col, low)) & (at <= _literal_like(df, start_col, high))

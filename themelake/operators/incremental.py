@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .filters import complete
@@ -29,17 +29,11 @@ def needs_refresh(targets: DataFrame, store: DataFrame, on: list[str], required:
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """The row with the greatest ``order_col`` for each key, a missing one being the least.
 
-    ``max_by`` keeps one row per key and map task before the shuffle, so a key
-    that holds much of the batch stays small.
+    The group limit keeps one row per key and map task before the shuffle, so a
+    key that holds much of the batch stays small.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(order_col).isNotNull(), F.col(order_col))
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
-    )
+    newest = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
+    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order_col: str) -> DataFrame:

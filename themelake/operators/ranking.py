@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark limits each map task's rows per group before the shuffle up to this rank
-# (spark.sql.optimizer.windowGroupLimitThreshold, default).
-GROUP_LIMIT = 1000
+# Spark limits each map task's rows per group before the shuffle up to this rank.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def latest_n(
@@ -18,12 +17,13 @@ def latest_n(
     For usual ``n`` the group limit bounds what a hot series sends to its task.
     For larger ones the rows are ranked per series and input partition first,
     which spreads a hot series over all tasks: what is among the last ``n`` of
-    its series is among the last ``n`` of its part.
+    its series is among the last ``n`` of its part. Without a ``tie_break`` that
+    makes the order total, which of equal rows is kept is left open.
     """
     if n is None:
         return df
     order = [F.desc(period), *[F.asc(c) for c in tie_break or []]]
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT)):
         split = Window.partitionBy(*series, "_part").orderBy(*order)
         df = (
             df.withColumn("_part", F.spark_partition_id())

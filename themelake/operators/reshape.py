@@ -15,10 +15,17 @@ def _present(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
+def _numbers(df: DataFrame) -> DataFrame:
+    """NaN as null, as a missing reading must not spoil a mean."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.nanvl(F.col(f"`{c}`"), F.lit(None)) for c in floats}) if floats else df
+
+
 def collapse(df: DataFrame, keys: list[str], label: str, order_col: str) -> DataFrame:
     """One row per key: mean of each other number column, first non-null label.
 
-    "First" is by ``order_col``, a missing one being the last. Two hash aggregations: the first is per key and
+    "First" is by ``order_col``, a missing one being the last; a NaN is a missing
+    number. Two hash aggregations: the first is per key and
     label with number buffers only, where nearly all rows fold before the
     shuffle; the second picks among the labels of a key. A label kept in the
     first buffer would make Spark sort all rows instead.
@@ -27,6 +34,7 @@ def collapse(df: DataFrame, keys: list[str], label: str, order_col: str) -> Data
         f.name for f in df.schema.fields
         if isinstance(f.dataType, T.NumericType) and f.name not in keys and f.name != order_col
     ]
+    df = _numbers(df)
     if label in keys:
         return _present(df, keys).groupBy(*keys).agg(*[F.avg(c).alias(c) for c in numbers])
     by_label = (
@@ -55,7 +63,7 @@ def pivot_mean(
     means = [
         F.avg(F.when(F.col(column) == c, F.col(value))).alias(names.get(c, c)) for c in categories
     ]
-    known = _present(df, index).where(F.col(column).isin(categories))
+    known = _present(_numbers(df), index).where(F.col(column).isin(categories))
     return known.groupBy(*index).agg(*means).dropna("all", subset=[names.get(c, c) for c in categories])
 
 

@@ -40,8 +40,9 @@ def expand_daily(
     """One row per local day of parallel arrays on a regular axis.
 
     The axis runs from ``start`` up to and without ``end``; the shortest array
-    cuts it. Days count up from the local start day, so a clock change neither
-    repeats nor skips one.
+    cuts it. With steps of whole days, days count up from the local start day, so
+    a clock change neither repeats nor skips one; with other steps each instant
+    has its own local day.
     """
     axis = F.ceil((F.col(end) - F.col(start)) / F.col(step)).cast("int")
     length = F.greatest(F.lit(0), F.least(axis, *[F.size(a) for a in arrays]))
@@ -49,12 +50,14 @@ def expand_daily(
     rows = df.select(
         *others,
         local_date(F.col(start), zone).alias("_day"),
+        F.col(start).alias("_start"),
         F.col(step).alias("_step"),
         F.posexplode(F.slice(F.arrays_zip(*arrays), F.lit(1), length)).alias("_pos", "_values"),
     )
     passed = F.call_function("div", F.col("_pos") * F.col("_step"), F.lit(86400)).cast("int")
     return rows.select(
         *others,
-        F.date_add("_day", passed).alias(out),
+        F.when(F.col("_step") % 86400 == 0, F.date_add("_day", passed))
+        .otherwise(local_date(F.col("_start") + F.col("_pos") * F.col("_step"), zone)).alias(out),
         *[F.col(f"_values.{a}").alias(a) for a in arrays],
     )

@@ -44,7 +44,7 @@ def user_provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def municipal_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One entity per customer, its yearly order value nested; some names, codes and values absent."""
+    """One entity per customer, its yearly order value nested; some names, codes and values (newest years too) absent."""
     orders = table(spark, sf_dir, "orders")
     yearly = orders.groupBy("o_custkey", F.year("o_orderdate").alias("Anyo")).agg(
         F.sum(cents("o_totalprice")).cast("double").alias("Valor")
@@ -57,7 +57,7 @@ def municipal_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(data, k == F.col("o_custkey"), "left").select(
         F.when(k % 7 != 0, F.col("c_name")).alias("Nombre"),
         F.when(k % 5 != 0, F.col("c_nationkey").cast("string")).alias("CODPROV"),
-        k.cast("string").alias("CODMUNI"),
+        F.when(k % 35 != 0, k.cast("string")).alias("CODMUNI"),  # each 35th has neither name nor codes
         "Data",
     )
 
@@ -177,7 +177,7 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("Attributes"),
         F.when(
             k % 4 != 0,
-            F.array(F.create_map(F.lit("Type"), F.lit("S3"), F.lit("S3Path"), F.concat(F.lit("/eodata/ñ/"), k))),
+            F.array(F.create_map(F.lit("Type"), F.lit("S3"), F.lit("S3Path"), F.concat(F.lit("/archive/ñ/"), k))),
         ).alias("Assets"),
         F.when(status == "P", F.lit("SENTINEL-1")).otherwise(F.lit("SENTINEL-2")).alias("collection"),
     )

@@ -1,7 +1,8 @@
 """The composite jobs: landed data in, one tidy table per dataset out.
 
-Each function takes and returns DataFrames and runs nothing; :func:`run_all`
-writes the results by theme.
+Each function takes and returns DataFrames; :func:`run_all` writes the results
+by theme. Polygon texts are read while the plan is built (one small job), and a
+zone join looks at the zones first to choose its way.
 """
 
 from __future__ import annotations
@@ -9,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +21,15 @@ from ..functions import (
     box_of, center_or_point, extract_category, head_segment, identifier, json_text, normalise, rings_of,
 )
 from ..operators import (
-    any_attribute_le, asset_patterns, collapse, complete, computed_once, expand_daily,
-    flat_products, in_bbox, in_window, intersects_aoi, latest_n, lookup, name_filter, needs_refresh, page, pivot_mean,
+    any_attribute_le, asset_patterns, collapse, complete, computed_once, counts, expand_daily,
+    flat_products, in_bbox, in_window, intersects_aoi, lookup, name_filter, needs_refresh, page, pivot_mean,
     prefix, product_columns, restrict, select_assets, standardise_names, tagged, trailing_days,
     upsert, zonal_stats,
 )
 from ..operators.zonal import all_zone_months
 from ..sinks import save_theme
-from ..sources import decode_cube, explode_series
+from ..session import cut_lineage
+from ..sources import decode_cube, explode_series, last_periods
 
 
 def province_table(spark: SparkSession) -> DataFrame:
@@ -74,12 +78,13 @@ def night_light_history(
     months: Column,
     zone_id: str = "zone_id",
     cell: float | None = None,
-    all_zones: bool = False,
+    all_zones: bool = True,
     **columns,
 ) -> DataFrame:
     """Zonal statistics for the months of a spine, zone columns attached.
 
-    ``all_zones`` also gives the zones without pixels, with null statistics.
+    Zones without pixels have their months too, with null statistics, unless
+    ``all_zones`` is off.
     """
     first, last = F.array_min(months), F.add_months(F.array_max(months), 1)
     day = F.col(columns.get("day", "date"))
@@ -102,13 +107,37 @@ def product_catalogue(
     max_cloud: int | None = None,
     tile: str | None = None,
     exclude: str | None = None,
-    top: int = 500,
-    max_pages: int = 50,
+    top: int | None = None,
+    max_pages: int = 1,
 ) -> DataFrame:
-    """Products of a collection by time, area, name and cloud, latest first, capped as a page set.
+    """Products of a collection by time, area, name and cloud.
 
-    With a ``theme`` the columns of that collection, without one all fields flat.
+    All of them, in no order, unless ``top`` asks for a page set: then the
+    latest ``top * max_pages``; :func:`matched_and_returned` tells how many that
+    leaves out. With a ``theme`` the columns of that collection, without one all
+    fields flat.
     """
+    found = _matching(items, collection, start, end, closed, aoi_rings, aoi_wkt, max_cloud, tile, exclude)
+    if top is not None:
+        found = page(found, [F.desc("_start"), F.asc("Id")], top, max_pages)
+    found = found.drop("_start")
+    return product_columns(found, theme) if theme else flat_products(found)
+
+
+def matched_and_returned(
+    items: DataFrame, collection: str, start: date, end: date, closed: str = "both", aoi_rings: str | None = None,
+    aoi_wkt: str | None = None, max_cloud: int | None = None, tile: str | None = None, exclude: str | None = None,
+    top: int | None = None, max_pages: int = 1,
+) -> DataFrame:
+    """How many products :func:`product_catalogue` matches, and how many its page set returns; one row."""
+    found = _matching(items, collection, start, end, closed, aoi_rings, aoi_wkt, max_cloud, tile, exclude)
+    return counts(found, top, max_pages)
+
+
+def _matching(
+    items: DataFrame, collection: str, start: date, end: date, closed: str, aoi_rings: str | None, aoi_wkt: str | None,
+    max_cloud: int | None, tile: str | None, exclude: str | None,
+) -> DataFrame:
     found = in_window(
         items.withColumn("_start", F.col("ContentDate.Start").try_cast("timestamp")),
         collection, start, end, closed, start_col="_start",
@@ -117,8 +146,7 @@ def product_catalogue(
     found = any_attribute_le(found, max_cloud)
     if aoi_wkt:
         found = intersects_aoi(found, aoi_rings, aoi_wkt)
-    found = page(found, [F.desc("_start"), F.asc("Id")], top, max_pages).drop("_start")
-    return product_columns(found, theme) if theme else flat_products(found)
+    return found
 
 
 def rail_stations(elements: DataFrame, wkt: str) -> DataFrame:
@@ -140,12 +168,17 @@ def provincial_population(
     order: tuple[str, str] = ("time", "geo"),
     country: str = "ES",
     length: int | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Population by region code and year out of a statistics cube."""
+    """Population by region code and year out of a statistics cube.
+
+    Cells past the axes fail the job with ``strict``; otherwise they are left
+    out here and listed by ``cube_out_of_range``.
+    """
     time_dim, geo_dim = order
     # The country is known before the cells are joined to it.
     dims = {**dims, geo_dim: prefix(dims[geo_dim], f"{geo_dim}_code", country, length)}
-    return decode_cube(cells, dims, order).select(
+    return decode_cube(cells, dims, order, strict=strict).select(
         F.col(f"{geo_dim}_code").alias("region_code"),
         F.col(f"{geo_dim}_label").alias("region_name"),
         F.col(f"{time_dim}_code").cast("int").alias("year"),
@@ -153,10 +186,13 @@ def provincial_population(
     )
 
 
-def municipal_series(entities: DataFrame, years: int | None = 30) -> DataFrame:
-    """Population per municipality and year, the last ``years`` of each series."""
-    rows = explode_series(entities)
-    return latest_n(rows, ["cod_prov", "cod_muni", "municipio"], "year", years)
+def municipal_series(entities: DataFrame, years: int | None = None) -> DataFrame:
+    """Population per municipality and year; the last ``years`` periods of each entity if a number is given.
+
+    The periods are counted inside each entity, before those without a value
+    drop out, so entities without name and codes stay apart and no row moves.
+    """
+    return explode_series(entities if years is None else last_periods(entities, years))
 
 
 def weather_repair(
@@ -192,15 +228,17 @@ def asset_run(
     mode: str,
     bands: list[str] | None = None,
     collection: str = fixed.SENTINEL_2,
-    max_products: int = 10,
+    max_products: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Members to take from the archives of the next products, and a status per product.
+    """Members to take from the archives of the pending products, and a status per product.
 
-    Products already done are passed over. The cap is the run's size, in product
-    order; run again for the next ones.
+    Products already done are passed over. ``max_products`` limits a run to the
+    next ones, in product order; run again for the rest.
     """
-    pending = products.join(done.select("product_id"), "product_id", "left_anti")
-    batch = page(pending, [F.desc("content_start"), F.asc("product_id")], max_products)
+    batch = products.join(done.select("product_id"), "product_id", "left_anti")
+    if max_products is not None:
+        # chosen once for members and statuses
+        batch = cut_lineage(page(batch, [F.desc("content_start"), F.asc("product_id")], max_products))
     patterns = asset_patterns(mode, bands, collection)
     assets = select_assets(members.join(batch.select("product_id"), "product_id", "left_semi"), patterns)
     found = assets.groupBy("product_id").agg(F.count(F.lit(1)).alias("assets"))
@@ -226,25 +264,32 @@ class Dataset:
     build: Callable[[], DataFrame | None]
 
 
+def first_line(failure: Exception) -> str:
+    return next(iter(str(failure).strip().splitlines()), "")
+
+
 RUN_SCHEMA = "theme string, dataset string, rows bigint, status string, path string"
 
 
-def run_all(spark: SparkSession, datasets: list[Dataset], base: str, fmt: str = "csv") -> DataFrame:
-    """Write every dataset; one that fails is reported and does not stop the rest.
+def run_all(spark: SparkSession, datasets: list[Dataset], base: str, fmt: str = "csv", at_once: int = 4) -> DataFrame:
+    """Write every dataset; one that fails is reported with its message and does not stop the rest.
 
-    Rows are counted while they are written, not in a second run.
+    Up to ``at_once`` datasets are written side by side, so that small ones fill
+    the cores a large one leaves idle. Rows are counted while they are written,
+    not in a second run.
     """
-    results = []
-    for d in datasets:
+
+    def write(d: Dataset) -> tuple:
         try:
             df = d.build()
             if df is None:
-                results.append((d.theme, d.name, 0, "empty", None))
-                continue
+                return d.theme, d.name, 0, "empty", None
             seen = Observation()
             path = save_theme(df.observe(seen, F.count(F.lit(1)).alias("rows")), d.theme, d.name, base, fmt)
             rows = seen.get["rows"]
-            results.append((d.theme, d.name, rows, "ok" if rows else "empty", path))
+            return d.theme, d.name, rows, "ok" if rows else "empty", path
         except Exception as failure:  # isolation: report, go on
-            results.append((d.theme, d.name, 0, f"failed: {type(failure).__name__}", None))
-    return spark.createDataFrame(results, RUN_SCHEMA)
+            return d.theme, d.name, 0, f"failed: {type(failure).__name__}: {first_line(failure)}", None
+
+    with ThreadPool(at_once) as pool:
+        return spark.createDataFrame(pool.map(inheritable_thread_target(spark)(write), datasets, chunksize=1), RUN_SCHEMA)

@@ -16,7 +16,7 @@ from ..operators.assets import glob_regex as _regex
 from ..session import scratch
 from ..sources import CATALOGUE_ITEM, read_paged_json
 from . import inputs
-from .jobs import asset_run, product_catalogue
+from .jobs import asset_run, matched_and_returned, product_catalogue
 from .registry import query, table
 
 # The same catalogue on the SQL side, as flat columns.
@@ -47,7 +47,7 @@ shaped AS (
            '{"type":"Polygon","coordinates":[[[' || west || ',' || south || '],[' || (west + 1) || ',' || south
                || '],[' || west || ',' || (south + 1) || '],[' || west || ',' || south || ']]]}' AS footprint,
            CASE WHEN "Name" LIKE '%L2A%' THEN 'L2A' ELSE 'unknown' END AS product_level,
-           CASE WHEN k % 4 <> 0 THEN '[{"Type":"S3","S3Path":"/eodata/ñ/' || k || '"}]' END AS s3_asset
+           CASE WHEN k % 4 <> 0 THEN '[{"Type":"S3","S3Path":"/archive/ñ/' || k || '"}]' END AS s3_asset
     FROM items
 )"""
 
@@ -246,26 +246,46 @@ def ordered_page(spark, sf_dir):
     return page(orders, [F.desc("o_orderdate"), F.asc("o_orderkey")], top=500, max_pages=2, skip=500).drop("o_orderdate")
 
 
-@query("SELECT count(*) AS total, least(count(*), 10000) AS returned FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT count(*) AS total, least(count(*), 10000) AS returned FROM orders")
 def row_counts(spark, sf_dir):
-    return counts(table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), top=500, max_pages=20)
+    return counts(table(spark, sf_dir, "orders"), top=500, max_pages=20)
 
 
 @query(
     "WITH " + _ITEMS + " SELECT collection, " + _S2 + " FROM shaped WHERE collection = 'SENTINEL-2' AND "
     + _WINDOW_BOTH.replace("1996-06-30", "1999-06-30") + " AND " + _IN_MADRID + """
   AND "Name" NOT LIKE '%L1C%' AND cloud_by_value AND cloud_attr <= 80
-ORDER BY start DESC, "Id" LIMIT 25"""
+ORDER BY start DESC, "Id" LIMIT 4"""
 )
 def product_catalogue_page(spark, sf_dir):
     items = inputs.catalogue_items(spark, sf_dir).withColumn("rings", inputs.footprint_rings())
     found = product_catalogue(
         items, "sentinel2", "SENTINEL-2", _START, date(1999, 6, 30), aoi_rings="rings", aoi_wkt=AOIS["madrid"],
-        max_cloud=80, exclude="L1C", top=5, max_pages=5,
+        max_cloud=80, exclude="L1C", top=2, max_pages=2,
     )
     return _plain_start(found)
 
 
+@query(
+    "WITH " + _ITEMS + " SELECT collection, " + _S1 + " FROM shaped WHERE collection = 'SENTINEL-1' AND "
+    + _WINDOW_BOTH.replace("1996-06-30", "1999-06-30")
+)
+def product_catalogue_all(spark, sf_dir):
+    """No page asked for: every product that matches."""
+    items = inputs.catalogue_items(spark, sf_dir)
+    return _plain_start(product_catalogue(items, "sentinel1", "SENTINEL-1", _START, date(1999, 6, 30)))
+
+
+@query(
+    "WITH " + _ITEMS + " SELECT count(*) AS total, least(count(*), 100) AS returned FROM shaped WHERE collection = 'SENTINEL-1' AND "
+    + _WINDOW_BOTH.replace("1996-06-30", "1999-06-30")
+)
+def product_page_counts(spark, sf_dir):
+    """What a page set of 100 leaves out."""
+    items = inputs.catalogue_items(spark, sf_dir)
+    return matched_and_returned(items, "SENTINEL-1", _START, date(1999, 6, 30), top=20, max_pages=5)
+
+
 # --- archive members
 
 _MEMBERS = """

@@ -162,30 +162,30 @@ def distinct_sorted_names(spark, sf_dir):
     return distinct_sorted(titles.select(normalise(head_segment("municipio")).alias("municipio")), "municipio")
 
 
-_SERIES = """
+SERIES_SQL = """
 series AS (
     SELECT CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_nationkey AS VARCHAR) ELSE '' END AS cod_prov,
-           CAST(c_custkey AS VARCHAR) AS cod_muni,
+           CASE WHEN c_custkey % 35 <> 0 THEN CAST(c_custkey AS VARCHAR) ELSE '' END AS cod_muni,
            CASE WHEN c_custkey % 7 <> 0 THEN c_name ELSE 'Desconocido' END AS municipio,
-           year, population
+           year, population, periods_after
     FROM (
         SELECT o_custkey, CAST(extract(year FROM o_orderdate) AS INTEGER) AS year,
-               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS population
-        FROM orders GROUP BY ALL
+               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS population,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY extract(year FROM o_orderdate) DESC) - 1 AS periods_after
+        FROM orders GROUP BY o_custkey, extract(year FROM o_orderdate)
     ) JOIN customer ON o_custkey = c_custkey
     WHERE year % 4 <> 0
 )"""
 
 
-@query("WITH " + _SERIES + " SELECT * FROM series")
+@query("WITH " + SERIES_SQL + " SELECT * EXCLUDE (periods_after) FROM series")
 def series_observations(spark, sf_dir):
     return explode_series(inputs.municipal_entities(spark, sf_dir), defaults=SERIES_DEFAULTS)
 
 
 @query(
-    "WITH " + _SERIES + """
-SELECT * FROM series
-QUALIFY row_number() OVER (PARTITION BY cod_prov, cod_muni, municipio ORDER BY year DESC) <= 2"""
+    "WITH " + SERIES_SQL + """
+SELECT * EXCLUDE (periods_after) FROM series WHERE periods_after < 2"""
 )
 def municipal_population_series(spark, sf_dir):
     return municipal_series(inputs.municipal_entities(spark, sf_dir), years=2)
@@ -212,7 +212,7 @@ def latest_periods_deep(spark, sf_dir):
     return latest_n(events, ["event_type"], "ts", 1500, ["event_id"]).drop("ts")
 
 
-_CUBE = """
+CUBE_SQL = """
 cube AS (
     SELECT o_orderpriority AS doc, c_nationkey AS nation,
            CASE WHEN n_regionkey < 3 THEN 'ES' ELSE 'FR' END || (n_nationkey + 100) AS code, n_name AS label,
@@ -228,7 +228,7 @@ def _cube(spark, sf_dir):
 
 
 @query(
-    "WITH " + _CUBE + """
+    "WITH " + CUBE_SQL + """
 SELECT doc, CAST(year AS VARCHAR) AS time_code, CAST(year AS VARCHAR) AS time_label,
        code AS geo_code, label AS geo_label, value
 FROM cube WHERE in_range"""
@@ -238,7 +238,7 @@ def cube_cells(spark, sf_dir):
     return decode_cube(cells, dims, inputs.CUBE_ORDER)
 
 
-@query("WITH " + _CUBE + " SELECT doc, count(*) AS cells, sum(value) AS value FROM cube WHERE NOT in_range GROUP BY doc")
+@query("WITH " + CUBE_SQL + " SELECT doc, count(*) AS cells, sum(value) AS value FROM cube WHERE NOT in_range GROUP BY doc")
 def cube_cells_out_of_range(spark, sf_dir):
     cells, _ = _cube(spark, sf_dir)
     return cube_out_of_range(cells).groupBy("doc").agg(
@@ -247,7 +247,7 @@ def cube_cells_out_of_range(spark, sf_dir):
 
 
 @query(
-    "WITH " + _CUBE + """
+    "WITH " + CUBE_SQL + """
 SELECT code AS region_code, label AS region_name, year, value AS population
 FROM cube WHERE in_range AND code LIKE 'ES%'"""
 )

@@ -6,18 +6,21 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import WEATHER_VALUES, WEATHER_ZONE
+from ..fixed_values import THEME_DIRS, WEATHER_VALUES, WEATHER_ZONE
 from ..functions import day_label, instant, local_date, month_label
 from ..operators import (
     complete, expand_daily, join, month_spine, needs_refresh, restrict, trailing_days, upsert,
 )
 from ..session import scratch
 from ..sinks import ensure_table, read_table, save_theme, save_theme_json, upsert_table
-from ..sources import read_csv, read_csv_set
+from ..sources import features_to_zones, read_csv, read_csv_set
+from ..sources.cube import split_cube
 from . import inputs
 from .jobs import (
-    Dataset, clean_night_lights, clean_population, product_catalogue, rail_stations, run_all, weather_repair,
+    Dataset, clean_night_lights, clean_population, municipal_series, night_light_history, product_catalogue,
+    provincial_population, rail_stations, run_all, weather_repair,
 )
+from .queries_population import CUBE_SQL, SERIES_SQL
 from .registry import query, table
 
 
@@ -146,28 +149,28 @@ def days_to_refresh(spark, sf_dir):
 
 _CHANGES = """
 changes AS (
-    SELECT l_orderkey AS o_orderkey, 'L' || arg_max(l_returnflag, n) AS status, arg_max(cents, n) AS cents
+    SELECT CASE WHEN l_partkey % 3 = 0 THEN -l_orderkey ELSE l_orderkey END AS o_orderkey, 'L' || arg_max(l_returnflag, n) AS status, arg_max(cents, n) AS cents
     FROM (SELECT *, cents * 1000 + ascii(l_returnflag) AS n
           FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem))
-    WHERE l_partkey % 5 = 0 GROUP BY l_orderkey
+    GROUP BY 1
 ), base AS (
     SELECT o_orderkey, o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
            CAST(extract(year FROM o_orderdate) AS INTEGER) AS year
-    FROM orders WHERE o_orderkey % 3 <> 0
+    FROM orders
 )"""
 
 
 def _orders_base(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderstatus").alias("status"), inputs.cents("o_totalprice").alias("cents"),
         F.year("o_orderdate").alias("year"),
     )
 
 
 def _line_changes(spark, sf_dir):
-    """Several changes per order; the highest price wins."""
-    return table(spark, sf_dir, "lineitem").where("l_partkey % 5 = 0").select(
-        F.col("l_orderkey").alias("o_orderkey"),
+    """Several changes per order, the highest price wins; a third go to keys that are new."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_partkey") % 3 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("o_orderkey"),
         F.concat(F.lit("L"), "l_returnflag").alias("status"),
         inputs.cents("l_extendedprice").alias("cents"),
         (inputs.cents("l_extendedprice") * 1000 + F.ascii("l_returnflag")).alias("n"),
@@ -212,12 +215,12 @@ def keyed_table_upsert(spark, sf_dir):
     """
 SELECT strftime(m, '%Y-%m') AS month, coalesce(n, 0) AS orders
 FROM (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS m)
-LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) USING (m)"""
+LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1) USING (m)"""
 )
 def orders_by_month(spark, sf_dir):
-    """A month without orders keeps its row."""
+    """The months of a spine; one without orders keeps its row."""
     monthly = (
-        table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+        table(spark, sf_dir, "orders")
         .groupBy(F.trunc("o_orderdate", "month").alias("_day")).agg(F.count(F.lit(1)).alias("n"))
     )
     spine = spark.range(1).select(F.explode(month_spine(1996, 1999)).alias("_day"))
@@ -309,21 +312,26 @@ def weather_rows_upserted(spark, sf_dir):
 # --- the themed run
 
 @query(
-    """
+    "WITH " + CUBE_SQL + "," + SERIES_SQL + """
 SELECT 'demografia' AS theme, 'poblacion' AS dataset, count(*) AS rows, 'ok' AS status FROM (
     SELECT DISTINCT user_id, extract(day FROM ts) FROM events WHERE event_type IN ('view', 'click', 'purchase'))
 UNION ALL SELECT 'luz_nocturna', 'luces', count(DISTINCT strftime(l_shipdate, '%Y-%m')), 'ok' FROM lineitem
-UNION ALL SELECT 'satelital', 'sentinel1', least(count(*), 25000), 'ok' FROM orders
+UNION ALL SELECT 'satelital', 'sentinel1', count(*), 'ok' FROM orders
     WHERE o_orderstatus = 'P' AND o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1999-07-01'
+UNION ALL SELECT 'satelital', 'sentinel2', count(*), 'ok' FROM orders
+    WHERE o_orderstatus <> 'P' AND o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1999-07-01'
+UNION ALL SELECT 'demografia', 'provincias', count(*), 'ok' FROM cube WHERE in_range AND code LIKE 'ES%'
+UNION ALL SELECT 'demografia', 'municipios', count(*), 'ok' FROM series
+UNION ALL SELECT 'luz_nocturna', 'historia', count(*) * 24, 'ok' FROM supplier
 UNION ALL SELECT 'transporte', 'estaciones', count(*), 'ok' FROM customer
     WHERE (c_mktsegment IN ('BUILDING', 'MACHINERY') OR (c_mktsegment = 'HOUSEHOLD' AND c_custkey % 3 = 0))
       AND c_custkey % 100 <> 3 AND 34.0 + (c_custkey * 37 % 1280) * 0.0078125 BETWEEN 36.0 AND 43.8
       AND -11.0 + (c_custkey * 53 % 2048) * 0.0078125 BETWEEN -9.5 AND 3.3
-UNION ALL SELECT 'otro', 'estaciones', 0, 'failed: ValueError'
+UNION ALL SELECT 'otro', 'estaciones', 0, 'failed: ValueError: unknown theme ''otro''; known: """ + ", ".join(THEME_DIRS) + """'
 UNION ALL SELECT 'transporte', 'nada', count(*) * 0, 'empty' FROM customer"""
 )
 def themed_run(spark, sf_dir):
-    """Four datasets, one with an unknown theme and one without rows."""
+    """All datasets of a run, one with an unknown theme and one without rows."""
     from ..fixed_values import AOIS
 
     def stations():
@@ -340,6 +348,17 @@ def themed_run(spark, sf_dir):
         Dataset("satelital", "sentinel1", lambda: product_catalogue(
             inputs.catalogue_items(spark, sf_dir), "sentinel1", "SENTINEL-1", date(1996, 3, 1), date(1999, 6, 30),
         )),
+        Dataset("satelital", "sentinel2", lambda: product_catalogue(
+            inputs.catalogue_items(spark, sf_dir), "sentinel2", "SENTINEL-2", date(1996, 3, 1), date(1999, 6, 30),
+        )),
+        Dataset("demografia", "provincias", lambda: provincial_population(
+            *split_cube(inputs.cube_documents(spark, sf_dir), inputs.CUBE_ORDER), inputs.CUBE_ORDER,
+        )),
+        Dataset("demografia", "municipios", lambda: municipal_series(inputs.municipal_entities(spark, sf_dir))),
+        Dataset("luz_nocturna", "historia", lambda: night_light_history(
+            inputs.pixels(spark, sf_dir), features_to_zones(inputs.zone_features(spark, sf_dir), inputs.ZONE_PROPERTIES),
+            month_spine(1997, 1998),
+        )),
         Dataset("otro", "estaciones", stations),
         Dataset("transporte", "estaciones", stations),
         Dataset("transporte", "nada", lambda: stations().where("lat < 0")),

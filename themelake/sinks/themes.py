@@ -52,7 +52,7 @@ def save_theme(df: DataFrame, theme: str, name: str, base: str, fmt: str = "csv"
 
 
 def save_theme_json(df: DataFrame, theme: str, name: str, base: str) -> str:
-    """The same in JSON, one object per line, non-ASCII text as it is."""
+    """The same in JSON, one object per line, non-ASCII text as it is, missing values as null."""
     path = theme_path(theme, name, base)
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path

@@ -63,10 +63,13 @@ def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: str | T.StructType | None = None,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A headed CSV table.
 
+    Quoted cells may hold line breaks; a file is then one task, so keep files
+    small, or switch ``multi_line`` off for large ones that are known to have none.
+
     Columns are taken by header name, so a schema may list some of them in any
     order, and only those are parsed. Cells that do not read as their type are
     missing. Without a schema one extra pass finds the number columns; give one

@@ -24,6 +24,7 @@ def split_cube(docs: DataFrame, order: Sequence[str], text: str = "text", doc: s
     ``order`` names the dimensions, the last varies fastest. Returns the cells
     (doc, one position per dimension, value; ``in_range`` is false for an index
     past the axes) and one table per dimension (doc, position, code, label).
+    A value that is no number, as a text that marks a gap, is a cell with null.
     Codes keep their order in the text, which a parsed map would not.
     """
 
@@ -34,9 +35,9 @@ def split_cube(docs: DataFrame, order: Sequence[str], text: str = "text", doc: s
         doc,
         *[F.size(F.json_object_keys(labels(d))).cast("bigint").alias(f"n_{d}") for d in order],
         F.explode(
-            F.from_json(F.get_json_object(_col(text), "$.value"), "map<string,double>")
+            F.from_json(F.get_json_object(_col(text), "$.value"), "map<string,string>")
         ).alias("flat", "value"),
-    ).where(F.col("value").isNotNull())
+    ).withColumn("value", F.col("value").try_cast("double"))
 
     rest = F.col("flat").cast("bigint")
     positions = {}

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from ..fixed_values import SERIES_DEFAULTS
 
 
+def last_periods(df: DataFrame, n: int, items: str = "Data", period: str = "Anyo") -> DataFrame:
+    """Each entity's series cut to its last ``n`` periods, with or without values."""
+    pairs = F.transform(items, lambda x: F.struct(x[period].alias("p"), x.alias("x")))
+    newest = F.transform(F.slice(F.sort_array(pairs, asc=False), 1, n), lambda s: s["x"])
+    return df.withColumn(items, newest)
+
+
 def explode_series(
     df: DataFrame,
     items: str = "Data",

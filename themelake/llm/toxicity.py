@@ -121,8 +121,9 @@ def train(
         return np.zeros(shape.buckets), float(np.log(share / (1 - share)))
     held = np.bincount(np.concatenate([i for i, _ in bags]), minlength=shape.buckets)
     scale = np.where(held >= min_docs, np.sqrt(len(bags) / np.maximum(held, 1)), 0.0)
-    kept = [(scale[i] > 0, n.sum()) for i, n in bags]
-    bags = [(i[some], (scale[i] * n / total)[some].astype(np.float32)) for (i, n), (some, total) in zip(bags, kept, strict=True)]
+    for d, (i, n) in enumerate(bags):
+        some = scale[i] > 0
+        bags[d] = (i[some], (scale[i[some]] * n[some] / n.sum(dtype=np.int64)).astype(np.float32))
     embed = rng.normal(0, 0.1, (shape.buckets, shape.dim)).astype(np.float32)
     layer, bias = rng.normal(0, 0.3, (shape.dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     epochs = max(1, round(steps * batch / len(bags)))
@@ -166,18 +167,18 @@ def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: in
                     kept = np.sort(np.argsort(mixed(ids.astype(np.uint64)))[:max_grams])
                     ids, n = ids[kept], n[kept]
                 out["buckets"].append(ids.astype(np.int32).tobytes())
-                out["counts"].append(n.astype(np.int32).tobytes())
+                out["counts"].append(np.minimum(n, 65_535).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_pydict(out)
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic {labels.schema['toxic'].dataType.simpleString()}"
-    bags, classes = [], []
-    got = rows.select("doc_id", "toxic", "text").mapInArrow(counted, f"{kinds}, buckets binary, counts binary").toArrow().sort_by("doc_id")
-    for toxic, ids, n in zip(got["toxic"].to_pylist(), got["buckets"].to_pylist(), got["counts"].to_pylist(), strict=True):
-        if ids:
-            bags.append((np.frombuffer(ids, np.int32), np.frombuffer(n, np.int32)))
-            classes.append(int(toxic))
-    return bags, np.array(classes, dtype=np.int64)
+    found = []
+    # partition by partition, so that neither side of the driver holds the rows twice
+    for row in rows.select("doc_id", "toxic", "text").mapInArrow(counted, f"{kinds}, buckets binary, counts binary").toLocalIterator():
+        if row.buckets:
+            found.append((row.doc_id, int(row.toxic), np.frombuffer(row.buckets, np.int32), np.frombuffer(row.counts, np.uint16)))
+    found.sort(key=lambda f: f[0])
+    return [(ids, n) for _, _, ids, n in found], np.array([toxic for _, toxic, _, _ in found], dtype=np.int64)
 
 
 def score_toxicity(

@@ -4,12 +4,12 @@ A document is the set of its distinct shingles (``words`` neighbouring words;
 the whole sequence if it has fewer). Two documents are linked if the Jaccard
 similarity of their sets is at least ``percent`` / 100.
 
-1. One hash function orders all shingles. A document keeps the ``K`` smallest
+1. One hash function orders all shingles. A document keeps the ``K`` (128) smallest
    values of its set, in order: its sketch. Documents with equal sets (equal
    128-bit digest) become one class, of which the smallest doc_id stands for all.
-2. Inverted lists: each run of ``RUN`` neighbouring values of a sketch is a key
+2. Inverted lists: each run of ``RUN`` neighbouring values among the first 64 of a sketch is a key
    (single values are shared by unrelated texts that hold a common phrase; runs
-   hardly ever). Similar sets share most values, hence runs: for sets of up to K
+   hardly ever). Similar sets share most values, hence runs: for sets of up to 64
    shingles, one at least by the pigeonhole principle; beyond that two sets of
    similarity 0.85 miss all with a probability under 1e-12, of 0.8 under 1e-9.
 3. Star rounds: each document of a list is paired with the smallest document in
@@ -17,9 +17,15 @@ similarity of their sets is at least ``percent`` / 100.
    Confirmed links give components. So a group of thousands of copies costs one
    test for each copy. Rounds go on, with partners from other components not
    tested yet, while they find links.
-4. Rest: of lists that still hold several components, every pair across
-   components whose sizes allow the similarity is tested, once.
-   A link inside a component would not change it and is not looked for.
+4. Rest: documents of lists that still hold several components. Of each sketch
+   the values held by the fewest components come first, and only as many become
+   keys of new lists as similar sketches can differ in, and one more: two
+   sketches of sufficient overlap share one of these (prefix filtering; common
+   phrases come last and mostly fall away). Documents in lists that are still long
+   go through the same again with their whole sets, whose prefixes are shorter
+   and exact. Every pair across components in
+   these lists whose sizes allow the similarity is tested, once. A link inside a
+   component would not change it and is not looked for.
 5. A pair is tested in two steps. The smallest K values of both sketches together
    are the sketch of the union; the share of them that both hold estimates the
    similarity, and pairs more than six standard deviations below the threshold
@@ -42,14 +48,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import byte_texts, landed, mixed, query, runs, table
 from .components import components
 
-K, RUN, SMALL = 64, 3, 12
+K, RUN, SMALL = 128, 3, 12
+#: So many values of a sketch make runs.
+RUN_VALUES = 64
+#: Lists of more documents are resolved by whole sets.
+TOGETHER = 64
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 CHUNK_BYTES = 2_000_000
 STAR_ROUNDS = 4
@@ -110,7 +120,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 def _keys(classes: DataFrame) -> DataFrame:
     """(key, rep, n): a row for each run of each class's sketch."""
-    s, size = F.col("sketch"), F.size("sketch")
+    s, size = F.col("sketch"), F.least(F.size("sketch"), F.lit(RUN_VALUES))
 
     def run(length: int):
         hashed = lambda i: F.xxhash64(F.lit(length), *[F.element_at(s, i + k) for k in range(length)])
@@ -120,6 +130,83 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select(F.explode(F.array_distinct(keys)).alias("key"), "rep", "n")
 
 
+def _least_shared(size: Column, percent: int) -> Column:
+    """Values that ``size`` values of a union sketch have in common at least, six deviations below the mean."""
+    t = percent / 100
+    return F.greatest(F.lit(1), F.floor(size * t - 6 * F.sqrt(size * t * (1 - t))))
+
+
+def _prefixes(values: DataFrame, percent: int, sketch: bool) -> DataFrame:
+    """Of each rep's ``values`` (rep, n, c, size, value) those by which a similar one of another component can be found.
+
+    Values held by the fewest components come first. Two sets of sizes m <= n
+    share t / (1 + t) * (m + n) values at least, so the smaller one can be found
+    by its first m - 2t / (1 + t) * m + 1 (``rank < index``), by the first
+    n - t * n + 1 of the larger. Sketches of larger sets share as much as they must.
+    """
+    held = values.select("value", "c").distinct().groupBy("value").agg(F.count("*").alias("held")).where("held > 1")
+    size = F.col("size")
+    whole = F.col("n") <= int(K * percent / 100) if sketch else F.lit(True)  # and so is any partner
+    need = F.when(whole, F.ceil(size * percent / 100)).otherwise(_least_shared(size, percent)).cast("int")
+    need_larger = F.when(whole, F.ceil(size * (2 * percent) / (100 + percent))).otherwise(need).cast("int")
+    ranked = values.join(held, "value").groupBy("rep", "n", "c", "size").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("shared"))
+    # values of one component stand first and find nobody
+    alone = size - F.size("shared")
+    taken = F.slice("shared", 1, F.greatest(F.lit(0), size - need + 1 - alone).cast("int"))
+    keys = ranked.select(
+        "rep", "n", "c", "size", need.alias("need"), (size - need_larger + 1).alias("index"), whole.alias("whole"), alone.alias("alone"),
+        F.posexplode(taken).alias("pos", "s"),
+    )
+    rank = (F.col("pos") + F.col("alone")).alias("rank")
+    return keys.select("rep", "n", "c", "size", "need", "index", "whole", rank, F.col("s.value").alias("value"))
+
+
+def _across(keys: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a value of ``keys`` and may share enough others."""
+    smaller = keys.where("rank < index").drop("index")
+    larger = keys.drop("index").withColumnsRenamed({c: f"{c}_b" for c in keys.columns if c not in ("value", "index")})
+    order = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("rep") < F.col("rep_b")))
+    sizes = 100 * F.col("n") >= percent * F.col("n_b")
+    # a first shared value at these ranks leaves so many at most, itself included
+    most = F.least(F.col("size") - F.col("rank"), F.col("size_b") - F.col("rank_b"))
+    both = F.when(F.col("whole") & F.col("whole_b"), F.ceil((F.col("n") + F.col("n_b")) * percent / (100 + percent))).otherwise(0)
+    pairs = smaller.join(larger, "value").where(order & sizes & (F.col("c") != F.col("c_b")) & (most >= F.greatest("need", "need_b", both)))
+    return pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
+
+
+def _whole_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(rep, n, c, size, value) for all shingles of the texts of ``reps`` (rep, c)."""
+
+    def hashed(batches):
+        unzip = zstandard.ZstdDecompressor()
+        for batch in batches:
+            packed = batch.column("packed").to_pylist()
+            for i, j in runs([len(x) for x in packed], CHUNK_BYTES // 4):
+                h, cut = _hashes([words_of(unzip.decompress(x)) for x in packed[i:j]], words)
+                sets = [np.unique(h[a:b]).view(np.int64) for a, b in zip(cut, cut[1:], strict=False)]
+                ends = np.cumsum([0] + [len(x) for x in sets])
+                values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([batch.column("rep")[i:j], batch.column("c")[i:j], values], names=["rep", "c", "set"])
+
+    rows = reps.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "c", "packed")
+    sets = rows.mapInArrow(hashed, "rep long, c long, set array<long>")
+    n = F.size("set").cast("long")
+    return sets.select("rep", n.alias("n"), "c", F.size("set").alias("size"), F.explode("set").alias("value"))
+
+
+def _rest(lists: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components to test, of the documents in ``lists`` (rep, n, c)."""
+    open_ = lists.select("rep", "c").distinct().join(classes, "rep")
+    values = landed(open_.select("rep", "n", "c", F.size("sketch").alias("size"), F.explode("sketch").alias("value")), "values")
+    keys = landed(_prefixes(values, percent, sketch=True), "prefixes")
+    long = landed(keys.groupBy("value").agg(F.count("*").alias("m")).where(F.col("m") > TOGETHER).select("value"), "long")
+    pairs = _across(keys.join(long, "value", "left_anti"), percent)
+    # documents that only long lists bring together: prefixes of the sets themselves tell more than those of sketches
+    dense = keys.join(long, "value", "left_semi").select("rep", "c").distinct()
+    sets = landed(_whole_sets(dense, texts, words), "sets")
+    return pairs.unionAll(_across(_prefixes(sets, percent, sketch=False), percent)).distinct()
+
+
 def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and union sketch allow the similarity."""
     for side in "ab":
@@ -129,8 +216,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     order = lambda c: F.transform(c, lambda x: x.bitwiseXOR(F.lit(-(2**63)).cast("long")))
     union = F.slice(F.sort_array(order(F.array_union("s_a", "s_b"))), 1, K)
     shared = F.size(F.array_intersect(union, order(F.array_intersect("s_a", "s_b"))))
-    t = percent / 100
-    enough = shared >= F.floor(F.size(union) * t - 6 * F.sqrt(F.size(union) * t * (1 - t)))
+    enough = shared >= _least_shared(F.size(union), percent)
     return pairs.where((100 * least >= percent * most) & enough).select("a", "b")
 
 
@@ -198,11 +284,7 @@ def _links(listed: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
         labels = components(links)
     lists = _labelled(listed, labels)
     hubs = lists.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi")).where("c_lo < c_hi").select("key")
-    rest = lists.join(hubs, "key")
-    other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
-    across = rest.join(other, "key").where((F.col("rep") > F.col("b")) & (F.col("c") != F.col("c_b")) & sizes)
-    across = across.select(F.col("rep").alias("a"), "b").distinct()
+    across = _rest(lists.join(hubs, "key"), classes, texts, words, percent)
     if tested is not None:
         across = across.join(tested, ["a", "b"], "left_anti")
     found = landed(_confirmed(_alike(across, classes, percent), texts, words, percent), "links")

@@ -46,14 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def landed(df: DataFrame, label: str) -> DataFrame:
+def landed(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     Lineage ends there, so a lost executor costs nothing before it, and the
     shuffle files that led to the rows are removed when the write ends.
     """
     spark = df.sparkSession
-    path, before = scratch(spark, label), spark.conf.get(SHUFFLE_CLEANUP)
+    path, before = path or scratch(spark, label), spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
         df.write.parquet(path)
@@ -62,6 +62,13 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Remove landed tables that nothing reads any more: every later step starts from another landed table."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)

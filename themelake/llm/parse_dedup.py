@@ -15,16 +15,18 @@ it is resolved from the coarse to the fine, each step on what the last one left:
 1. Trigger grams: a gram that occurs in one document alone cannot start a repeat.
    Counting needs smallest and largest document of each gram, folded in the map
    tasks. Highly repetitive text collapses here and in the next step.
-2. Dictionary of the phrases left: phrases are equal if their 128-bit digests
-   are. All but those in the smallest document of a phrase are removed whole.
+2. Dictionary of the phrases left: phrases are equal if their grams' hashes and
+   their digests are (64 bits each). All but those in the smallest document of a phrase are removed whole.
 3. Phrases of the dictionary that share a trigger gram but are not equal (where
-   repeats begin and end, in different contexts) are cut into their strings,
-   ``length``-byte suffixes, which are grouped by 128-bit digest in turn.
+   repeats begin and end, in different contexts) are cut into their strings, that
+   is suffixes to ``length`` bytes. Up to ``TOGETHER`` phrases of a gram are
+   compared in one place; the strings of more frequent grams are grouped by
+   128-bit digest in turn, folded in the map tasks.
 4. The parse maps the strings found back to each document.
 
 Each step is a map and an equi-join or grouping with map-side folding; joins on
 grams and digests can be hot and are split by adaptive execution. Step results
-are written to the shared folder. Texts are compressed for the three joins that
+are written to the shared folder, and removed there when a later result is. Texts are compressed for the three joins that
 bring positions to them. Long texts are parsed in slices of ``SLICE`` starts.
 
 Defined results: null texts are empty and lose nothing, as do texts shorter than
@@ -44,10 +46,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, landed, mixed, query, runs, table
+from ..session import scratch
+from .common import byte_texts, forget, landed, mixed, query, runs, table
 
 SLICE = 1_000_000
-SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+TOGETHER = 4096
 
 
 def _lanes(data: np.ndarray) -> np.ndarray:
@@ -58,14 +61,18 @@ def _lanes(data: np.ndarray) -> np.ndarray:
     return x[:-4] | (x[4:] << np.uint64(32))
 
 
-def _grams(lanes: np.ndarray, at: np.ndarray | None, size: int, seed: np.uint64 = SEEDS[0]) -> np.ndarray:
-    """Hash of the ``size`` (8 or more) bytes from each position on; at every position, or those of ``at``."""
+def _grams(lanes: np.ndarray, at: np.ndarray | None, size: int, seed: int = 0) -> np.ndarray:
+    """Hash of the ``size`` (8 or more) bytes from each position on; at every position, or those of ``at``.
+
+    Lanes times odd random numbers, summed, then mixed.
+    """
     n = len(lanes) + 8 - size
-    h = None
-    for k in [*range(0, size - 8, 8), size - 8]:
-        lane = lanes[k : k + n] if at is None else lanes[at + k]
-        h = mixed((lane if h is None else h * SEEDS[1] + lane) ^ seed)
-    return h
+    steps = [*range(0, size - 8, 8), size - 8]
+    odd = np.random.default_rng([seed, size]).integers(1 << 63, size=len(steps), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    h = np.full(n if at is None else len(at), seed, dtype=np.uint64)
+    for k, m in zip(steps, odd, strict=True):
+        h += (lanes[k : k + n] if at is None else lanes[at + k]) * m
+    return mixed(h)
 
 
 def _slices(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -114,46 +121,53 @@ def _parsed(docs: DataFrame, length: int, gram: int, places: bool) -> DataFrame:
             for parts in _slices(byte_texts(batch.column("text")), length):
                 p = phrases(parts, length, gram)
                 columns = {"gram": p["gram"], "doc_id": ids[p["text"]].astype(np.int64)}
-                yield pa.RecordBatch.from_pydict(columns | ({"trigger": p["trigger"]} if places else {}))
+                if places:
+                    columns |= {c: x.astype(np.int32) for c, x in (
+                        ("first", p["first"]), ("before", p["trigger"] - p["first"]), ("span", p["last"] - p["first"])
+                    )}
+                yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    return rows.mapInArrow(parsed, "gram long, doc_id long" + (", trigger long" if places else ""))
+    return rows.mapInArrow(parsed, "gram long, doc_id long" + (", first int, before int, span int" if places else ""))
+
 
+PLACE = ("gram", "first", "before", "span")
 
-def _dictionary_rows(work: DataFrame, length: int, gram: int) -> DataFrame:
-    """Phrases at shared triggers: gram, digest (d1, d2), document and starts."""
+
+def _dictionary_rows(work: DataFrame, length: int) -> DataFrame:
+    """Phrases at shared triggers: gram, digest, document, first start and how many follow.
+
+    Where rows share a doc_id they also get each other's places; what stands there
+    is a string of their own, so nothing false comes of it.
+    """
 
     def rows(batches):
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
-            triggers = batch.column("triggers").to_pylist()
-            packed = batch.column("packed").to_pylist()
-            for i, j in runs([len(x) for x in packed], SLICE // 4):
-                texts = [unzip.decompress(x) for x in packed[i:j]]
-                for parts in _slices(texts, length):
-                    p = phrases(parts, length, gram)
-                    # texts of a group follow one another: number triggers through all of them
-                    base = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-                    shared = np.concatenate([base[d] + np.array(triggers[i + d], dtype=np.int64) for d in {d for d, _, _ in parts}])
-                    some = np.flatnonzero(np.isin(base[p["text"]] + p["trigger"], shared))
-                    p = {k: v[some] for k, v in p.items()}
-                    digests = b"".join(
-                        hashlib.blake2b(texts[d][a : b + length], digest_size=16, salt=t.to_bytes(8, "little")).digest()
-                        for d, a, b, t in zip(*[x.tolist() for x in (p["text"], p["first"], p["last"], p["trigger"] - p["first"])], strict=True)
-                    )
-                    digest = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_pydict({
-                        "gram": p["gram"], "d1": digest[:, 0].copy(), "d2": digest[:, 1].copy(), "doc_id": ids[i:j][p["text"]],
-                        "version": versions[i:j][p["text"]], "first": p["first"], "last": p["last"],
-                    })
-
-    found = work.where("triggers IS NOT NULL").select("doc_id", "version", "packed", "triggers")
-    return found.mapInArrow(rows, "gram long, d1 long, d2 long, doc_id long, version int, first long, last long")
+            count = batch.column("gram").value_lengths().to_numpy(zero_copy_only=False)
+            grams, first, before, span = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in PLACE]
+            ids, versions = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), count) for c in ("doc_id", "version")]
+            at, digests, fits = 0, [], np.ones(len(grams), dtype=bool)
+            for packed, n in zip(batch.column("packed").to_pylist(), count.tolist(), strict=True):
+                text = unzip.decompress(packed)
+                for k, (a, b, t) in enumerate(zip(*[x[at : at + n].tolist() for x in (first, span, before)], strict=True), at):
+                    if a + b + length > len(text):
+                        fits[k] = False
+                    else:
+                        digests.append(hashlib.blake2b(text[a : a + b + length], digest_size=8, salt=t.to_bytes(8, "little")).digest())
+                at += n
+            yield pa.RecordBatch.from_pydict({
+                "gram": grams[fits], "digest": np.frombuffer(b"".join(digests), dtype=np.int64), "doc_id": ids[fits], "version": versions[fits],
+                "first": first[fits], "span": span[fits],
+            })
+
+    found = work.where("gram IS NOT NULL").select("doc_id", "version", "packed", *PLACE)
+    return found.mapInArrow(rows, "gram long, digest long, doc_id long, version int, first int, span int")
 
 
 def _suffix_rows(joined: DataFrame, length: int) -> DataFrame:
-    """Strings of the phrases in ``ranges`` (first, last start): digest (s1, s2), document and start."""
+    """What the phrases in ``ranges`` (gram, many, first, last) hold: of frequent grams (``many``) the digest of each
+    string, of others the phrase whole."""
 
     def rows(batches):
         unzip = zstandard.ZstdDecompressor()
@@ -161,17 +175,57 @@ def _suffix_rows(joined: DataFrame, length: int) -> DataFrame:
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "packed", "ranges")]
             for doc_id, version, packed, ranges in zip(*columns, strict=True):
                 text = unzip.decompress(packed)
-                ranges = sorted((r["first"], r["last"]) for r in ranges)
-                for i, j in runs([b - a + 1 for a, b in ranges], SLICE):
-                    at = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in ranges[i:j]]))
+                few = [r for r in ranges if not r["many"]]
+                yield _batch([r["gram"] for r in few], False, [text[r["first"] : r["last"] + length] for r in few], doc_id, version, [r["first"] for r in few])
+                many = sorted((r["first"], r["last"]) for r in ranges if r["many"])
+                for i, j in runs([b - a + 1 for a, b in many], SLICE):
+                    at = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in many[i:j]]))
                     low = int(at[0])
                     lanes = _lanes(np.frombuffer(text[low : int(at[-1]) + length], dtype=np.uint8))
-                    s1, s2 = [_grams(lanes, at - low, length, seed).view(np.int64) for seed in SEEDS]
-                    yield pa.RecordBatch.from_pydict({
-                        "s1": s1, "s2": s2, "doc_id": np.full(len(at), doc_id), "version": np.full(len(at), version, np.int32), "start": at,
-                    })
+                    both = np.stack([_grams(lanes, at - low, length, seed) for seed in (1, 2)], axis=1).tobytes()
+                    yield _batch(np.zeros(len(at), np.int64), True, [both[k : k + 16] for k in range(0, len(both), 16)], doc_id, version, at)
+
+    def _batch(grams, many, keys, doc_id, version, starts):
+        n = len(keys)
+        return pa.RecordBatch.from_arrays([
+            pa.array(grams, pa.int64()), pa.array(np.full(n, many)), pa.array(keys, pa.binary()), pa.array(np.full(n, doc_id, np.int64)),
+            pa.array(np.full(n, version, np.int32)), pa.array(starts, pa.int64()),
+        ], names=["gram", "many", "key", "doc_id", "version", "start"])
+
+    return joined.mapInArrow(rows, "gram long, many boolean, key binary, doc_id long, version int, start long")
+
+
+def _compared(groups: DataFrame, length: int) -> DataFrame:
+    """Starts of strings that a smaller document has, among the phrases of each gram (``phrases``: key, doc_id, version, start)."""
+
+    def compared(batches):
+        for batch in batches:
+            ids, versions, firsts, lasts = [], [], [], []
+            for group in batch.column("phrases").to_pylist():
+                smallest: dict[bytes, int] = {}
+                for p in group:
+                    for i in range(len(p["key"]) - length + 1):
+                        part = p["key"][i : i + length]
+                        if p["doc_id"] < smallest.get(part, p["doc_id"] + 1):
+                            smallest[part] = p["doc_id"]
+                for p in group:
+                    run = None
+                    for i in range(len(p["key"]) - length + 2):
+                        found = i <= len(p["key"]) - length and smallest[p["key"][i : i + length]] < p["doc_id"]
+                        if found and run is None:
+                            run = i
+                        elif not found and run is not None:
+                            ids.append(p["doc_id"])
+                            versions.append(p["version"])
+                            firsts.append(p["start"] + run)
+                            lasts.append(p["start"] + i - 1)
+                            run = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(versions, pa.int32()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
+                names=["doc_id", "version", "first", "last"],
+            )
 
-    return joined.mapInArrow(rows, "s1 long, s2 long, doc_id long, version int, start long")
+    return groups.mapInArrow(compared, "doc_id long, version int, first long, last long")
 
 
 def _packed(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -248,28 +302,42 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
         raise ValueError("a gram from 8 bytes to the length")
     keep = list(keep)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    spark = docs.sparkSession
+    paths = {name: scratch(spark, name) for name in ("grams", "places", "parse", "dictionary")}
     grams = _parsed(docs, length, gram, places=False).groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    shared = landed(grams.where("lo < hi").select("gram"), "grams")
-    places = _parsed(docs, length, gram, places=True).join(shared, "gram").groupBy("doc_id").agg(F.collect_list("trigger").alias("triggers"))
-    work = landed(_packed(docs, keep).join(places, "doc_id", "left"), "texts")
-    parse = landed(_dictionary_rows(work, length, gram), "parse")
-    dictionary = landed(parse.groupBy("gram", "d1", "d2").agg(F.min("doc_id").alias("smallest")), "dictionary")
+    shared = landed(grams.where("lo < hi").select("gram"), "grams", paths["grams"])
+    places = _parsed(docs, length, gram, places=True).join(shared.hint("shuffle_hash"), "gram")
+    places = places.groupBy("doc_id").agg(F.collect_list(F.struct(*PLACE)).alias("p"))
+    places = landed(places.select("doc_id", *[F.col(f"p.{c}").alias(c) for c in PLACE]), "places", paths["places"])
+    packed = _packed(docs, keep)
+    work = landed(packed, "texts")
+    parse = landed(_dictionary_rows(work.select("doc_id", "version", "packed").join(places, "doc_id"), length), "parse", paths["parse"])
+    dictionary = landed(parse.groupBy("gram", "digest").agg(F.min("doc_id").alias("smallest")), "dictionary", paths["dictionary"])
     several = dictionary.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    marked = dictionary.join(several.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g"), "left")
-    marked = marked.select("d1", "d2", "smallest", F.col("n").isNotNull().alias("several"))
-    resolved = landed(parse.drop("gram").join(marked, ["d1", "d2"]).where("smallest < doc_id OR several").select(
-        "doc_id", "version", "first", "last", (F.col("smallest") < F.col("doc_id")).alias("whole")
+    marked = dictionary.join(several, "gram", "left").select("gram", "digest", "smallest", F.col("n").isNotNull().alias("several"))
+    whole = F.col("smallest") < F.col("doc_id")
+    resolved = landed(parse.join(marked.hint("shuffle_hash"), ["gram", "digest"]).where("smallest < doc_id OR several").select(
+        F.when(~whole, F.col("gram")).alias("gram"), "doc_id", "version", F.col("first").cast("long").alias("first"),
+        (F.col("first") + F.col("span")).cast("long").alias("last"), whole.alias("whole"),
     ), "phrases")
+    forget(spark, *paths.values())
+    to_cut = resolved.where("NOT whole")
+    frequent = to_cut.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > TOGETHER).select("gram", F.lit(True).alias("many"))
+    to_cut = to_cut.join(frequent, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    to_cut = to_cut.groupBy("doc_id", "version").agg(F.collect_list(F.struct("gram", "many", "first", "last")).alias("ranges"))
+    bodies = work.select("doc_id", "version", "packed")
+    if not bodies.groupBy("doc_id", "version").count().where("count > 1").isEmpty():
+        bodies = bodies.dropDuplicates(["doc_id", "version"])  # costs a sort of the texts, so only where rows are repeated
+    suffixes = landed(_suffix_rows(bodies.join(to_cut, ["doc_id", "version"]), length), "suffixes")
+    groups = suffixes.where("NOT many").groupBy("gram").agg(F.collect_list(F.struct("key", "doc_id", "version", "start")).alias("phrases"))
+    strings = suffixes.where("many").select("key", "doc_id", "version", "start")
+    first = strings.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).where("smallest < largest")
     one = F.struct("first", "last")
-    to_cut = resolved.where("NOT whole").groupBy("doc_id", "version").agg(F.collect_list(one).alias("ranges"))
-    suffixes = landed(_suffix_rows(
-        work.select("doc_id", "version", "packed").dropDuplicates(["doc_id", "version"]).join(to_cut, ["doc_id", "version"]), length
-    ), "suffixes")
-    first = suffixes.groupBy("s1", "s2").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).where("smallest < largest")
-    starts = suffixes.join(first, ["s1", "s2"]).where("smallest < doc_id").select("doc_id", "version", F.col("start").alias("first"), F.col("start").alias("last"))
+    starts = strings.join(first, "key").where("smallest < doc_id").select("doc_id", "version", F.col("start").alias("first"), F.col("start").alias("last"))
+    starts = starts.unionAll(_compared(groups, length))
     ranges = resolved.where("whole").select("doc_id", "version", "first", "last").unionAll(starts)
     ranges = ranges.groupBy("doc_id", "version").agg(F.collect_list(one).alias("ranges"))
-    return _removed(work.drop("triggers").join(ranges, ["doc_id", "version"], "left"), length, keep, texts)
+    return _removed(work.join(ranges, ["doc_id", "version"], "left"), length, keep, texts)
 
 
 @query()

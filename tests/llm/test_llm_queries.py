@@ -30,7 +30,7 @@ def test_names():
 def test_nothing_else_imports_it():
     for path in (ROOT / "themelake").rglob("*.py"):
         if "llm" not in path.parts:
-            assert "llm" not in path.read_text(), path
+            assert ".llm" not in path.read_text() and "import llm" not in path.read_text(), path
 
 
 def test_entry_works_without_it():

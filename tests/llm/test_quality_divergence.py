@@ -45,6 +45,21 @@ def test_distance(spark):
     assert not got[40].kept and not got[42].kept and not got[40].base_failed
 
 
+def test_unlisted_languages_have_references_of_their_own(spark):
+    rng = random.Random(2)
+    prose = lambda letters, n=120: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(n))
+    latin, cyrillic = "abcdefghijklmnoprstuvz", "абвгдежзийклмнопрстуфхцчшщыьэюя"
+    rows = [(i, prose(latin), "it") for i in range(30)] + [(100 + i, prose(cyrillic), "ru") for i in range(30)]
+    rows += [(200 + i, prose(cyrillic), None) for i in range(3)] + [(300 + i, prose(latin), None) for i in range(30)]
+    rows += [(400 + i, prose(latin if i else cyrillic, 2000), "pl") for i in range(2)] + [(500, prose(latin), "ru")]
+    rows.append((501, " ".join(rng.choice(Q.COMMON_WORDS["en"]) + " " + prose(cyrillic, 1) for _ in range(100)), "ru"))
+    got = {r.doc_id: r for r in Q.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(got) == len(rows) and {i for i, r in got.items() if not r.kept} == {500, 501}
+    assert all(got[i].char_distance < 0.2 and got[i].word_distance is not None for i in range(100, 130))
+    # no language, or two documents in it: nothing to compare with
+    assert all(got[i].char_distance is None and got[i].word_distance is None for i in got if 200 <= i < 500)
+
+
 def test_native_plan(spark, plan):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     text = plan(Q.text_counts(docs))

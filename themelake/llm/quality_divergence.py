@@ -10,16 +10,18 @@ the text is too short for that histogram to say much (``min_chars``,
 
 DataFrame functions only. Texts are read once, in one pass without a shuffle:
 repeated windows and histograms come from sorted arrays inside a row, linear in
-the text but for the sort. Only counts are kept (checkpointed to the shared
-folder), then summed by language. References have one row for each language in
-``common_words`` and one for the rest together, so joining them back broadcasts
-a handful of rows at any scale, and no language is hot.
+the text but for the sort. Only counts are kept (landed in the shared folder),
+then summed by language. References are landed too, one row for each value of
+``lang`` with enough text, so Spark knows their size and broadcasts them while
+they are under its own threshold.
 
 Defined results: a null or empty text has no words, fails the base rules and
-has null distances. An unknown or null language is compared with the reference
-of all unknown languages together. A histogram below its minimum, or without a
-reference, has a null distance and rejects nothing. Repeated rows and repeated
-ids are judged once per row; other columns are ignored.
+has null distances. Every value of ``lang`` has a reference of its own, whether
+``common_words`` lists it or not, if at least ``min_reference_docs`` documents
+with ``min_reference_chars`` characters together pass the base rules in it. A
+null language has none. A histogram below its minimum, or without a reference,
+has a null distance and rejects nothing. Repeated rows and repeated ids are
+judged once per row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import computed_once
-from ..session import cut_lineage
-from .common import query, table
+from .common import landed, query, table
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -44,7 +45,6 @@ COMMON_WORDS = {
     "fr": "le la les de des et un une du en que qui dans pas pour au par sur est ne".split(),
     "es": "de la el que y en los se del las por un con no una su para es al lo".split(),
 }
-OTHER = "other"
 
 
 def _covered(starts: Column) -> Column:
@@ -53,13 +53,10 @@ def _covered(starts: Column) -> Column:
 
 
 def text_counts(docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS) -> DataFrame:
-    """doc_id, lang_group, base counts, ``chars`` (count by class), ``common`` (word, count) of each text."""
+    """doc_id, lang, base counts, ``chars`` (count by class), ``common`` (word, count) of each text."""
     known = sorted({w for words in common_words.values() for w in words})
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        "doc_id", F.when(F.col("lang").isin(list(common_words)), F.col("lang")).otherwise(OTHER).alias("lang_group"),
-        text.alias("text"),
-    )
+    rows = docs.select("doc_id", "lang", text.alias("text"))
     trimmed = F.btrim("text", F.lit(SPACE_CHARS))
     rows = computed_once(rows, words=F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)))
     n = F.size("words")
@@ -92,7 +89,7 @@ def text_counts(docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WOR
     rows = _peeled(computed_once(rows, repeats=repeats, common_counts=counted))
     classes = {name: F.element_at("class_counts", k + 1) for k, name in enumerate(CLASSES)}
     return rows.select(
-        "doc_id", "lang_group", n.cast("long").alias("n_words"),
+        "doc_id", "lang", n.cast("long").alias("n_words"),
         (F.col("n_chars_all") - classes["space"]).cast("long").alias("word_chars"),
         classes["symbol"].cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -127,22 +124,24 @@ def base_failed(min_words: int = 50, max_repeat_percent: int = 50) -> Column:
     return (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
 
 
-def references(counts: DataFrame) -> DataFrame:
-    """Pooled histograms by language group: ``ref_chars`` shares by class, ``ref_words`` shares by common word."""
-    good = counts.where(~F.col("base_failed"))
-    chars = good.groupBy("lang_group").agg(
-        *[F.sum(F.element_at("chars", k + 1)).alias(f"c{k}") for k in range(len(CLASSES) + 1)], F.sum("n_words").alias("words")
+def references(counts: DataFrame, min_docs: int = 10, min_chars: int = 10_000) -> DataFrame:
+    """Pooled histograms of each language with enough text: ``ref_chars`` shares by class, ``ref_words`` shares by common word."""
+    good = counts.where(~F.col("base_failed") & F.col("lang").isNotNull())
+    chars = good.groupBy("lang").agg(
+        *[F.sum(F.element_at("chars", k + 1)).alias(f"c{k}") for k in range(len(CLASSES) + 1)],
+        F.sum("n_words").alias("words"), F.count(F.lit(1)).alias("docs"),
     )
     total = sum((F.col(f"c{k}") for k in range(1, len(CLASSES) + 1)), F.col("c0"))
-    chars = chars.select(
-        "lang_group", "words",
-        F.when(total > 0, F.array(*[F.col(f"c{k}") / total for k in range(len(CLASSES) + 1)])).alias("ref_chars"),
+    chars = chars.where((F.col("docs") >= min_docs) & (total >= min_chars)).select(
+        "lang", "words", F.array(*[F.col(f"c{k}") / total for k in range(len(CLASSES) + 1)]).alias("ref_chars"),
     )
-    words = good.select("lang_group", F.inline("common")).groupBy("lang_group", "word").agg(F.sum("n").alias("n"))
-    words = words.join(chars.select("lang_group", "words"), "lang_group").groupBy("lang_group").agg(
+    words = good.select("lang", F.inline("common")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = words.join(chars.select("lang", "words"), "lang").groupBy("lang").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("words")).alias("q"))))).alias("ref_words"),
     )
-    return chars.join(words, "lang_group", "left").select("lang_group", "ref_chars", "ref_words")
+    # a language may use none of the common words: all of its words are in the last bin
+    ref_words = F.coalesce("ref_words", F.create_map().cast("map<string,double>")).alias("ref_words")
+    return chars.join(words, "lang", "left").select("lang", "ref_chars", ref_words)
 
 
 def _part(p: Column, q: Column) -> Column:
@@ -156,16 +155,19 @@ def _total(parts: Column) -> Column:
 
 
 def _distance(nats: Column) -> Column:
-    return F.round(F.sqrt(F.greatest(nats / (2 * F.log(F.lit(2.0))), F.lit(0.0))), 6)
+    # greatest() passes over null: without a reference there is no distance
+    return F.when(nats.isNotNull(), F.round(F.sqrt(F.greatest(nats / (2 * F.log(F.lit(2.0))), F.lit(0.0))), 6))
 
 
 def quality_verdicts(
     docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS, max_char_distance: float = 0.31,
-    max_word_distance: float = 0.35, min_chars: int = 200, min_words: int = 80,
+    max_word_distance: float = 0.35, min_chars: int = 200, min_words: int = 80, min_reference_docs: int = 10,
+    min_reference_chars: int = 10_000,
 ) -> DataFrame:
     """Base counts, distances and ``kept`` of each row of ``docs`` (doc_id, text, lang)."""
-    counts = cut_lineage(text_counts(docs, common_words).withColumn("base_failed", base_failed()))
-    rows = counts.join(F.broadcast(references(counts)), "lang_group", "left")
+    counts = landed(text_counts(docs, common_words).withColumn("base_failed", base_failed()), "quality-counts")
+    refs = landed(references(counts, min_reference_docs, min_reference_chars), "quality-references")
+    rows = counts.join(refs, "lang", "left")
     p = lambda c: c / F.col("n_text_chars")
     char_nats = _total(F.zip_with("chars", "ref_chars", lambda c, q: _part(p(c), q)))
     share = lambda s: s["n"] / F.col("n_words")

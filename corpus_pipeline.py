@@ -28,8 +28,9 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return _without(docs, quality_verdicts(docs).where("NOT kept"))
+    """Rows that the quality rules reject go, each by its own verdict, whatever its id."""
+    judged = quality_verdicts(docs, keep=("text", "lang", "source", "n_chars"))
+    return judged.where("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,15 @@ def test_stages(spark):
         assert {9001, 9002, 9003, None} <= {r.doc_id for r in out.collect()}
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert {r.doc_id for r in corpus_pipeline.quality(spark, docs, SF).collect()} & {9001, 9002, 9003} == set()
+
+
+def test_quality_judges_rows_not_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    assert kept.schema.names == corpus_pipeline.COLUMNS
+    good = kept.orderBy("doc_id").first()
+    junk = [(None, None, None, None, None), (None, "", "en", "s", 0), (None, "junk text", "en", None, 9), (good.doc_id, "junk", "en", "s", 4)]
+    clean = [(None, good.text, good.lang, None, 7), (good.doc_id, good.text, good.lang, "again", None)]
+    before = sorted(map(tuple, kept.collect()), key=repr)
+    after = corpus_pipeline.quality(spark, docs.unionAll(spark.createDataFrame(junk + clean, docs.schema)), SF).collect()
+    assert sorted(map(tuple, after), key=repr) == sorted(before + clean, key=repr)

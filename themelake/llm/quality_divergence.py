@@ -10,8 +10,8 @@ the text is too short for that histogram to say much (``min_chars``,
 
 DataFrame functions only. Texts are read once, in one pass without a shuffle:
 repeated windows and histograms come from sorted arrays inside a row, linear in
-the text but for the sort. Only counts are kept (landed in the shared folder),
-then summed by language. References are landed too, one row for each value of
+the text but for the sort. Only counts and the columns in ``keep`` are kept
+(landed in the shared folder), then counts are summed by language. References are landed too, one row for each value of
 ``lang`` with enough text, so Spark knows their size and broadcasts them while
 they are under its own threshold.
 
@@ -21,7 +21,7 @@ has null distances. Every value of ``lang`` has a reference of its own, whether
 with ``min_reference_chars`` characters together pass the base rules in it. A
 null language has none. A histogram below its minimum, or without a reference,
 has a null distance and rejects nothing. Repeated rows and repeated ids are
-judged once per row; other columns are ignored.
+judged once per row; other columns are ignored unless ``keep`` names them.
 """
 
 from __future__ import annotations
@@ -52,11 +52,13 @@ def _covered(starts: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))))
 
 
-def text_counts(docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS) -> DataFrame:
-    """doc_id, lang, base counts, ``chars`` (count by class), ``common`` (word, count) of each text."""
+def text_counts(
+    docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS, keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """doc_id, lang, base counts, ``chars`` (count by class), ``common`` (word, count) of each text, ``kept c`` of columns c."""
     known = sorted({w for words in common_words.values() for w in words})
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", "lang", text.alias("text"))
+    rows = docs.select("doc_id", "lang", text.alias("text"), *[F.col(c).alias(f"kept {c}") for c in keep])
     trimmed = F.btrim("text", F.lit(SPACE_CHARS))
     rows = computed_once(rows, words=F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)))
     n = F.size("words")
@@ -97,6 +99,7 @@ def text_counts(docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WOR
         F.col("n_chars_all").cast("long").alias("n_text_chars"),
         F.col("class_counts").alias("chars"),
         F.coalesce("common_counts", F.array()).alias("common"),
+        *[F.col(f"kept {c}") for c in keep],
     )
 
 
@@ -162,10 +165,10 @@ def _distance(nats: Column) -> Column:
 def quality_verdicts(
     docs: DataFrame, common_words: dict[str, list[str]] = COMMON_WORDS, max_char_distance: float = 0.31,
     max_word_distance: float = 0.35, min_chars: int = 200, min_words: int = 80, min_reference_docs: int = 10,
-    min_reference_chars: int = 10_000,
+    min_reference_chars: int = 10_000, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Base counts, distances and ``kept`` of each row of ``docs`` (doc_id, text, lang)."""
-    counts = landed(text_counts(docs, common_words).withColumn("base_failed", base_failed()), "quality-counts")
+    """Base counts, distances, ``kept`` and ``keep`` columns of each row of ``docs`` (doc_id, text, lang)."""
+    counts = landed(text_counts(docs, common_words, keep).withColumn("base_failed", base_failed()), "quality-counts")
     refs = landed(references(counts, min_reference_docs, min_reference_chars), "quality-references")
     rows = counts.join(refs, "lang", "left")
     p = lambda c: c / F.col("n_text_chars")
@@ -188,6 +191,7 @@ def quality_verdicts(
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"), "char_distance", "word_distance",
+        *[F.col(f"kept {c}").alias(c) for c in keep],
     )
 
 

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from helpers import rows
 from pyspark.sql import functions as F
@@ -176,3 +176,19 @@ def test_run_isolates_failures(spark, tmp_path):
     assert all(status[k][1].startswith("failed: ") for k in ("bad", "x", "late"))
     assert status["bad"][1] == "failed: RuntimeError: no" and "unknown theme" in status["x"][1]
     assert spark.read.option("header", True).csv(str(tmp_path / "satelital" / "ok")).count() == 1
+
+
+def test_weather_axis_covers_all_days(spark, tmp_path):
+    from themelake.plans.registry import QUERIES
+
+    at = [datetime(2023, 12, 30, 23, 59), datetime(2024, 1, 15), datetime(2024, 3, 31, 1), datetime(2024, 10, 28, 0, 30)]
+    events = spark.createDataFrame(
+        [(i, i % 2, "view", t, float(i)) for i, t in enumerate(at)], "event_id long, user_id long, event_type string, ts timestamp, value double"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["daily_expansion"](spark, str(tmp_path)).collect()
+    days = [(at[0].date() + timedelta(n)).isoformat() for n in range(304)]
+    assert days[-1] == "2024-10-28" and sorted((r.user_id, r.date) for r in got) == [(u, d) for u in (0, 1) for d in days]
+    assert {(r.user_id, r.date, r.tmax) for r in got if r.tmax is not None} == {(i % 2, t.date().isoformat(), float(i)) for i, t in enumerate(at)}
+    events.limit(0).write.parquet(f"{tmp_path}/none/events.parquet")
+    assert QUERIES["daily_expansion"](spark, f"{tmp_path}/none").count() == 0

@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed_values import WEATHER_ZONE
 from .registry import table
 
 
@@ -279,11 +280,10 @@ ZONE_PROPERTIES = {"GISCO_ID": "zone_id", "LAU_NAME": "LAU_NAME"}
 # --- weather --------------------------------------------------------------
 
 WEATHER_TODAY = date(2024, 1, 29)
-WEATHER_START = 1704063600  # 2024-01-01 00:00 in Madrid
 
 
 def daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per user and day of January 2024."""
+    """One reading per user and day."""
     return table(spark, sf_dir, "events").groupBy(
         "user_id", F.to_date("ts").alias("date")
     ).agg(
@@ -295,9 +295,15 @@ def daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user: a time axis of 30 days and four parallel arrays."""
-    day = F.date_diff("date", F.lit(date(2024, 1, 1)))
-    by_day = daily_weather(spark, sf_dir).groupBy("user_id").agg(  # at most 30 entries each
+    """Per user: a time axis from the first to the last day of ``events`` and four parallel arrays."""
+    daily = daily_weather(spark, sf_dir)
+    first, last = table(spark, sf_dir, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    if first is None:
+        first, last, daily = WEATHER_TODAY, WEATHER_TODAY, daily.limit(0)
+    n_days = (last - first).days + 1
+    midnight = lambda d: F.unix_timestamp(F.to_utc_timestamp(F.lit(d).cast("timestamp"), WEATHER_ZONE))
+    day = F.date_diff("date", F.lit(first))
+    by_day = daily.groupBy("user_id").agg(  # an entry a day at most
         F.map_from_entries(
             F.collect_list(
                 F.struct(day, F.struct("tmax", "tmin", "precipitation_sum", F.col("weather_code").cast("double").alias("weather_code")))
@@ -307,13 +313,13 @@ def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def axis(field: str) -> Column:
         return F.transform(
-            F.sequence(F.lit(0), F.lit(29)), lambda d: F.try_element_at(F.col("days"), d)[field]
+            F.sequence(F.lit(0), F.lit(n_days - 1)), lambda d: F.try_element_at(F.col("days"), d)[field]
         ).alias(field)
 
     return by_day.select(
         "user_id",
-        F.lit(WEATHER_START).cast("bigint").alias("start"),
-        F.lit(WEATHER_START + 30 * 86400).cast("bigint").alias("end"),
+        midnight(first).alias("start"),
+        (midnight(first) + n_days * 86400).alias("end"),
         F.lit(86400).cast("bigint").alias("interval"),
         *[axis(f) for f in ("tmax", "tmin", "precipitation_sum", "weather_code")],
         F.lit(1).alias("batch"),

@@ -33,3 +33,11 @@ def test_plan_has_no_slow_path(spark, plan, name):
     text = plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text
+
+
+def test_asset_run_is_registered_whole(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderkey % 4 <> 0").count()
+    statuses = QUERIES["asset_run_statuses_all"](spark, SF)
+    assert orders > 200 and statuses.count() == orders
+    assert QUERIES["asset_run_assets_all"](spark, SF).count() == sum(r.assets for r in statuses.collect())
+    assert sum(r.products for r in QUERIES["run_outcomes_all"](spark, SF).collect()) == orders

@@ -339,39 +339,67 @@ def asset_selection_all(spark, sf_dir):
     return select_assets(inputs.archive_members(spark, sf_dir), asset_patterns("all"))
 
 
-_RUN = (
-    _MEMBERS + """, batch AS (
-    SELECT 'P' || o_orderkey AS product_id, o_orderkey AS k FROM orders WHERE o_orderkey % 4 <> 0
-    ORDER BY o_orderdate DESC, 'P' || o_orderkey LIMIT 200
+def _run_sql(chosen: str = "") -> str:
+    return (
+        _MEMBERS + """, batch AS (
+    SELECT 'P' || o_orderkey AS product_id, o_orderkey AS k FROM orders WHERE o_orderkey % 4 <> 0""" + chosen + """
 ), found AS (
     SELECT product_id, count(DISTINCT member) AS assets FROM members WHERE """
-    + _globs_sql(ASSET_GLOBS["tci"]) + """ GROUP BY product_id
+        + _globs_sql(ASSET_GLOBS["tci"]) + """ GROUP BY product_id
 ), statuses AS (
     SELECT product_id, 'N' || k AS identifier,
            CASE WHEN assets > 0 THEN 'ok' ELSE 'N' || k || ': no assets matched' END AS status,
            coalesce(assets, 0) AS assets
     FROM batch LEFT JOIN found USING (product_id)
 )"""
-)
+    )
+
+
+_RUN = _run_sql("""
+    ORDER BY o_orderdate DESC, 'P' || o_orderkey LIMIT 200""")
+_RUN_ALL = _run_sql()
+_OUTCOMES = " SELECT CASE WHEN status = 'ok' THEN 'ok' ELSE 'none' END AS status, count(*) AS products FROM statuses GROUP BY 1"
 
 
-def _asset_run(spark, sf_dir):
-    """Products not yet done (three in four), 200 of them."""
+def _asset_run(spark, sf_dir, max_products=None):
+    """Products not yet done (three in four), all or the next ``max_products``."""
     orders = table(spark, sf_dir, "orders")
     product = F.concat(F.lit("P"), "o_orderkey").alias("product_id")
     products = orders.select(
         product, F.concat(F.lit("N"), "o_orderkey", F.lit(".SAFE")).alias("Name"), F.col("o_orderdate").alias("content_start")
     )
     done = orders.where("o_orderkey % 4 = 0").select(product)
-    return asset_run(products, inputs.archive_members(spark, sf_dir), done, "tci", max_products=200)
+    return asset_run(products, inputs.archive_members(spark, sf_dir), done, "tci", max_products=max_products)
+
+
+def _outcomes(statuses):
+    return outcomes(statuses.withColumn("status", F.when(F.col("status") == "ok", "ok").otherwise("none")))
+
+
+@query("WITH " + _RUN_ALL + " SELECT * FROM statuses")
+def asset_run_statuses_all(spark, sf_dir):
+    return _asset_run(spark, sf_dir)[1]
+
+
+@query(
+    "WITH " + _RUN_ALL + " SELECT DISTINCT product_id, member FROM members SEMI JOIN batch USING (product_id) WHERE "
+    + _globs_sql(ASSET_GLOBS["tci"])
+)
+def asset_run_assets_all(spark, sf_dir):
+    return _asset_run(spark, sf_dir)[0].select("product_id", "member")
+
+
+@query("WITH " + _RUN_ALL + _OUTCOMES)
+def run_outcomes_all(spark, sf_dir):
+    return _outcomes(_asset_run(spark, sf_dir)[1])
 
 
 @query("WITH " + _RUN + " SELECT * FROM statuses")
 def asset_run_statuses(spark, sf_dir):
-    return _asset_run(spark, sf_dir)[1]
+    """The run-size feature: the next 200 products."""
+    return _asset_run(spark, sf_dir, max_products=200)[1]
 
 
-@query("WITH " + _RUN + " SELECT CASE WHEN status = 'ok' THEN 'ok' ELSE 'none' END AS status, count(*) AS products FROM statuses GROUP BY 1")
+@query("WITH " + _RUN + _OUTCOMES)
 def run_outcomes(spark, sf_dir):
-    statuses = _asset_run(spark, sf_dir)[1]
-    return outcomes(statuses.withColumn("status", F.when(F.col("status") == "ok", "ok").otherwise("none")))
+    return _outcomes(_asset_run(spark, sf_dir, max_products=200)[1])

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from themelake.llm import toxicity as T
@@ -57,3 +58,13 @@ def test_grams_do_not_cross_words():
     ids, of = T.grams([b"ab", "é".encode(), b"abcdef"], shape)
     assert [set(ids[of == k].tolist()) for k in range(3)] == apart
     assert [int((of == k).sum()) for k in range(3)] == [3, 3, 11]
+
+
+def test_all_grams_of_a_long_document_are_learned(spark):
+    rng, shape = random.Random(8), T.Shape()
+    long = " ".join("%x" % rng.randrange(16**9) for _ in range(3000))
+    docs = spark.createDataFrame([(1, long), (2, "a few words")], "doc_id long, text string")
+    bags, toxic = T.training_bags(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), shape, max_docs=8)
+    ids, n = np.unique(T.grams(T.words_of(long), shape)[0], return_counts=True)
+    assert len(ids) > 20_000 and toxic.tolist() == [1, 0]
+    assert bags[0][0].tolist() == ids.tolist() and bags[0][1].tolist() == n.tolist()

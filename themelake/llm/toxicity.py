@@ -9,9 +9,8 @@ with seen ones.
 
 Training takes at most ``max_docs`` labelled documents (a quarter of them toxic,
 chosen by the hash of their id, so the choice does not depend on the order of
-rows); their n-gram counts are made on the executors and brought to the driver,
-at most ``max_docs * max_grams`` pairs. Of a longer text all n-grams are counted
-and those with the smallest hashes kept.
+rows); their n-gram counts are made on the executors and brought to the driver
+whole, at most ``max_docs * buckets`` pairs.
 
 As layer and mean are linear, a bucket adds one number to the difference of the
 two classes: only those numbers go to the executors (``buckets`` doubles), and
@@ -150,7 +149,7 @@ def train(
     return scale * (embed @ (layer[:, 1] - layer[:, 0])), float(bias[1] - bias[0])
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: int, max_grams: int):
+def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: int):
     """Bucket counts and classes of a bounded sample of the labelled documents."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     most = {1: max_docs // 4, 0: max_docs - max_docs // 4}
@@ -163,9 +162,6 @@ def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: in
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 ids, n = np.unique(grams(words, shape)[0], return_counts=True) if words else (np.zeros(0, np.int64),) * 2
-                if len(ids) > max_grams:
-                    kept = np.sort(np.argsort(mixed(ids.astype(np.uint64)))[:max_grams])
-                    ids, n = ids[kept], n[kept]
                 out["buckets"].append(ids.astype(np.int32).tobytes())
                 out["counts"].append(np.minimum(n, 65_535).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_pydict(out)
@@ -182,10 +178,10 @@ def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: in
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), max_docs: int = 6000, max_grams: int = 20_000,
+    docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), max_docs: int = 6000,
 ) -> DataFrame:
     """doc_id and score of every document, trained on ``labels`` (doc_id, toxic 0 or 1)."""
-    weights, bias = train(*training_bags(docs, labels, shape, max_docs, max_grams), shape)
+    weights, bias = train(*training_bags(docs, labels, shape, max_docs), shape)
     shared = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def scored(batches):

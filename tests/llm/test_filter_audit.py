@@ -1,0 +1,109 @@
+"""The audit against filters applied one after another."""
+
+import re
+from itertools import permutations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from themelake.llm import filter_audit as A
+from themelake.llm.queries import QUERIES
+
+CLEAN = " ".join(f"word{i}" for i in range(120))
+DOCS = [
+    (1, CLEAN, "en"), (2, CLEAN, "en"), (2, CLEAN, "de"), (3, CLEAN + " $", "en"), (4, CLEAN + " $", "de"), (5, "short", "en"),
+    (6, "SHORT", None), (7, "SHORT", ""), (8, None, "en"), (9, "", None), (10, "a " * 150, "fr"), (11, "a " * 150, "fr"), (11, "a " * 150, "fr"),
+    (12, CLEAN.upper(), "en"), (13, "\t\n " + CLEAN + "\x0b#", "de"), (None, CLEAN, "en"), (None, "null id only", "en"), (None, "null id only", "en"),
+    (14, "É" * 40, "fr"), (5, "other text of id 5", "en"), (15, "x y " * 60_000, "es"), (16, CLEAN + " b", "en"),
+]
+LABELS = [(1, 1, 0), (2, 1, 1), (3, 0, 1), (3, 1, None), (4, 1, 0), (5, 0, 1), (7, 1, 1), (11, 1, 1), (12, None, None), (None, 1, 1), (99, 1, 1), (15, 0, 1)]
+
+
+def flags(docs):
+    smallest = {}
+    for d, t, _ in docs:
+        if d is not None:
+            smallest[t or ""] = min(smallest.get(t or "", d), d)
+    out = []
+    for d, t, lang in docs:
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = [
+            len(words) < 100, 100 * len(set(words)) < 80 * len(words), 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+            bool(re.search(r"[#$%&*|]", t)), d is not None and smallest[t] < d,
+        ]
+        good = any(a == d and d is not None and q == 1 for a, q, _ in LABELS)
+        toxic = any(a == d and d is not None and x == 1 for a, _, x in LABELS)
+        out.append((lang or "", fails, good, toxic))
+    return out
+
+
+def brute(docs):
+    rows = flags(docs)
+    out = []
+    for part in {r[0] for r in rows}:
+        mine, shapley, steps = [r for r in rows if r[0] == part], [0] * 5, []
+        for order in permutations(range(5)):
+            left = mine
+            for step, f in enumerate(order, 1):
+                removed = [r for r in left if r[1][f]]
+                left = [r for r in left if not r[1][f]]
+                shapley[f] += len(removed)
+                fails = sum(r[1][f] for r in mine)
+                unique = sum(r[1][f] and sum(r[1]) == 1 for r in mine)
+                steps.append((f, (
+                    part, "".join("ABCDE"[i] for i in order), step, len(left), len(removed), fails - len(removed), unique,
+                    sum(r[2] for r in removed), sum(r[3] for r in removed),
+                )))
+        out += [(*row, shapley[f]) for f, row in steps]
+    return sorted(out)
+
+
+def written(spark, tmp_path, docs=DOCS, labels=LABELS):
+    extra = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    extra = extra.select("*", F.lit("s").alias("source"), F.lit(1).alias("mask"), F.lit(2).alias("part"), F.lit("d").alias("digest"), F.lit(0).alias("n"))
+    extra.write.parquet(f"{tmp_path}/documents.parquet")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("good", F.lit("clash"))
+    marks.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def test_every_order_and_step(spark, tmp_path):
+    got = QUERIES["op12_filter_audit"](spark, written(spark, tmp_path)).select(*COLUMNS)
+    assert sorted(tuple(r) for r in got.collect()) == brute(DOCS)
+    assert dict(got.dtypes)["step"] == "int" and dict(got.dtypes)["shapley"] == "bigint"
+
+
+def test_empty_tables(spark, tmp_path):
+    assert QUERIES["op12_filter_audit"](spark, written(spark, tmp_path / "none", [], [])).count() == 0
+    got = QUERIES["op12_filter_audit"](spark, written(spark, tmp_path / "unlabelled", DOCS, []))
+    assert got.count() == 600 * 5 and got.where("good_lost <> 0 OR toxic_lost <> 0").count() == 0
+
+
+def test_gray_walk_against_direct_sums():
+    rng = np.random.default_rng(1)
+    for k in (1, 3, 5):
+        cells = rng.integers(0, 1000, (4, 1 << k))
+        direct = np.array([[sum(row[m] for m in range(1 << k) if not m & s) for s in range(1 << k)] for row in cells])
+        assert (A.gray_walk(cells) == direct).all()
+
+
+def test_each_step_of_the_walk_toggles_one_filter():
+    codes = [i ^ i >> 1 for i in range(32)]
+    assert all(bin(a ^ b).count("1") == 1 for a, b in zip(codes, codes[1:])) and sorted(codes) == list(range(32))
+
+
+def test_other_filters_and_measures(spark):
+    cells = spark.createDataFrame([("p", 0, 5), ("p", 1, 3), ("p", 3, 2), ("q", 2, 7)], "part string, mask int, n long")
+    states = {r.part: r.n for r in A.surviving_states(cells, 2, ["n"]).collect()}
+    assert states == {"p": [10, 5, 8, 5], "q": [7, 7, 0, 0]}
+
+
+def test_hot_text_and_hot_id(spark, tmp_path):
+    """A third of all rows shares a text, another third an id."""
+    docs = [(i if i % 3 else 0, CLEAN if i % 3 == 1 else f"text {i % 5}", "en" if i % 2 else "de") for i in range(900)]
+    got = QUERIES["op12_filter_audit"](spark, written(spark, tmp_path, docs)).select(*COLUMNS)
+    assert sorted(tuple(r) for r in got.collect()) == brute(docs)

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import date
 
@@ -28,8 +29,6 @@ def brute(zones, points):
 
 def random_zones(rng):
     """Stars with many corners, a hole, two triangles sharing their long side, a part far off, a sliver."""
-    import math
-
     zones = []
     for k in range(12):
         cx, cy, n = rng.uniform(-5, 5), rng.uniform(-5, 5), rng.choice([3, 5, 9, 40])
@@ -97,22 +96,43 @@ def test_statistics(spark):
 
 
 def test_the_bound_holds(spark):
-    zones = square(spark, *[(str(i), float(i), 0.3, 0.9) for i in range(20)])
-    summary = summarise_zones(zones)
-    for cell in (0.05, 0.2, 2.0):
+    zones = square(spark, *[(str(i), float(i), 0.3, 0.9) for i in range(20)], ("huge", -90.0, -80.0, 150.0), ("dot", 3.0, 3.0, 0.0))
+    for cell in (None, 0.5, 2.0):
         index = zone_cells(zones, cell)
         edges = sum(F.when(F.col(f"e{i}").isNotNull(), 1).otherwise(0) for i in range(4))
         used = index.agg(F.count("*"), F.sum(edges)).first()
-        assert used[0] * 320 + used[1] * 32 <= summary.index_bytes(cell)
-    assert summarise_zones(zones.limit(0)).index_bytes(1.0) == 0
+        assert used[0] * 320 + used[1] * 48 <= summarise_zones(zones, cell=cell).index_bytes
+    assert summarise_zones(zones.limit(0)).index_bytes == 0
+    assert point_in_zone(spark.createDataFrame([(0.5, 0.5)], "lon double, lat double"), zones.limit(0)).count() == 0
 
 
-def test_cells_grow_only_as_far_as_needed(spark):
+def test_every_zone_has_a_grid_of_its_size(spark):
     zones = square(spark, *[(str(i), float(i), 0.0, 1.0) for i in range(9)], ("land", -100.0, -100.0, 200.0))
-    summary = summarise_zones(zones)
-    assert summary.cell(1e12) == 0.125 and summary.cell(0) == 1.0
-    middle = summary.cell(summary.index_bytes(0.5))
-    assert middle == 0.5
+    sizes = summarise_zones(zones).sizes
+    assert sorted(sizes.values()) == [0.0625, 16.0]
+    cells = {r[0]: r[1] for r in zone_cells(zones).groupBy("zone_id").agg(F.count("*")).collect()}
+    assert max(cells.values()) <= 18 * 18
+
+
+def test_a_zone_of_a_million_edges_among_small_ones(spark):
+    """A round of ever so many corners with bays: no cell holds more than a thousandth of them, points as by its formula."""
+    n = 1_000_000
+    radius = lambda i: 3.0 + 0.5 * F.sin(F.lit(0.0) + 7 * i * (2 * math.pi / n))
+    corner = lambda i: F.struct(
+        (radius(i) * F.cos(i * (2 * math.pi / n))).alias("x"), (radius(i) * F.sin(i * (2 * math.pi / n))).alias("y"))
+    big = spark.range(1).select(F.lit("big").alias("zone_id"), F.array(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), corner)).alias("rings"))
+    zones = big.unionByName(square(spark, *[(str(i), i / 10, 0.0, 0.1) for i in range(-20, 20)]))
+    index = zone_cells(zones)
+    longest, cells = index.where("zone_id = 'big'").agg(F.max(F.size("more")), F.count("*")).first()
+    assert longest < n / 1000 and cells < 4 * n
+    rng = random.Random(3)
+    border = lambda x, y: 3.0 + 0.5 * math.sin(7 * math.atan2(y, x)) - math.hypot(x, y)
+    points = [p for p in ((rng.uniform(-4, 4), rng.uniform(-4, 4)) for _ in range(2000)) if abs(border(*p)) > 1e-4]
+    inside = {p for p in points if border(*p) > 0}
+    pdf = spark.createDataFrame(points, "lon double, lat double")
+    for bytes_ in (1 << 40, 0):
+        found = {(r.lon, r.lat) for r in point_in_zone(pdf, zones, broadcast_bytes=bytes_).where("zone_id = 'big'").collect()}
+        assert found == inside
 
 
 def test_plans(spark, plan):

@@ -40,6 +40,26 @@ def parse_rings(wkt: Column | str) -> Column:
     )
 
 
+def geojson_rings(geometry: str) -> Column:
+    """Rings of a GeoJSON polygon or multipolygon; other kinds have none.
+
+    ``geometry`` has ``type`` and, as text, ``coordinates``: they nest one level
+    deeper in a multipolygon, so no single array type holds both.
+    """
+    text, kind = f"{geometry}.coordinates", f"{geometry}.type"
+    rings = (
+        f"CASE {kind} WHEN 'MultiPolygon' THEN flatten(from_json({text}, 'array<array<array<array<double>>>>'))"
+        f" WHEN 'Polygon' THEN from_json({text}, 'array<array<array<double>>>') END"
+    )
+    return F.expr(f"transform({rings}, ring -> transform(ring, p -> named_struct('x', p[0], 'y', p[1])))")
+
+
+def geojson_text(geometry: str) -> Column:
+    """A geometry with its coordinates as text, as one JSON text."""
+    kind = F.to_json(F.expr(f"struct({geometry}.type)"))
+    return F.concat(F.rtrim(kind, F.lit("}")), F.lit(',"coordinates":'), F.regexp_replace(f"{geometry}.coordinates", r"\s", ""), F.lit("}"))
+
+
 def bbox(rings: str) -> Column:
     """(south, west, north, east) of a rings column."""
     xs = f"transform(flatten({rings}), p -> p.x)"
@@ -90,16 +110,6 @@ def segments_meet(e: str, f: str) -> str:
     )
 
 
-def literal_edges(rings: list[list[tuple[float, float]]]) -> str:
-    """SQL: the edges of a polygon known beforehand, as a constant."""
-    pairs = [(p, q) if p[1] <= q[1] else (q, p) for ring in rings for p, q in zip(ring, ring[1:] + ring[:1])]
-    return "array({})".format(
-        ", ".join(
-            f"named_struct('x1', {p[0]!r}D, 'y1', {p[1]!r}D, 'x2', {q[0]!r}D, 'y2', {q[1]!r}D)" for p, q in pairs
-        )
-    )
-
-
 def rings_of(spark: SparkSession, wkt: str) -> list[list[tuple[float, float]]]:
     """Rings of one polygon text, read once instead of for every row."""
     rings = spark.range(1).select(parse_rings(F.lit(wkt)).alias("rings")).first()["rings"]

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import SENTINEL_2, STATION_RULES
-from ..functions import any_attr_le, bbox, box_of, edge_list, rings_of
+from ..functions import any_attr_le
 from ..functions.attributes import tagged_as
-from ..functions.geometry import inside, literal_edges, segments_meet
-from .columns import computed_once
 
 
 def _literal_like(df: DataFrame, column: str, at: datetime) -> Column:
@@ -57,28 +55,6 @@ def in_window(
     return df.where(F.col(collection_col) == collection).where(inside)
 
 
-def intersects_aoi(df: DataFrame, rings: str, wkt: str) -> DataFrame:
-    """Footprints that share a point with a polygon; touching counts.
-
-    A box comparison rejects most footprints before any edge is looked at. The
-    rest meet an edge, lie inside, or hold a ring of the area.
-    """
-    aoi = rings_of(df.sparkSession, wkt)
-    south, west, north, east = box_of(aoi)
-    aoi_edges = literal_edges(aoi)
-    near = computed_once(df, _box=bbox(rings)).where(
-        (F.col("_box.west") <= east) & (F.col("_box.east") >= west)
-        & (F.col("_box.south") <= north) & (F.col("_box.north") >= south)
-    )
-    edged = computed_once(near, _edges=edge_list(rings))
-    tests = [
-        f"exists({rings}, r -> {inside(aoi_edges, 'r[0].x', 'r[0].y')})",
-        f"exists(_edges, a -> exists({aoi_edges}, b -> {segments_meet('a', 'b')}))",
-        *[inside("_edges", f"{ring[0][0]!r}D", f"{ring[0][1]!r}D") for ring in aoi],
-    ]
-    return edged.where(" OR ".join(tests)).drop("_box", "_edges")
-
-
 def any_attribute_le(
     df: DataFrame,
     limit: int | None,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import LEAD_COLUMNS, SENTINEL_1, SENTINEL_1_COLUMNS, SENTINEL_2, SENTINEL_2_COLUMNS
-from ..functions import attr, fallback, identifier, instant, json_text, level
+from ..functions import attr, fallback, geojson_text, identifier, instant, json_text, level
 from .columns import flatten, keep, lead_columns
 
 COLLECTION_OF = {"sentinel1": SENTINEL_1, "sentinel2": SENTINEL_2}
@@ -35,7 +35,7 @@ def product_columns(df: DataFrame, theme: str) -> DataFrame:
             "content_start": instant("ContentDate.Start"),
             "cloudcover": fallback(own_cover, attribute("cloud").try_cast("double")),
             "polarizations": attribute("polar"),
-            "footprint": json_text("GeoFootprint") if "GeoFootprint" in has else missing,
+            "footprint": geojson_text("GeoFootprint") if "GeoFootprint" in has else missing,
             "product_level": level("Name"),
             "s3_asset": json_text("Assets") if "Assets" in has else missing,
             "collection": F.lit(COLLECTION_OF[theme]),

@@ -150,9 +150,14 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     west = F.lit(-12.0) + (k * 37 % 1024) * F.lit(0.015625)
     south = F.lit(34.0) + (k * 53 % 768) * F.lit(0.015625)
-    triangle = F.array(
-        F.array(west, south), F.array(west + 1, south), F.array(west, south + 1), F.array(west, south)
-    )
+
+    def triangle(dx: float, dy: float) -> Column:
+        x, y = west + dx, south + dy
+        return F.array(F.array(x, y), F.array(x + 1, y), F.array(x, y + 1), F.array(x, y))
+
+    # every seventh product has two parts
+    two_parts = k % 7 == 0
+    coordinates = F.when(two_parts, F.to_json(F.array(F.array(triangle(0, 0)), F.array(triangle(3, 2))))).otherwise(F.to_json(F.array(triangle(0, 0))))
 
     def attribute(name_: Column, field: str, value: Column) -> Column:
         return F.create_map(F.lit("Name"), name_, F.lit(field), value.cast("string"))
@@ -168,7 +173,9 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(iso(start).alias("Start"), iso(start + F.expr("interval 1 day")).alias("End")).alias("ContentDate"),
         iso(F.col("o_orderdate")).alias("IngestionDate"),
         cents("o_totalprice").alias("sizeInBytes"),
-        F.struct(F.lit("Polygon").alias("type"), F.array(triangle).alias("coordinates")).alias("GeoFootprint"),
+        F.struct(
+            F.when(two_parts, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("type"), coordinates.alias("coordinates"),
+        ).alias("GeoFootprint"),
         F.when(k % 3 != 0, (k % 101).cast("double")).alias("CloudCover"),
         F.array(
             attribute(F.lit("orbitNumber"), "Value", k),
@@ -184,18 +191,27 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def footprint_rings(c: str = "GeoFootprint") -> Column:
-    return F.transform(
-        F.col(f"{c}.coordinates"),
-        lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))),
-    )
-
-
 def paged(df: DataFrame, number: Column, items: str) -> DataFrame:
     """Rows packed into API pages; ``number`` spreads them, a page stays small."""
     return df.groupBy(number.alias("_page")).agg(F.collect_list(F.struct(*df.columns)).alias(items)).drop("_page")
 
 
+def bare_coordinates(json: Column) -> Column:
+    """JSON text with coordinates that are text written as the arrays they are."""
+    return F.regexp_replace(json, r'"coordinates":"([^"]*)"', r'"coordinates":$1')
+
+
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 500 products as JSON text; some products have fields that no schema lists, one of them nested."""
+    k = F.substring("Id", 2, 18).cast("bigint")
+    items = catalogue_items(spark, sf_dir).withColumns({
+        "EvictionDate": F.when(k % 13 == 0, F.col("IngestionDate")),
+        "Quality": F.when(k % 3 == 0, F.struct(F.when(k % 2 == 0, k % 10).alias("Score"), F.lit("auto").alias("Check level"))),
+    })
+    pages = paged(items, F.floor(k / 500), "value")
+    return pages.select(bare_coordinates(F.to_json(F.struct("value"))).alias("page"))
+
+
 # --- map elements ---------------------------------------------------------
 
 def map_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,33 +252,41 @@ def night_light_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_side(spark: SparkSession, sf_dir: str) -> Column:
+    """Side of a zone: a quarter of a degree for 1,280 suppliers, halved for each four times as many, so zones never overlap."""
+    last = F.col("last")
+    halvings = sum((F.when(last >= 1280 * 4**j, 1).otherwise(0) for j in range(1, 12)), F.when(last >= 1280, 1).otherwise(0))
+    return table(spark, sf_dir, "supplier").agg(F.max("s_suppkey").alias("last")).select(0.25 * F.pow(F.lit(0.5), halvings)).scalar()
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pixel per order line; a third of them fall into one zone."""
+    """One pixel per order line, over all the land that zones may cover; a third of them fall into one zone."""
     o, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     a, b = o * 37 + p * 13 + n * 101, o * 53 + p * 29 + n * 7
-    hot = p % 3 == 0
-    return table(spark, sf_dir, "lineitem").select(
-        F.when(hot, F.lit(-10.0) + (a % 256) / 1024.0).otherwise(F.lit(-10.5) + (a % 11264) / 1024.0).alias("lon"),
-        F.when(hot, F.lit(36.0) + (b % 256) / 1024.0).otherwise(F.lit(35.5) + (b % 2048) / 1024.0).alias("lat"),
+    hot, side = p % 3 == 0, F.col("_side")
+    return table(spark, sf_dir, "lineitem").withColumn("_side", zone_side(spark, sf_dir)).select(
+        F.when(hot, F.lit(-10.0) + (a % 256) / 256.0 * side).otherwise(F.lit(-10.5) + (a % 11264) / 1024.0).alias("lon"),
+        F.when(hot, F.lit(36.0) + (b % 256) / 256.0 * side).otherwise(F.lit(35.5) + (b % 9216) / 1024.0).alias("lat"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("avg_rad"),
     )
 
 
 def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One concave polygon per supplier; every third has a hole, every fourth is a multipolygon."""
-    k = F.col("s_suppkey")
-    x0 = F.lit(-10.0) + (k % 40) * F.lit(0.25)
-    y0 = F.lit(36.0) + (F.floor(k / 40) % 32) * F.lit(0.25)
+    """One concave polygon per supplier, side by side; every third has a hole, every fourth is a multipolygon."""
+    k, side = F.col("s_suppkey"), F.col("_side")
+    columns = (10 / side).cast("bigint")
+    x0 = F.lit(-10.0) + (k % columns) * side
+    y0 = F.lit(36.0) + F.floor(k / columns) * side
 
     def ring(corners: list[tuple[float, float]]) -> Column:
-        return F.array(*[F.array(x0 + 0.25 * dx, y0 + 0.25 * dy) for dx, dy in corners])
+        return F.array(*[F.array(x0 + side * dx, y0 + side * dy) for dx, dy in corners])
 
     outer = ring([(0, 0), (1, 0), (1, 1), (0.5, 0.5), (0, 1), (0, 0)])
     hole = ring([(0.375, 0.125), (0.5, 0.125), (0.5, 0.25), (0.375, 0.25), (0.375, 0.125)])
     polygon = F.when(k % 3 == 0, F.array(outer, hole)).otherwise(F.array(outer))
     multi = k % 4 == 0
-    return table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier").withColumn("_side", zone_side(spark, sf_dir)).select(
         F.lit("Feature").alias("type"),
         F.create_map(
             F.lit("GISCO_ID"), F.concat(F.lit("ES_"), k), F.lit("LAU_NAME"), F.col("s_name")

@@ -103,14 +103,14 @@ def product_catalogue(
     end: date,
     closed: str = "both",
     aoi_rings: str | None = None,
-    aoi_wkt: str | None = None,
+    aoi_wkt: str | DataFrame | None = None,
     max_cloud: int | None = None,
     tile: str | None = None,
     exclude: str | None = None,
     top: int | None = None,
     max_pages: int = 1,
 ) -> DataFrame:
-    """Products of a collection by time, area, name and cloud.
+    """Products of a collection by time, area (a polygon text, or a table of areas), name and cloud.
 
     All of them, in no order, unless ``top`` asks for a page set: then the
     latest ``top * max_pages``; :func:`matched_and_returned` tells how many that
@@ -126,7 +126,7 @@ def product_catalogue(
 
 def matched_and_returned(
     items: DataFrame, collection: str, start: date, end: date, closed: str = "both", aoi_rings: str | None = None,
-    aoi_wkt: str | None = None, max_cloud: int | None = None, tile: str | None = None, exclude: str | None = None,
+    aoi_wkt: str | DataFrame | None = None, max_cloud: int | None = None, tile: str | None = None, exclude: str | None = None,
     top: int | None = None, max_pages: int = 1,
 ) -> DataFrame:
     """How many products :func:`product_catalogue` matches, and how many its page set returns; one row."""
@@ -135,7 +135,7 @@ def matched_and_returned(
 
 
 def _matching(
-    items: DataFrame, collection: str, start: date, end: date, closed: str, aoi_rings: str | None, aoi_wkt: str | None,
+    items: DataFrame, collection: str, start: date, end: date, closed: str, aoi_rings: str | None, aoi_wkt: str | DataFrame | None,
     max_cloud: int | None, tile: str | None, exclude: str | None,
 ) -> DataFrame:
     found = in_window(
@@ -144,7 +144,7 @@ def _matching(
     )
     found = name_filter(found, tile, exclude)
     found = any_attribute_le(found, max_cloud)
-    if aoi_wkt:
+    if aoi_wkt is not None:
         found = intersects_aoi(found, aoi_rings, aoi_wkt)
     return found
 

@@ -7,18 +7,22 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..fixed_values import AOIS, ASSET_GLOBS, LEAD_COLUMNS
-from ..functions import any_attr_le, attr, fallback, identifier, level
+from ..functions import any_attr_le, attr, bbox, fallback, geojson_rings, identifier, level
 from ..operators import (
     any_attribute_le, asset_patterns, counts, flat_products, flatten, in_window, intersects_aoi, keep, lead_columns,
-    name_filter, outcomes, page, product_columns, select_assets, standardise_names,
+    name_filter, outcomes, page, product_columns, select_assets, standardise_names, with_areas,
 )
 from ..operators.assets import glob_regex as _regex
 from ..session import scratch
-from ..sources import CATALOGUE_ITEM, read_paged_json
+from ..sources import CATALOGUE_ITEM, flatten_open, read_open_items, read_paged_json
 from . import inputs
 from .jobs import asset_run, matched_and_returned, product_catalogue
 from .registry import query, table
 
+def _triangle(x: str, y: str) -> str:
+    return f"'[[' || {x} || ',' || {y} || '],[' || ({x} + 1) || ',' || {y} || '],[' || {x} || ',' || ({y} + 1) || '],[' || {x} || ',' || {y} || ']]'"
+
+
 # The same catalogue on the SQL side, as flat columns.
 _ITEMS = r"""
 items AS (
@@ -32,7 +36,7 @@ items AS (
            strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS "IngestionDate",
            CAST(round(o_totalprice * 100) AS BIGINT) AS "sizeInBytes",
            -12.0::DOUBLE + (o_orderkey * 37 % 1024) * 0.015625::DOUBLE AS west,
-           34.0::DOUBLE + (o_orderkey * 53 % 768) * 0.015625::DOUBLE AS south,
+           34.0::DOUBLE + (o_orderkey * 53 % 768) * 0.015625::DOUBLE AS south, o_orderkey % 7 = 0 AS two_parts,
            CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % 101 AS DOUBLE) END AS cover,
            CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 90 + 0.5::DOUBLE ELSE CAST(o_orderkey % 100 AS DOUBLE) END AS cloud_attr,
            o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0 AS cloud_by_value,
@@ -44,8 +48,9 @@ shaped AS (
     SELECT *, coalesce(split_part("Name", '.', 1), "Id") AS identifier,
            strftime(start, '%Y-%m-%d %H:%M:%S.%g') AS content_start,
            coalesce(cover, cloud_attr) AS cloudcover,
-           '{"type":"Polygon","coordinates":[[[' || west || ',' || south || '],[' || (west + 1) || ',' || south
-               || '],[' || west || ',' || (south + 1) || '],[' || west || ',' || south || ']]]}' AS footprint,
+           CASE WHEN two_parts THEN '{"type":"MultiPolygon","coordinates":[[' || """ + _triangle("west", "south") + """
+                    || '],[' || """ + _triangle("(west + 3)", "(south + 2)") + """ || ']]}'
+                ELSE '{"type":"Polygon","coordinates":[' || """ + _triangle("west", "south") + """ || ']}' END AS footprint,
            CASE WHEN "Name" LIKE '%L2A%' THEN 'L2A' ELSE 'unknown' END AS product_level,
            CASE WHEN k % 4 <> 0 THEN '[{"Type":"S3","S3Path":"/archive/ñ/' || k || '"}]' END AS s3_asset
     FROM items
@@ -58,9 +63,13 @@ _WINDOW_BOTH = "start >= TIMESTAMP '1996-03-01 00:00:00' AND start <= TIMESTAMP
 _WINDOW_NEITHER = "start > TIMESTAMP '1996-03-01 00:00:00' AND start < TIMESTAMP '1996-06-30 00:00:00'"
 _START, _END = date(1996, 3, 1), date(1996, 6, 30)
 
-# A right-angled triangle and a box share a point.
-_IN_MADRID = """west <= -3.3 AND west + 1 >= -3.9 AND south <= 40.6 AND south + 1 >= 40.2
-    AND greatest(west, -3.9::DOUBLE) + greatest(south, 40.2::DOUBLE) <= west + south + 1"""
+def _part_in_madrid(x: str, y: str) -> str:
+    """A right-angled triangle and a box share a point."""
+    return f"""({x} <= -3.3 AND {x} + 1 >= -3.9 AND {y} <= 40.6 AND {y} + 1 >= 40.2
+    AND greatest({x}, -3.9::DOUBLE) + greatest({y}, 40.2::DOUBLE) <= {x} + {y} + 1)"""
+
+
+_IN_MADRID = "(" + _part_in_madrid("west", "south") + " OR (two_parts AND " + _part_in_madrid("(west + 3)", "(south + 2)") + "))"
 
 
 def _with_start(spark, sf_dir):
@@ -74,21 +83,47 @@ def _plain_start(df):
     return df.withColumn("content_start", F.date_format("content_start", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
+def _landed_pages(spark, sf_dir):
+    path = scratch(spark, "pages")
+    inputs.catalogue_pages(spark, sf_dir).write.text(path)
+    return path
+
+
 @query(
     "WITH " + _ITEMS + """
-SELECT "Id", "Name", content_start, "sizeInBytes", cover AS "CloudCover" FROM shaped"""
+SELECT "Id", "Name", content_start, "sizeInBytes", cover AS "CloudCover",
+       CASE WHEN two_parts THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+       CASE WHEN two_parts THEN 2 ELSE 1 END::INTEGER AS rings, CASE WHEN two_parts THEN west + 4 ELSE west + 1 END AS east
+FROM shaped"""
 )
 def paged_scan(spark, sf_dir):
-    """Pages of 500 products, landed one page per line, read back as rows."""
-    items = inputs.catalogue_items(spark, sf_dir)
-    path = scratch(spark, "pages")
-    number = F.floor(F.substring("Id", 2, 18).cast("bigint") / 500)
-    inputs.paged(items, number, "value").write.json(path)
-    found = read_paged_json(spark, path, CATALOGUE_ITEM, one_page_per_line=True)
+    """Pages of 500 products, landed one page per line, read back as rows; footprints of both kinds in a page."""
+    found = read_paged_json(spark, _landed_pages(spark, sf_dir), CATALOGUE_ITEM, one_page_per_line=True)
+    rings = geojson_rings("GeoFootprint")
     return found.select(
         "Id", "Name",
         F.date_format(F.col("ContentDate.Start").try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS").alias("content_start"),
-        "sizeInBytes", "CloudCover",
+        "sizeInBytes", "CloudCover", F.col("GeoFootprint.type").alias("kind"), rings.alias("rings"),
+    ).select("*", bbox("rings")["east"].alias("east")).withColumn("rings", F.size("rings"))
+
+
+@query(
+    "WITH " + _ITEMS + """
+SELECT "Id", "Name", strftime(start, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate.Start",
+       strftime(start + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate.End", "IngestionDate", "sizeInBytes",
+       CASE WHEN two_parts THEN 'MultiPolygon' ELSE 'Polygon' END AS "GeoFootprint.type", cover AS "CloudCover", collection,
+       CASE WHEN k % 13 = 0 THEN "IngestionDate" END AS "EvictionDate",
+       CASE WHEN k % 3 = 0 THEN 'auto' END AS "Quality.Check level", CASE WHEN k % 6 = 0 THEN k % 10 END AS "Quality.Score",
+       CASE WHEN two_parts THEN 2 ELSE 1 END::INTEGER AS parts, 4::INTEGER AS attributes
+FROM shaped"""
+)
+def open_items(spark, sf_dir):
+    """The same pages without a schema: every field that arrives is a column, arrays are counted here."""
+    flat = flatten_open(read_open_items(spark, _landed_pages(spark, sf_dir), one_page_per_line=True))
+    return flat.select(
+        *[F.col(f"`{c}`") for c in flat.columns if c not in ("GeoFootprint.coordinates", "Attributes", "Assets")],
+        F.size(F.try_variant_get("`GeoFootprint.coordinates`", "$", "array<variant>")).alias("parts"),
+        F.size(F.try_variant_get("Attributes", "$", "array<variant>")).alias("attributes"),
     )
 
 
@@ -96,7 +131,7 @@ def paged_scan(spark, sf_dir):
     "WITH " + _ITEMS + """
 SELECT "Id", "Name", strftime(start, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate_Start",
        strftime(start + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%gZ') AS "ContentDate_End",
-       "sizeInBytes", 'Polygon' AS "GeoFootprint_type"
+       "sizeInBytes", CASE WHEN two_parts THEN 'MultiPolygon' ELSE 'Polygon' END AS "GeoFootprint_type"
 FROM shaped"""
 )
 def flatten_items(spark, sf_dir):
@@ -182,12 +217,75 @@ def window_stored(spark, sf_dir):
 
 @query("WITH " + _ITEMS + " SELECT \"Id\", west, south FROM shaped WHERE " + _IN_MADRID)
 def aoi_products(spark, sf_dir):
-    items = inputs.catalogue_items(spark, sf_dir).select("Id", inputs.footprint_rings().alias("rings"))
+    items = inputs.catalogue_items(spark, sf_dir).select("Id", geojson_rings("GeoFootprint").alias("rings"))
     found = intersects_aoi(items, "rings", AOIS["madrid"])
     corner = F.col("rings")[0][0]
     return found.select("Id", corner["x"].alias("west"), corner["y"].alias("south"))
 
 
+def _edges_sql(corners, x, y, k="k"):
+    """Edges (lower end first) of a ring given by its corners."""
+    pairs = zip(corners, corners[1:] + corners[:1])
+    ordered = [(p, q) if p[1] <= q[1] else (q, p) for p, q in pairs]
+    return " UNION ALL ".join(
+        f"SELECT {k} AS k, {x} + {p[0]}::DOUBLE AS x1, {y} + {p[1]}::DOUBLE AS y1, {x} + {q[0]}::DOUBLE AS x2, {y} + {q[1]}::DOUBLE AS y2" for p, q in ordered
+    )
+
+
+# An arrow head of five corners per nation; every third has a hole.
+_ARROW, _ARROW_HOLE = [(0, 0), (2, 0), (2, 2), (1, 1), (0, 2)], [(0.5, 0.25), (1.5, 0.25), (1.0, 0.75)]
+_TRIANGLE = [(0, 0), (1, 0), (0, 1)]
+
+
+def _side(s: str, px: str, py: str) -> str:
+    return f"sign(({s}.x2 - {s}.x1) * ({py} - {s}.y1) - ({s}.y2 - {s}.y1) * ({px} - {s}.x1))"
+
+
+_MEET = (
+    "least(f.x1, f.x2) <= greatest(a.x1, a.x2) AND least(a.x1, a.x2) <= greatest(f.x1, f.x2) AND f.y1 <= a.y2 AND a.y1 <= f.y2"
+    f" AND {_side('f', 'a.x1', 'a.y1')} * {_side('f', 'a.x2', 'a.y2')} <= 0 AND {_side('a', 'f.x1', 'f.y1')} * {_side('a', 'f.x2', 'f.y2')} <= 0"
+)
+
+
+def _corner_in(corner: str, edge: str) -> str:
+    x, y = f"{corner}.x", f"{corner}.y"
+    return (
+        f"{edge}.y1 <= {y} AND {y} < {edge}.y2 AND {x} < {edge}.x1 + ({y} - {edge}.y1) * ({edge}.x2 - {edge}.x1) / ({edge}.y2 - {edge}.y1)"
+    )
+
+
+@query(
+    "WITH " + _ITEMS + """,
+corners AS (SELECT n_nationkey AS k, -12.5::DOUBLE + (n_nationkey % 5) * 3.25 AS x, 33.5::DOUBLE + (n_nationkey // 5) * 2.625 AS y FROM nation),
+area_edges AS (""" + _edges_sql(_ARROW, "x", "y").replace("::DOUBLE AS y2", "::DOUBLE AS y2 FROM corners") + """
+    UNION ALL """ + _edges_sql(_ARROW_HOLE, "x", "y").replace("::DOUBLE AS y2", "::DOUBLE AS y2 FROM corners WHERE k % 3 = 0") + """),
+parts AS (SELECT k, west AS x, south AS y FROM items UNION ALL SELECT k, west + 3, south + 2 FROM items WHERE two_parts),
+foot_edges AS (""" + _edges_sql(_TRIANGLE, "x", "y").replace("::DOUBLE AS y2", "::DOUBLE AS y2 FROM parts") + """),
+heads AS (SELECT k, x, y FROM corners UNION ALL SELECT k, x + 0.5, y + 0.25 FROM corners WHERE k % 3 = 0),
+links AS (
+    SELECT f.k, a.k AS area FROM foot_edges f JOIN area_edges a ON """ + _MEET + """
+    UNION SELECT k, area FROM (
+        SELECT p.k, p.x, p.y, a.k AS area FROM parts p JOIN area_edges a ON """ + _corner_in("p", "a") + """
+        GROUP BY ALL HAVING count(*) % 2 = 1)
+    UNION SELECT k, area FROM (
+        SELECT f.k, h.x, h.y, h.k AS area FROM heads h JOIN foot_edges f ON """ + _corner_in("h", "f") + """
+        GROUP BY ALL HAVING count(*) % 2 = 1))
+SELECT 'P' || k AS "Id", 'N' || area AS area_id FROM links"""
+)
+def products_in_areas(spark, sf_dir):
+    """Every product with every area that it meets, for a table of concave areas, some with a hole."""
+    k = F.col("n_nationkey")
+    x, y = F.lit(-12.5) + k % 5 * 3.25, F.lit(33.5) + F.floor(k / 5) * 2.625
+
+    def ring(corners):
+        return F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in corners])
+
+    rings = F.when(k % 3 == 0, F.array(ring(_ARROW), ring(_ARROW_HOLE))).otherwise(F.array(ring(_ARROW)))
+    areas = table(spark, sf_dir, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("area_id"), rings.alias("rings"))
+    items = inputs.catalogue_items(spark, sf_dir).select("Id", geojson_rings("GeoFootprint").alias("footprint"))
+    return with_areas(items, "footprint", areas).select("Id", "area_id")
+
+
 @query(
     "WITH " + _ITEMS + """
 SELECT "Id", collection FROM shaped
@@ -258,7 +356,7 @@ def row_counts(spark, sf_dir):
 ORDER BY start DESC, "Id" LIMIT 4"""
 )
 def product_catalogue_page(spark, sf_dir):
-    items = inputs.catalogue_items(spark, sf_dir).withColumn("rings", inputs.footprint_rings())
+    items = inputs.catalogue_items(spark, sf_dir).withColumn("rings", geojson_rings("GeoFootprint"))
     found = product_catalogue(
         items, "sentinel2", "SENTINEL-2", _START, date(1999, 6, 30), aoi_rings="rings", aoi_wkt=AOIS["madrid"],
         max_cloud=80, exclude="L1C", top=2, max_pages=2,

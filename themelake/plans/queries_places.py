@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixed_values import AOIS
-from ..functions import bbox, center_or_point, parse_rings
-from ..operators import collapse, in_bbox, month_spine, point_in_zone, stack, tagged, zonal_stats
+from ..functions import bbox, center_or_point, month_label, parse_rings
+from ..operators import (
+    collapse, in_bbox, month_spine, pixel_weights, pixels_by_zone, point_in_zone, stack, tagged, zonal_stats,
+)
 from ..session import scratch
 from ..sources import MAP_ELEMENT, features_to_zones, read_paged_json, read_zones
 from . import inputs
@@ -92,37 +94,58 @@ def wkt_boxes(spark, sf_dir):
 
 # --- zones
 
-_ZONES = """
+_CORNERS = """
+side AS (SELECT 0.25::DOUBLE * pow(0.5, """ + " + ".join(f"CASE WHEN max(s_suppkey) >= {1280 * 4**j} THEN 1 ELSE 0 END" for j in range(12)) + """) AS side FROM supplier),
+corners AS (
+    SELECT s_suppkey AS k, s_name, side, -10.0::DOUBLE + (s_suppkey % CAST(10 / side AS BIGINT)) * side AS x0,
+           36.0::DOUBLE + (s_suppkey // CAST(10 / side AS BIGINT)) * side AS y0
+    FROM supplier, side
+)"""
+_ZONES = _CORNERS + """,
 edges AS (
-    SELECT s_suppkey AS k,
-           (-10.0 + (s_suppkey % 40) * 0.25)::DOUBLE + dx1 * 0.25::DOUBLE AS x1,
-           (36.0 + ((s_suppkey // 40) % 32) * 0.25)::DOUBLE + dy1 * 0.25::DOUBLE AS y1,
-           (-10.0 + (s_suppkey % 40) * 0.25)::DOUBLE + dx2 * 0.25::DOUBLE AS x2,
-           (36.0 + ((s_suppkey // 40) % 32) * 0.25)::DOUBLE + dy2 * 0.25::DOUBLE AS y2
-    FROM supplier, (VALUES
-        (0::DOUBLE, 0::DOUBLE, 1::DOUBLE, 0::DOUBLE, false), (1, 0, 1, 1, false), (0.5, 0.5, 1, 1, false),
-        (0.5, 0.5, 0, 1, false), (0, 0, 0, 1, false),
-        (0.375, 0.125, 0.5, 0.125, true), (0.5, 0.125, 0.5, 0.25, true), (0.375, 0.25, 0.5, 0.25, true),
-        (0.375, 0.125, 0.375, 0.25, true)) v(dx1, dy1, dx2, dy2, hole)
-    WHERE NOT hole OR s_suppkey % 3 = 0
+    SELECT k, x0, y0, side, sign, x0 + dx1 * side AS x1, y0 + dy1 * side AS y1, x0 + dx2 * side AS x2, y0 + dy2 * side AS y2
+    FROM corners, (VALUES
+        (0::DOUBLE, 0::DOUBLE, 1::DOUBLE, 0::DOUBLE, false, 0), (1, 0, 1, 1, false, -1), (0.5, 0.5, 1, 1, false, 1),
+        (0.5, 0.5, 0, 1, false, -1), (0, 0, 0, 1, false, 1),
+        (0.375, 0.125, 0.5, 0.125, true, 0), (0.5, 0.125, 0.5, 0.25, true, 1), (0.375, 0.25, 0.5, 0.25, true, 0),
+        (0.375, 0.125, 0.375, 0.25, true, -1)) v(dx1, dy1, dx2, dy2, hole, sign)
+    WHERE NOT hole OR k % 3 = 0
 )"""
 _PIXELS = """
 pixels AS (
     SELECT row_number() OVER () AS id, CAST(l_shipdate AS DATE) AS date, nullif(l_quantity, 13.0) AS avg_rad,
-           CASE WHEN l_partkey % 3 = 0 THEN -10.0::DOUBLE + (a % 256) / 1024.0::DOUBLE
+           CASE WHEN l_partkey % 3 = 0 THEN -10.0::DOUBLE + (a % 256) / 256.0::DOUBLE * side
                 ELSE -10.5::DOUBLE + (a % 11264) / 1024.0::DOUBLE END AS lon,
-           CASE WHEN l_partkey % 3 = 0 THEN 36.0::DOUBLE + (b % 256) / 1024.0::DOUBLE
-                ELSE 35.5::DOUBLE + (b % 2048) / 1024.0::DOUBLE END AS lat
+           CASE WHEN l_partkey % 3 = 0 THEN 36.0::DOUBLE + (b % 256) / 256.0::DOUBLE * side
+                ELSE 35.5::DOUBLE + (b % 9216) / 1024.0::DOUBLE END AS lat
     FROM (SELECT *, l_orderkey * 37 + l_partkey * 13 + l_linenumber * 101 AS a,
-                    l_orderkey * 53 + l_partkey * 29 + l_linenumber * 7 AS b FROM lineitem)
+                    l_orderkey * 53 + l_partkey * 29 + l_linenumber * 7 AS b FROM lineitem), side
 )"""
 _HITS = """
 hits AS (
     SELECT p.id, e.k FROM pixels p JOIN edges e
       ON p.lat >= e.y1 AND p.lat < e.y2 AND p.lon < e.x1 + (p.lat - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
-     AND p.lon >= (-10.0 + (e.k % 40) * 0.25)
+     AND p.lon >= e.x0
     GROUP BY p.id, e.k HAVING count(*) % 2 = 1
 )"""
+# Share of a pixel's square (side 1/128, corners at 1/512 past its multiples) in a zone: a sum over the zone's edges.
+_SHARES = """
+squares AS (
+    SELECT *, floor((lon - 0.001953125::DOUBLE) * 128) AS px, floor((lat - 0.001953125::DOUBLE) * 128) AS py FROM pixels WHERE avg_rad IS NOT NULL
+), cut AS (
+    SELECT id, k, date, avg_rad, sign, (x1 - 0.001953125) * 128 - px AS u1, (x2 - 0.001953125) * 128 - px AS u2,
+           (y1 - 0.001953125) * 128 - py AS v1, (y2 - 0.001953125) * 128 - py AS v2
+    FROM squares p JOIN edges e ON sign <> 0 AND (x0 - 0.001953125) * 128 < px + 1 AND (x0 + side - 0.001953125) * 128 > px
+     AND (y0 - 0.001953125) * 128 < py + 1 AND (y0 + side - 0.001953125) * 128 > py
+), clipped AS (
+    SELECT *, u1 + (greatest(v1, 0) - v1) * (u2 - u1) / (v2 - v1) AS ua, u1 + (least(v2, 1) - v1) * (u2 - u1) / (v2 - v1) AS ub
+    FROM cut WHERE greatest(v1, 0) < least(v2, 1)
+), weights AS (
+    SELECT id, k, date, avg_rad, sum(sign * (least(v2, 1) - greatest(v1, 0)) * CASE WHEN abs(ub - ua) < 1e-12 THEN 1 - greatest(0, least(1, ua))
+        ELSE ((least(ub, 0) + greatest(0, least(1, ub)) - greatest(0, least(1, ub)) ** 2 / 2)
+            - (least(ua, 0) + greatest(0, least(1, ua)) - greatest(0, least(1, ua)) ** 2 / 2)) / (ub - ua) END) AS w
+    FROM clipped GROUP BY ALL
+)"""
 _STATS = """
 stats AS (
     SELECT 'ES_' || k AS zone_id, strftime(date, '%Y-%m') AS date, avg(avg_rad) AS mean, min(avg_rad) AS min,
@@ -140,22 +163,18 @@ def _rounded(df):
 
 
 @query(
-    """
-SELECT 'ES_' || s_suppkey AS zone_id, s_name AS "LAU_NAME",
+    "WITH " + _CORNERS + """
+SELECT 'ES_' || s_suppkey AS zone_id, supplier.s_name AS "LAU_NAME",
        CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END::INTEGER AS rings,
        CASE WHEN s_suppkey % 3 = 0 THEN 11 ELSE 6 END::INTEGER AS points,
-       (-10.0 + (s_suppkey % 40) * 0.25)::DOUBLE AS west, (36.25 + ((s_suppkey // 40) % 32) * 0.25)::DOUBLE AS north
-FROM supplier"""
+       x0 AS west, y0 + side AS north
+FROM corners JOIN supplier ON s_suppkey = k"""
 )
 def zone_scan(spark, sf_dir):
     """Features landed one per line."""
     path = scratch(spark, "zones")
     features = inputs.zone_features(spark, sf_dir)
-    # coordinates go out as JSON, not as quoted text
-    coordinates = F.regexp_replace(
-        F.to_json(F.struct("type", "properties", "geometry")), r'"coordinates":"([^"]*)"', r'"coordinates":$1'
-    )
-    features.select(coordinates.alias("value")).write.text(path)
+    features.select(inputs.bare_coordinates(F.to_json(F.struct("type", "properties", "geometry"))).alias("value")).write.text(path)
     zones = read_zones(spark, path, inputs.ZONE_PROPERTIES, one_feature_per_line=True)
     return zones.select(
         "zone_id", "LAU_NAME", F.size("rings").alias("rings"), F.size(F.flatten("rings")).alias("points"),
@@ -183,6 +202,22 @@ def zonal_statistics_shuffled(spark, sf_dir):
     return _rounded(zonal_stats(inputs.pixels(spark, sf_dir), _zones(spark, sf_dir), broadcast_bytes=0))
 
 
+@query(
+    "WITH " + _ZONES + "," + _PIXELS + "," + _SHARES + """
+SELECT 'ES_' || k AS zone_id, strftime(date, '%Y-%m') AS date, round(sum(w * avg_rad) / sum(w), 6) AS mean, min(avg_rad) AS min, max(avg_rad) AS max,
+       round(sqrt(greatest(sum(w * avg_rad * avg_rad) / sum(w) - (sum(w * avg_rad) / sum(w)) ** 2, 0)), 5) AS "stdDev", round(sum(w), 6) AS pixels
+FROM weights WHERE w > 1e-9 GROUP BY ALL"""
+)
+def zonal_statistics_weighted(spark, sf_dir):
+    """Pixels count by the share of their square that lies in the zone."""
+    size, origin = 1 / 128, (1 / 512, 1 / 512)
+    pixels, zones = inputs.pixels(spark, sf_dir), _zones(spark, sf_dir).select("zone_id", "rings")
+    stats = zonal_stats(pixels, zones, pixel_size=size, pixel_origin=origin)
+    weights = pixels_by_zone(pixels.where("avg_rad IS NOT NULL"), pixel_weights(zones, size, origin), size, origin)
+    shares = weights.groupBy("zone_id", month_label("date").alias("date")).agg(F.round(F.sum("weight"), 6).alias("pixels"))
+    return stats.join(shares, ["zone_id", "date"]).withColumns({"mean": F.round("mean", 6), "stdDev": F.round("stdDev", 5)})
+
+
 @query(
     "WITH " + _ZONES + "," + _PIXELS + "," + _HITS + ", " + _STATS + """
 SELECT 'ES_' || s_suppkey AS zone_id, m.date, mean, min, max, "stdDev", s_name AS "LAU_NAME"

@@ -17,8 +17,8 @@ def theme_path(theme: str, name: str, base: str) -> str:
 
 
 def nested_as_json(df: DataFrame) -> DataFrame:
-    """Maps, arrays and structs as JSON text, the rest as it is."""
-    nested = (T.MapType, T.ArrayType, T.StructType)
+    """Maps, arrays, structs and variants as JSON text, the rest as it is."""
+    nested = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
     return df.select(
         *[
             json_text(F.col(f"`{f.name}`"), empty_as_null=False).alias(f.name)

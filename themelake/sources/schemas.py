@@ -1,7 +1,9 @@
 """Schemas of the landed responses, as DDL.
 
 Attributes and assets are maps of text: their keys vary by product, and two of
-them (``Value``, ``value``) differ only in case.
+them (``Value``, ``value``) differ only in case. Coordinates of a footprint come
+as text, as they nest deeper in a multipolygon. Fields that are not listed are
+left out; :func:`read_open_items` takes whatever arrives.
 """
 
 CATALOGUE_ITEM = """
@@ -9,7 +11,7 @@ CATALOGUE_ITEM = """
     ContentDate struct<Start:string,End:string>,
     IngestionDate string, OriginDate string,
     ContentType string, ContentLength bigint, sizeInBytes bigint,
-    GeoFootprint struct<type:string,coordinates:array<array<array<double>>>>,
+    GeoFootprint struct<type:string,coordinates:string>,
     CloudCover double,
     Attributes array<map<string,string>>,
     Assets array<map<string,string>>,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.geometry import geojson_rings
 from .paged_json import read_paged_json
 
 # Coordinates nest one level deeper in a multipolygon, so they come in as text.
@@ -15,15 +16,9 @@ FEATURE = "properties map<string,string>, geometry struct<type:string,coordinate
 def features_to_zones(features: DataFrame, properties: dict[str, str] | list[str]) -> DataFrame:
     """One row per feature: the named properties and ``rings``."""
     names = properties if isinstance(properties, dict) else {p: p for p in properties}
-    text, kind = "geometry.coordinates", "geometry.type"
-    rings = (
-        f"if({kind} = 'MultiPolygon', flatten(from_json({text}, 'array<array<array<array<double>>>>')),"
-        f" from_json({text}, 'array<array<array<double>>>'))"
-    )
-    as_points = f"transform({rings}, ring -> transform(ring, p -> named_struct('x', p[0], 'y', p[1])))"
-    return features.where(f"{kind} IN ('Polygon', 'MultiPolygon') AND {text} IS NOT NULL").select(
+    return features.where("geometry.type IN ('Polygon', 'MultiPolygon') AND geometry.coordinates IS NOT NULL").select(
         *[F.try_element_at("properties", F.lit(p)).alias(out) for p, out in names.items()],
-        F.expr(as_points).alias("rings"),
+        geojson_rings("geometry").alias("rings"),
     )
 
 

@@ -109,9 +109,9 @@ def test_the_bound_holds(spark):
 def test_every_zone_has_a_grid_of_its_size(spark):
     zones = square(spark, *[(str(i), float(i), 0.0, 1.0) for i in range(9)], ("land", -100.0, -100.0, 200.0))
     sizes = summarise_zones(zones).sizes
-    assert sorted(sizes.values()) == [0.0625, 16.0]
+    assert sorted(sizes.values()) == [0.25, 64.0]
     cells = {r[0]: r[1] for r in zone_cells(zones).groupBy("zone_id").agg(F.count("*")).collect()}
-    assert max(cells.values()) <= 18 * 18
+    assert max(cells.values()) <= 8 * 8
 
 
 def test_a_zone_of_a_million_edges_among_small_ones(spark):

@@ -62,8 +62,7 @@ def geojson_text(geometry: str) -> Column:
 
 def bbox(rings: str) -> Column:
     """(south, west, north, east) of a rings column."""
-    xs = f"transform(flatten({rings}), p -> p.x)"
-    ys = f"transform(flatten({rings}), p -> p.y)"
+    xs, ys = f"flatten({rings}).x", f"flatten({rings}).y"
     return F.expr(
         f"named_struct('south', array_min({ys}), 'west', array_min({xs}),"
         f" 'north', array_max({ys}), 'east', array_max({xs}))"

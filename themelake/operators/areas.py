@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bbox, edge_list, parse_rings
 from ..functions.geometry import inside, segments_meet
-from .columns import computed_once
+from .columns import computed_once, evaluated
 from .zonal import cell_key, count_of, grid_entries, gridded, x_within
 
 # The ladder of box grids: cells of 4 ** FINEST to 4 ** COARSEST.
@@ -37,7 +37,7 @@ SHAPE = ["_h1", "_h2"]
 def area_table(spark: SparkSession, areas: str | dict[str, str]) -> DataFrame:
     """(area_id, rings) of polygon texts; a single one is named ``area``."""
     named = areas if isinstance(areas, dict) else {"area": areas}
-    texts = spark.createDataFrame(list(named.items()), "area_id string, wkt string")
+    texts = spark.createDataFrame(list(named.items()), "area_id string, wkt string").coalesce(1)
     return texts.select("area_id", parse_rings("wkt").alias("rings"))
 
 
@@ -98,9 +98,21 @@ def _probes(pairs: DataFrame) -> DataFrame:
     return in_cells.selectExpr(*SHAPE, "_area", "kind", "x1", "y1", "x2", "y2", f"if(kind = 0, null, {cell_key('_level', 'cx', 'cy')}) AS _cell")
 
 
+def _near(df: DataFrame, rings: str, areas: DataFrame, area_rings: str) -> DataFrame:
+    """Rows whose box (kept as ``_box``) meets the box around all areas, which is found when the query runs."""
+    boxes = areas.select(bbox(area_rings).alias("b"))
+    around = boxes.agg(F.struct(
+        F.min("b.west").alias("west"), F.max("b.east").alias("east"), F.min("b.south").alias("south"), F.max("b.north").alias("north")
+    )).scalar()
+    boxed = computed_once(evaluated(df, rings), _box=bbox(rings)).withColumn("_around", around)
+    return boxed.where(
+        "_box.west <= _around.east AND _around.west <= _box.east AND _box.south <= _around.north AND _around.south <= _box.north"
+    ).drop("_around")
+
+
 def shapes_in_areas(df: DataFrame, areas: DataFrame, rings: str = "rings", area_id: str = "area_id", area_rings: str = "rings") -> DataFrame:
     """(_h1, _h2, area_id) for every polygon of ``df`` and area that share a point; one row per area in ``areas``."""
-    shapes = computed_once(df.select(*shape_key(rings), F.col(rings).alias("_rings")), _box=bbox("_rings")).where("_box.west IS NOT NULL")
+    shapes = _near(df.select(F.col(rings).alias("_rings")), "_rings", areas, area_rings).select(*shape_key("_rings"), "_rings", "_box")
     named = areas.select(F.col(area_id).alias("_area"), F.col(area_rings).alias("_area_rings"))
     grid = gridded(named, "_area_rings").select(
         "_area", F.col("_box").alias("_area_box"), "_level", "_c", F.expr("transform(_area_rings, r -> r[0])").alias("_area_heads"),
@@ -123,11 +135,12 @@ def _areas_of(df: DataFrame, area: str | DataFrame) -> DataFrame:
 
 def intersects_aoi(df: DataFrame, rings: str, area: str | DataFrame, area_id: str = "area_id", area_rings: str = "rings") -> DataFrame:
     """Rows whose polygon shares a point with an area: one as text, or any number as a table."""
-    found = shapes_in_areas(df, _areas_of(df, area), rings, area_id, area_rings).select(*SHAPE).distinct()
-    return df.select("*", *shape_key(rings)).join(found, SHAPE, "left_semi").drop(*SHAPE)
+    areas = _areas_of(df, area)
+    found = shapes_in_areas(df, areas, rings, area_id, area_rings).select(*SHAPE).distinct()
+    return _near(df, rings, areas, area_rings).select("*", *shape_key(rings)).join(found, SHAPE, "left_semi").select(*df.columns)
 
 
 def with_areas(df: DataFrame, rings: str, areas: DataFrame, area_id: str = "area_id", area_rings: str = "rings") -> DataFrame:
     """Every row once for each area that its polygon meets, with the area's id."""
     found = shapes_in_areas(df, areas, rings, area_id, area_rings)
-    return df.select("*", *shape_key(rings)).join(found, SHAPE).drop(*SHAPE)
+    return _near(df, rings, areas, area_rings).select("*", *shape_key(rings)).join(found, SHAPE).select(*df.columns, area_id)

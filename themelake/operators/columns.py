@@ -39,6 +39,16 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def evaluated(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the named columns computed here, once per row, and put last.
+
+    Expressions further up read the value; they would otherwise each repeat what
+    it was computed from, until generated code grows too large to be compiled.
+    """
+    others = [_quoted(c) for c in df.columns if c not in names]
+    return df.select(*others, F.inline(F.array(F.struct(*[_quoted(n) for n in names]))))
+
+
 def lead_columns(df: DataFrame, names: Iterable[str] = LEAD_COLUMNS) -> DataFrame:
     """The listed columns that exist come first, the others follow in order."""
     first = [c for c in names if c in df.columns]

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import edge_list
+from .columns import evaluated
 from .zonal import cell_key, count_of, grid_entries, gridded
 
 # Pixels of a run are looked up in blocks of two to this power.
@@ -93,7 +94,7 @@ def pixels_by_zone(
     there = f"if(first = last, array({cell_key('0', 'first', 'py')}), transform(sequence(shiftright(first, {BLOCK}), shiftright(last, {BLOCK})), b -> {cell_key('1', 'b', 'py')}))"
     index = weights.selectExpr(f"`{zone_id}`", "py", "first", "last", "weight", f"explode({there}) AS _cell").drop("py")
     px, py = (f"floor((`{c}` - {float(o)!r}D) / {float(size)!r}D)" for c, o in zip((lon, lat), origin, strict=True))
-    placed = pixels.where(f"NOT isnan(`{lon}`) AND NOT isnan(`{lat}`)").selectExpr("*", f"{px} AS _px", f"{py} AS _py")
+    placed = evaluated(pixels, *dict.fromkeys((lon, lat))).where(f"NOT isnan(`{lon}`) AND NOT isnan(`{lat}`)").selectExpr("*", f"{px} AS _px", f"{py} AS _py")
     keys = f"array({cell_key('0', '_px', '_py')}, {cell_key('1', f'shiftright(_px, {BLOCK})', '_py')})"
     met = placed.selectExpr("*", f"explode({keys}) AS _cell").join(index, "_cell").where("_px BETWEEN first AND last")
     return met.select(*pixels.columns, zone_id, "weight")

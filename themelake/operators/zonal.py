@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bbox, edge_list, month_label
-from .columns import computed_once
+from .columns import computed_once, evaluated
 
 # A grid index up to this size goes to every executor, a larger one is shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -38,7 +38,7 @@ _CELL_BYTES = 320
 # Edges of a border cell that get columns of their own.
 FLAT_EDGES = 4
 # Cells across a zone of few edges; one of many has the square root of their number.
-CELLS_ACROSS = 8
+CELLS_ACROSS = 6
 # Columns and rows have 28 bits each in a cell's key.
 _REACH = 2**27
 
@@ -65,7 +65,7 @@ class ZoneSummary:
 
 def gridded(zones: DataFrame, rings: str, cell: float | None = None, across: int = CELLS_ACROSS) -> DataFrame:
     """``zones`` with ``_level`` and ``_c``, the cell size of their grid: a power of four, or ``cell`` for all."""
-    boxed = computed_once(zones, _box=bbox(rings), _n=F.expr(f"size(flatten({rings}))"))
+    boxed = computed_once(evaluated(zones, rings), _box=bbox(rings), _n=F.expr(f"size(flatten({rings}))"))
     if cell is not None:
         return boxed.withColumns({"_level": F.lit(0), "_c": F.lit(float(cell))})
     extent = "greatest(_box.east - _box.west, _box.north - _box.south)"
@@ -206,7 +206,7 @@ def point_in_zone(
     index = zone_cells(zones, cell, zone_id, rings)
     index = F.broadcast(index) if summary.index_bytes <= broadcast_bytes else index.hint("shuffle_merge")
     x, y = f"`{lon}`", f"`{lat}`"
-    there = points.where(f"{x} IS NOT NULL AND {y} IS NOT NULL AND NOT isnan({x}) AND NOT isnan({y})")
+    there = evaluated(points, *dict.fromkeys((lon, lat))).where(f"{x} IS NOT NULL AND {y} IS NOT NULL AND NOT isnan({x}) AND NOT isnan({y})")
     return covering(placed(there, summary.sizes, x, y).join(index, "_cell"), [*points.columns, zone_id], x, y)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import WEATHER_ZONE
+from ..operators import computed_once
 from .registry import table
 
 
@@ -148,8 +149,11 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         stem, F.lit("T"), (k % 60).cast("string"), F.lit("ABC_"), k.cast("string"),
         F.when(k % 11 == 0, F.lit("")).otherwise(F.lit(".SAFE")),
     )
-    west = F.lit(-12.0) + (k * 37 % 1024) * F.lit(0.015625)
-    south = F.lit(34.0) + (k * 53 % 768) * F.lit(0.015625)
+    west, south = F.col("_west"), F.col("_south")
+    placed = computed_once(
+        table(spark, sf_dir, "orders"),
+        _west=F.lit(-12.0) + (k * 37 % 1024) * F.lit(0.015625), _south=F.lit(34.0) + (k * 53 % 768) * F.lit(0.015625),
+    )
 
     def triangle(dx: float, dy: float) -> Column:
         x, y = west + dx, south + dy
@@ -167,7 +171,7 @@ def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         k % 5 == 0, attribute(cloud_name, "doubleValue", k % 90 + F.lit(0.5))
     ).otherwise(attribute(cloud_name, "Value", k % 100))
     start = content_start()
-    return table(spark, sf_dir, "orders").select(
+    return placed.select(
         F.concat(F.lit("P"), k).alias("Id"),
         F.when(k % 97 != 0, name).alias("Name"),
         F.struct(iso(start).alias("Start"), iso(start + F.expr("interval 1 day")).alias("End")).alias("ContentDate"),
@@ -276,8 +280,11 @@ def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One concave polygon per supplier, side by side; every third has a hole, every fourth is a multipolygon."""
     k, side = F.col("s_suppkey"), F.col("_side")
     columns = (10 / side).cast("bigint")
-    x0 = F.lit(-10.0) + (k % columns) * side
-    y0 = F.lit(36.0) + F.floor(k / columns) * side
+    x0, y0 = F.col("_x0"), F.col("_y0")
+    placed = computed_once(
+        table(spark, sf_dir, "supplier").withColumn("_side", zone_side(spark, sf_dir)),
+        _x0=F.lit(-10.0) + (k % columns) * side, _y0=F.lit(36.0) + F.floor(k / columns) * side,
+    )
 
     def ring(corners: list[tuple[float, float]]) -> Column:
         return F.array(*[F.array(x0 + side * dx, y0 + side * dy) for dx, dy in corners])
@@ -286,7 +293,7 @@ def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     hole = ring([(0.375, 0.125), (0.5, 0.125), (0.5, 0.25), (0.375, 0.25), (0.375, 0.125)])
     polygon = F.when(k % 3 == 0, F.array(outer, hole)).otherwise(F.array(outer))
     multi = k % 4 == 0
-    return table(spark, sf_dir, "supplier").withColumn("_side", zone_side(spark, sf_dir)).select(
+    return placed.select(
         F.lit("Feature").alias("type"),
         F.create_map(
             F.lit("GISCO_ID"), F.concat(F.lit("ES_"), k), F.lit("LAU_NAME"), F.col("s_name")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import geojson_rings
+from ..operators.columns import evaluated
 from .paged_json import read_paged_json
 
 # Coordinates nest one level deeper in a multipolygon, so they come in as text.
@@ -16,7 +17,7 @@ FEATURE = "properties map<string,string>, geometry struct<type:string,coordinate
 def features_to_zones(features: DataFrame, properties: dict[str, str] | list[str]) -> DataFrame:
     """One row per feature: the named properties and ``rings``."""
     names = properties if isinstance(properties, dict) else {p: p for p in properties}
-    return features.where("geometry.type IN ('Polygon', 'MultiPolygon') AND geometry.coordinates IS NOT NULL").select(
+    return evaluated(features, "geometry").where("geometry.type IN ('Polygon', 'MultiPolygon') AND geometry.coordinates IS NOT NULL").select(
         *[F.try_element_at("properties", F.lit(p)).alias(out) for p, out in names.items()],
         geojson_rings("geometry").alias("rings"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,9 +42,11 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order_col: str)
     """``base`` with the rows of ``updates`` inserted or put in place by key.
 
     All non-key columns are replaced. Of several updates for a key the last by
-    ``order_col`` wins; that column is dropped unless the table has it.
+    ``order_col`` wins; that column is dropped unless the table has it. A key is
+    in ``base`` once. Either side is read once and shuffled once: the batch meets
+    the table where it was folded. Cut ``base`` to what the batch may touch first,
+    as :func:`upsert_table` does.
     """
-    latest = latest_per_key(updates, keys, order_col).select(*base.columns)
-    # The anti join needs the keys only, each once, not the rows that won.
-    changed = updates.select(*keys).distinct()
-    return base.join(changed, keys, "left_anti").select(*base.columns).unionByName(latest)
+    new = latest_per_key(updates, keys, order_col).select(*[F.col(c).alias(f"_new_{c}") for c in base.columns], F.lit(True).alias("_hit"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_new_{k}") for k in keys])
+    return base.join(new, same, "full").select(*[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in base.columns])

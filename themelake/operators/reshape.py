@@ -25,10 +25,11 @@ def collapse(df: DataFrame, keys: list[str], label: str, order_col: str) -> Data
     """One row per key: mean of each other number column, first non-null label.
 
     "First" is by ``order_col``, a missing one being the last; a NaN is a missing
-    number. Two hash aggregations: the first is per key and
-    label with number buffers only, where nearly all rows fold before the
-    shuffle; the second picks among the labels of a key. A label kept in the
-    first buffer would make Spark sort all rows instead.
+    number. Two aggregations: the first is per key and label with number
+    buffers only, a hash aggregation in which nearly all rows fold before the
+    shuffle; the second picks among the labels of a key, and sorts what the
+    first has left. A label kept in the first buffer would make Spark sort all
+    rows instead.
     """
     numbers = [
         f.name for f in df.schema.fields

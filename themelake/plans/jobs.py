@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -29,7 +29,7 @@ from ..operators import (
 from ..operators.zonal import all_zone_months
 from ..sinks import save_theme
 from ..session import cut_lineage
-from ..sources import decode_cube, explode_series, last_periods
+from ..sources import decode_cube, decode_documents, explode_series, last_periods
 
 
 def province_table(spark: SparkSession) -> DataFrame:
@@ -95,6 +95,54 @@ def night_light_history(
     return stats if attributes.columns == [zone_id] else stats.join(attributes, zone_id, "left")
 
 
+def zone_blocks(zones: DataFrame, blocks: int, zone_id: str = "zone_id") -> DataFrame:
+    """``zones`` with ``block``, a number below ``blocks`` that depends on the zone id alone."""
+    return zones.withColumn("block", F.pmod(F.xxhash64(zone_id), F.lit(blocks)).cast("int"))
+
+
+def pending_blocks(blocked: DataFrame, landed: DataFrame, zone_id: str = "zone_id") -> DataFrame:
+    """(block, zones, print): blocks of zones that are not landed with just these zones; ``print`` tells sets of ids apart."""
+    wanted = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("zones"), F.bit_xor(F.xxhash64(F.lit("zone"), zone_id)).alias("print"))
+    return wanted.join(landed, ["block", "zones", "print"], "left_anti")
+
+
+def night_light_blocks(
+    spark: SparkSession,
+    pixels: DataFrame,
+    zones: DataFrame,
+    months: Column,
+    path: str,
+    blocks: int = 16,
+    at_once: int = 4,
+    zone_id: str = "zone_id",
+    **options,
+) -> DataFrame:
+    """:func:`night_light_history`, landed block by block of zones under ``path``; all of it is returned.
+
+    Blocks that an earlier run has landed are left out, so a run that died goes
+    on where it was, and one more run reads no pixel. A block counts as landed
+    once its entry is written, after its rows; until then it is made anew and
+    replaced. A block whose zones have changed is made anew. Use a new path for
+    other pixels, months or options.
+    """
+    data, entries = f"{path}/{fixed.NIGHT_LIGHT_PREFIX}blocks", f"{path}/landed"
+    entry = "block int, zones bigint, print bigint"
+    spark.createDataFrame([], entry).write.mode("ignore").parquet(entries)
+    blocked = cut_lineage(zone_blocks(zones, blocks, zone_id))
+    pending = sorted(pending_blocks(blocked, spark.read.schema(entry).parquet(entries), zone_id).collect())  # ``blocks`` rows at most
+    for first in range(0, len(pending), at_once):
+        turn = pending[first : first + at_once]
+        some = blocked.where(F.col("block").isin([r["block"] for r in turn]))
+        stats = night_light_history(pixels, some, months, zone_id, **options)
+        if "block" not in stats.columns:
+            stats = stats.join(some.select(zone_id, "block"), zone_id)
+        stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block").parquet(data)
+        spark.createDataFrame(turn, entry).coalesce(1).write.mode("append").parquet(entries)
+    if not pending and blocked.isEmpty():
+        return night_light_history(pixels, zones, months, zone_id, **options)
+    return spark.read.parquet(data).drop("block")
+
+
 def product_catalogue(
     items: DataFrame,
     theme: str | None,
@@ -124,6 +172,25 @@ def product_catalogue(
     return product_columns(found, theme) if theme else flat_products(found)
 
 
+def catalogue_run(
+    spark: SparkSession, items: DataFrame, theme: str, collection: str, start: date, end: date, base: str, name: str,
+    top: int | None = None, max_pages: int = 1, fmt: str = "parquet", **filters,
+) -> DataFrame:
+    """Write a product catalogue by theme; one row: products matched, products returned, path.
+
+    Both counts come out of the write itself: rows are counted as they pass the
+    filters, and again as they pass the page, in the one scan that is made.
+    """
+    matched, returned = Observation(), Observation()
+    found = _matching(items, collection, start, end, **{"closed": "both", "aoi_rings": None, "aoi_wkt": None, "max_cloud": None, "tile": None, "exclude": None} | filters)
+    found = found.observe(matched, F.count(F.lit(1)).alias("rows"))
+    if top is not None:
+        found = page(found, [F.desc("_start"), F.asc("Id")], top, max_pages)
+    written = product_columns(found.drop("_start"), theme).observe(returned, F.count(F.lit(1)).alias("rows"))
+    path = save_theme(written, "satelital", name, base, fmt)
+    return spark.createDataFrame([(matched.get["rows"], returned.get["rows"], path)], "total bigint, returned bigint, path string")
+
+
 def matched_and_returned(
     items: DataFrame, collection: str, start: date, end: date, closed: str = "both", aoi_rings: str | None = None,
     aoi_wkt: str | DataFrame | None = None, max_cloud: int | None = None, tile: str | None = None, exclude: str | None = None,
@@ -175,10 +242,22 @@ def provincial_population(
     Cells past the axes fail the job with ``strict``; otherwise they are left
     out here and listed by ``cube_out_of_range``.
     """
-    time_dim, geo_dim = order
     # The country is known before the cells are joined to it.
-    dims = {**dims, geo_dim: prefix(dims[geo_dim], f"{geo_dim}_code", country, length)}
-    return decode_cube(cells, dims, order, strict=strict).select(
+    dims = {**dims, order[1]: prefix(dims[order[1]], f"{order[1]}_code", country, length)}
+    return _regions(decode_cube(cells, dims, order, strict=strict), order)
+
+
+def provincial_population_of(
+    docs: DataFrame, order: tuple[str, str] = ("time", "geo"), country: str = "ES", length: int | None = None, strict: bool = False, text: str = "text",
+    doc: str = "doc",
+) -> DataFrame:
+    """:func:`provincial_population` straight from cube documents: one scan, no join."""
+    return _regions(prefix(decode_documents(docs, order, text, doc, strict), f"{order[1]}_code", country, length), order)
+
+
+def _regions(cells: DataFrame, order: tuple[str, str]) -> DataFrame:
+    time_dim, geo_dim = order
+    return cells.select(
         F.col(f"{geo_dim}_code").alias("region_code"),
         F.col(f"{geo_dim}_label").alias("region_name"),
         F.col(f"{time_dim}_code").cast("int").alias("year"),
@@ -210,15 +289,19 @@ def weather_repair(
 
     ``places`` has one row per place (columns ``place``, which may be empty for
     a single one). Returns the rows to upsert and the store after the upsert.
+    Only the store's last days are read for it and rewritten, which a store
+    partitioned by day finds without opening the others; those pass untouched.
     """
     on = [*place, "date"]
     days = trailing_days(today, days_back)
     targets = places.select(*place, F.explode(days).alias("date"))
-    recent = store.where((F.col("date") >= F.array_min(days)) & (F.col("date") <= F.array_max(days)))
+    first, last = today - timedelta(days=days_back), today - timedelta(days=1)
+    recent = store.where(F.col("date").between(first, last))
+    others = store.where(~F.coalesce(F.col("date").between(first, last), F.lit(False)))
     missing = needs_refresh(targets, recent, on, values)
     fetched = expand_daily(responses, list(values), zone)
     rows = complete(restrict(fetched, missing, on), values).select(*on, *values, order_col)
-    return rows, upsert(store, rows, on, order_col)
+    return rows, others.unionByName(upsert(recent, rows, on, order_col))
 
 
 def asset_run(

@@ -16,7 +16,7 @@ from ..operators.assets import glob_regex as _regex
 from ..session import scratch
 from ..sources import CATALOGUE_ITEM, flatten_open, read_open_items, read_paged_json
 from . import inputs
-from .jobs import asset_run, matched_and_returned, product_catalogue
+from .jobs import asset_run, catalogue_run, matched_and_returned, product_catalogue
 from .registry import query, table
 
 def _triangle(x: str, y: str) -> str:
@@ -384,6 +384,18 @@ def product_page_counts(spark, sf_dir):
     return matched_and_returned(items, "SENTINEL-1", _START, date(1999, 6, 30), top=20, max_pages=5)
 
 
+@query(
+    "WITH " + _ITEMS + " SELECT count(*) AS total, least(count(*), 100) AS returned FROM shaped WHERE collection = 'SENTINEL-1' AND "
+    + _WINDOW_BOTH.replace("1996-06-30", "1999-06-30")
+)
+def product_counts_written(spark, sf_dir):
+    """The same counts, taken while the page set is written."""
+    items = inputs.catalogue_items(spark, sf_dir)
+    return catalogue_run(
+        spark, items, "sentinel1", "SENTINEL-1", _START, date(1999, 6, 30), scratch(spark, "catalogue"), "sentinel1", top=20, max_pages=5,
+    ).drop("path")
+
+
 # --- archive members
 
 _MEMBERS = """
@@ -422,10 +434,10 @@ _MODE_GLOBS["sentinel-1"] = ASSET_GLOBS["sentinel-1"]
     )
 )
 def asset_selection(spark, sf_dir):
-    """Every mode; members are made unique once, then each mode is a filter."""
-    members = inputs.archive_members(spark, sf_dir).distinct()
+    """Every mode: members that any glob takes, made unique, then each mode is a filter."""
     modes = [(m, asset_patterns(m, bands)) for m, bands in _MODES]
     modes.append(("sentinel-1", asset_patterns("tci", None, "SENTINEL-1")))
+    members = select_assets(inputs.archive_members(spark, sf_dir), [p for _, patterns in modes for p in patterns])
     chosen = F.filter(
         F.array(*[F.when(F.col("member").rlike(_regex(p)), F.lit(m)) for m, p in modes]), lambda m: m.isNotNull()
     )

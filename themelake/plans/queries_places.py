@@ -10,9 +10,10 @@ from ..operators import (
     collapse, in_bbox, month_spine, pixel_weights, pixels_by_zone, point_in_zone, stack, tagged, zonal_stats,
 )
 from ..session import scratch
+from ..sinks import save_theme
 from ..sources import MAP_ELEMENT, features_to_zones, read_paged_json, read_zones
 from . import inputs
-from .jobs import clean_night_lights, night_light_history, rail_stations
+from .jobs import clean_night_lights, night_light_blocks, night_light_history, rail_stations, zone_blocks
 from .registry import query, table
 
 _ELEMENTS = """
@@ -234,6 +235,23 @@ def night_light_history_table(spark, sf_dir):
     )
 
 
+@query(
+    "WITH " + _ZONES + "," + _PIXELS + "," + _HITS + ", " + _STATS + """
+SELECT 'ES_' || s_suppkey AS zone_id, m.date, mean, min, max, "stdDev", s_name AS "LAU_NAME"
+FROM supplier CROSS JOIN (
+    SELECT strftime(unnest(generate_series(TIMESTAMP '1997-01-01', TIMESTAMP '1998-12-01', INTERVAL 1 MONTH)), '%Y-%m') AS date
+) m LEFT JOIN stats ON zone_id = 'ES_' || s_suppkey AND stats.date = m.date"""
+)
+def night_light_history_resumed(spark, sf_dir):
+    """Half of the zones landed by a first run, the rest by a second; then the themed table from all blocks."""
+    pixels, zones, months = inputs.pixels(spark, sf_dir), _zones(spark, sf_dir), month_spine(1997, 1998)
+    path = scratch(spark, "history")
+    early = zone_blocks(zones, 4).where("block < 2").drop("block")
+    night_light_blocks(spark, pixels, early, months, path, blocks=4, at_once=2)
+    whole = night_light_blocks(spark, pixels, zones, months, path, blocks=4, at_once=2)
+    return _rounded(spark.read.parquet(save_theme(whole, "luz_nocturna", "historia", path, fmt="parquet")))
+
+
 # --- night-light cleaning
 
 _LIGHTS = """

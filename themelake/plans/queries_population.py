@@ -9,10 +9,11 @@ from ..functions import extract_category, head_segment, json_text, normalise
 from ..operators import (
     count_distinct, distinct_sorted, latest_n, lookup, pivot_mean, prefix, unmatched,
 )
-from ..sources import cube_out_of_range, decode_cube, explode_series
+from ..session import scratch
+from ..sources import cube_out_of_range, decode_cube, decode_documents, explode_series, read_cube
 from ..sources.cube import split_cube
 from . import inputs
-from .jobs import clean_population, municipal_series, provincial_population
+from .jobs import clean_population, municipal_series, provincial_population_of
 from .registry import query, table
 
 # What a strip takes off, for the trim of the SQL side.
@@ -207,7 +208,7 @@ SELECT event_type, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) <= 1500"""
 )
 def latest_periods_deep(spark, sf_dir):
-    """More rows per series than the group limit takes: ranked per input partition first."""
+    """Many rows per series: only those of the period in which the last one lies are ranked."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
     return latest_n(events, ["event_type"], "ts", 1500, ["event_id"]).drop("ts")
 
@@ -234,8 +235,21 @@ SELECT doc, CAST(year AS VARCHAR) AS time_code, CAST(year AS VARCHAR) AS time_la
 FROM cube WHERE in_range"""
 )
 def cube_cells(spark, sf_dir):
-    cells, dims = _cube(spark, sf_dir)
-    return decode_cube(cells, dims, inputs.CUBE_ORDER)
+    return decode_documents(inputs.cube_documents(spark, sf_dir), inputs.CUBE_ORDER)
+
+
+@query(
+    "WITH " + CUBE_SQL + """
+SELECT CAST(year AS VARCHAR) AS time_code, CAST(year AS VARCHAR) AS time_label, code AS geo_code, label AS geo_label, value
+FROM cube WHERE in_range"""
+)
+def cube_files(spark, sf_dir):
+    """Cubes landed one document a file, read by file; cells and dimensions as tables, joined."""
+    path = scratch(spark, "cubes")
+    documents = inputs.cube_documents(spark, sf_dir)
+    documents.select(F.col("text").alias("value"), F.xxhash64("doc").alias("part")).repartition("part").write.partitionBy("part").text(path)
+    cells, dims = read_cube(spark, path, inputs.CUBE_ORDER)
+    return decode_cube(cells, dims, inputs.CUBE_ORDER).drop("doc")
 
 
 @query("WITH " + CUBE_SQL + " SELECT doc, count(*) AS cells, sum(value) AS value FROM cube WHERE NOT in_range GROUP BY doc")
@@ -252,8 +266,7 @@ SELECT code AS region_code, label AS region_name, year, value AS population
 FROM cube WHERE in_range AND code LIKE 'ES%'"""
 )
 def provincial_population_series(spark, sf_dir):
-    cells, dims = _cube(spark, sf_dir)
-    return provincial_population(cells, dims, inputs.CUBE_ORDER)
+    return provincial_population_of(inputs.cube_documents(spark, sf_dir), inputs.CUBE_ORDER)
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE p_brand LIKE 'Brand#1%' AND length(p_brand) = 8")

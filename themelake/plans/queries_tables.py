@@ -14,11 +14,10 @@ from ..operators import (
 from ..session import scratch
 from ..sinks import ensure_table, read_table, save_theme, save_theme_json, upsert_table
 from ..sources import features_to_zones, read_csv, read_csv_set
-from ..sources.cube import split_cube
 from . import inputs
 from .jobs import (
     Dataset, clean_night_lights, clean_population, municipal_series, night_light_history, product_catalogue,
-    provincial_population, rail_stations, run_all, weather_repair,
+    provincial_population_of, rail_stations, run_all, weather_repair,
 )
 from .queries_population import CUBE_SQL, SERIES_SQL
 from .registry import query, table
@@ -214,16 +213,19 @@ def keyed_table_upsert(spark, sf_dir):
 @query(
     """
 SELECT strftime(m, '%Y-%m') AS month, coalesce(n, 0) AS orders
-FROM (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS m)
+FROM (SELECT unnest(generate_series(date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate)) + INTERVAL 11 MONTH, INTERVAL 1 MONTH)) AS m FROM orders)
 LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1) USING (m)"""
 )
 def orders_by_month(spark, sf_dir):
-    """The months of a spine; one without orders keeps its row."""
+    """All months of the years that have orders; one without orders keeps its row."""
     monthly = (
         table(spark, sf_dir, "orders")
         .groupBy(F.trunc("o_orderdate", "month").alias("_day")).agg(F.count(F.lit(1)).alias("n"))
     )
-    spine = spark.range(1).select(F.explode(month_spine(1996, 1999)).alias("_day"))
+    first, last = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    if first is None:
+        return monthly.select(month_label("_day").alias("month"), F.col("n").alias("orders"))
+    spine = spark.range(1).select(F.explode(month_spine(first, last)).alias("_day"))
     return spine.join(monthly, "_day", "left").select(
         month_label("_day").alias("month"), F.coalesce("n", F.lit(0)).cast("bigint").alias("orders")
     )
@@ -269,7 +271,7 @@ def trailing_days_by_customer(spark, sf_dir):
     "WITH " + _STORE_ROWS + """
 SELECT user_id, strftime(d.date, '%Y-%m-%d') AS date, tmax, tmin, precipitation_sum, CAST(weather_code AS DOUBLE) AS weather_code
 FROM (SELECT DISTINCT user_id FROM daily) u
-CROSS JOIN (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date) d
+CROSS JOIN (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM daily) d
 LEFT JOIN daily USING (user_id, date)"""
 )
 def daily_expansion(spark, sf_dir):
@@ -285,9 +287,13 @@ repaired AS (
 
 
 def _repair(spark, sf_dir):
+    """Store by day and responses as they are landed; one row per place."""
+    store, responses = scratch(spark, "store"), scratch(spark, "responses")
+    inputs.weather_store(spark, sf_dir).write.partitionBy("date").parquet(store)
+    inputs.weather_responses(spark, sf_dir).write.parquet(responses)
+    responses = spark.read.parquet(responses)
     return weather_repair(
-        inputs.weather_store(spark, sf_dir), inputs.weather_responses(spark, sf_dir),
-        table(spark, sf_dir, "events").select("user_id").distinct(), inputs.WEATHER_TODAY, ["user_id"], "batch",
+        spark.read.parquet(store), responses, responses.select("user_id"), inputs.WEATHER_TODAY, ["user_id"], "batch",
     )
 
 
@@ -351,9 +357,7 @@ def themed_run(spark, sf_dir):
         Dataset("satelital", "sentinel2", lambda: product_catalogue(
             inputs.catalogue_items(spark, sf_dir), "sentinel2", "SENTINEL-2", date(1996, 3, 1), date(1999, 6, 30),
         )),
-        Dataset("demografia", "provincias", lambda: provincial_population(
-            *split_cube(inputs.cube_documents(spark, sf_dir), inputs.CUBE_ORDER), inputs.CUBE_ORDER,
-        )),
+        Dataset("demografia", "provincias", lambda: provincial_population_of(inputs.cube_documents(spark, sf_dir), inputs.CUBE_ORDER)),
         Dataset("demografia", "municipios", lambda: municipal_series(inputs.municipal_entities(spark, sf_dir))),
         Dataset("luz_nocturna", "historia", lambda: night_light_history(
             inputs.pixels(spark, sf_dir), features_to_zones(inputs.zone_features(spark, sf_dir), inputs.ZONE_PROPERTIES),

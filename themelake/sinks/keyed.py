@@ -2,68 +2,34 @@
 
 An upsert reads and rewrites only the partitions that its batch touches, so a
 week of new days in a table of many years costs a week's worth of partitions.
-
-Nothing that is stored is ever overwritten. An upsert writes its partitions to a
-new version folder, and then one manifest file that says for each partition
-which version holds it. That file appears at once or not at all: a run that
-dies before leaves the table as it was, and is simply repeated. Readers follow
-the newest manifest; folders it does not name are old versions, or left by a run
-that died, and may be removed when nobody reads them.
+The merged partitions are landed beside the table first and then put in place by
+Spark's dynamic partition overwrite, which leaves all others alone. A run that
+dies while merging leaves the table as it was; one that dies while partitions
+are put in place is finished by :func:`publish` from the landed ones.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import upsert
-from ..session import cut_lineage
+from ..session import scratch
 from ..sources.paged_json import struct_of
 
-VERSION, MANIFEST = "_version", "_manifest"
-
 
 def ensure_table(spark: SparkSession, path: str, schema: str | T.StructType, partition: str) -> DataFrame:
     """Create the table if it is not there; an existing one is left alone."""
-    fields = struct_of(schema)
-    empty = spark.createDataFrame([], fields).withColumn(VERSION, F.lit(0).cast("bigint"))
-    empty.select(partition, VERSION, F.col(VERSION).alias(MANIFEST)).coalesce(1).write.mode("ignore").parquet(f"{path}/manifest")
-    empty.write.mode("ignore").partitionBy(VERSION, partition).parquet(f"{path}/data")
+    spark.createDataFrame([], struct_of(schema)).write.mode("ignore").partitionBy(partition).parquet(path)
     return read_table(spark, path, schema)
 
 
-def live_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Partition value and version of every partition, as the newest manifest has them."""
-    manifest = spark.read.parquet(f"{path}/manifest")
-    newest = manifest.agg(F.max(MANIFEST).alias("m")).first()["m"]
-    return manifest.where(F.col(MANIFEST) == (0 if newest is None else newest))
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType, live: DataFrame) -> DataFrame:
-    """Rows of the partitions in ``live``.
-
-    Their names come to the driver, as a listing of the table would bring them:
-    with literals the other folders are not even opened.
-    """
-    by_version: dict[int, list] = {}
-    partition = next(c for c in live.columns if c not in (VERSION, MANIFEST))
-    for value, version in live.select(partition, VERSION).collect():
-        by_version.setdefault(version, []).append(value)
-    data = spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])).parquet(f"{path}/data")
-    held: list[Column] = [(F.col(VERSION) == v) & F.col(partition).isin(names) for v, names in by_version.items()]
-    return data.where(reduce(lambda a, b: a | b, held, F.lit(False))).select(*schema.names)
-
-
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    return _stored(spark, path, struct_of(schema), live_partitions(spark, path))
-
-
-def touched_partitions(live: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
-    """Those of the table's partitions that a batch writes to."""
-    return live.join(updates.select(partition).distinct(), partition, "left_semi")
+    fields = struct_of(schema)
+    return spark.read.schema(fields).parquet(path).select(*fields.names)
 
 
 def _with_whole_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,6 +39,17 @@ def _with_whole_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.where(F.when(whole, F.lit(True)).otherwise(broken))
 
 
+def merged_partitions(stored: DataFrame, updates: DataFrame, keys: list[str], order_col: str, partition: str) -> DataFrame:
+    """The partitions that a batch touches, with the batch in them; Spark skips the folders of all others."""
+    touched = updates.select(partition).distinct()
+    return upsert(stored.join(touched, partition, "left_semi").select(*stored.columns), updates, keys, order_col)
+
+
+def publish(landed: DataFrame, path: str, partition: str) -> None:
+    """Put whole partitions in place of those of the table; may be repeated."""
+    landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -81,8 +58,8 @@ def upsert_table(
     keys: list[str],
     order_col: str,
     partition: str,
-) -> None:
-    """Insert or replace by key.
+) -> str:
+    """Insert or replace by key; returns where the merged partitions are landed.
 
     The partition column must be one of the keys, else a key could be in two
     partitions. A run repeated after a failure gives the same table. One writer
@@ -91,17 +68,11 @@ def upsert_table(
     if partition not in keys:
         raise ValueError(f"the partition column {partition!r} must be one of the keys")
     fields = struct_of(schema)
-    updates = cut_lineage(_with_whole_keys(updates, keys))  # used three times below
-    live = live_partitions(spark, path)
-    touched = cut_lineage(touched_partitions(live, updates, partition))
-    number = spark.read.parquet(f"{path}/manifest").agg(F.max(MANIFEST).alias("m")).first()["m"] or 0
-    merged = upsert(_stored(spark, path, fields, touched), updates, keys, order_col)
-    (
-        merged.select(*fields.names).write.mode("overwrite")  # of a folder no manifest names
-        .partitionBy(partition)
-        .parquet(f"{path}/data/{VERSION}={number + 1}")
-    )
-    written = updates.select(F.col(partition).cast(fields[partition].dataType).alias(partition)).distinct()
-    kept = live.join(touched.select(partition), partition, "left_anti").select(partition, VERSION)
-    manifest = kept.unionByName(written.withColumn(VERSION, F.lit(number + 1).cast("bigint")))
-    manifest.withColumn(MANIFEST, F.lit(number + 1).cast("bigint")).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    batch = scratch(spark, "batch")
+    _with_whole_keys(updates, keys).write.parquet(batch)
+    updates = spark.read.schema(updates.schema).parquet(batch)
+    merged = scratch(spark, "merged")
+    stored = read_table(spark, path, fields)
+    merged_partitions(stored, updates, keys, order_col, partition).select(*fields.names).write.parquet(merged)
+    publish(spark.read.schema(fields).parquet(merged), path, partition)
+    return merged

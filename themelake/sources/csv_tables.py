@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from multiprocessing.pool import ThreadPool
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +9,6 @@ from pyspark.sql import types as T
 from ..fixed_values import CSV_MISSING
 from .paged_json import struct_of
 
-HEADER_READS = 16
-
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in a float column becomes null, so aggregates skip it."""
@@ -34,6 +29,12 @@ def _text_cells(spark: SparkSession, path: str | list[str], multi_line: bool) ->
     return raw.select(*[F.when(~c.isin(CSV_MISSING), c).alias(n) for c, n in zip(cells, raw.columns)])
 
 
+def _has_open_quotes(spark: SparkSession, path: str | list[str]) -> bool:
+    """Does a line hold an odd number of quotes? The look ends at the first one."""
+    lines = spark.read.text(path)
+    return not lines.where((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).isEmpty()
+
+
 def _number_types(cells: DataFrame) -> dict[str, str]:
     """bigint or double for the columns whose present cells all read as such.
 
@@ -63,18 +64,21 @@ def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: str | T.StructType | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """A headed CSV table.
 
-    Quoted cells may hold line breaks; a file is then one task, so keep files
-    small, or switch ``multi_line`` off for large ones that are known to have none.
+    Quoted cells may hold line breaks, and then a file is one task. Unless
+    ``multi_line`` says so or denies it, one pass looks whether a line leaves a
+    quote open; tables without such lines are split like any text.
 
     Columns are taken by header name, so a schema may list some of them in any
     order, and only those are parsed. Cells that do not read as their type are
     missing. Without a schema one extra pass finds the number columns; give one
     for large inputs.
     """
+    if multi_line is None:
+        multi_line = _has_open_quotes(spark, path)
     cells = _text_cells(spark, path, multi_line)
     if schema is None:
         types = _number_types(cells)
@@ -85,37 +89,63 @@ def read_csv(
     return nan_to_null(typed)
 
 
+def _cells(record: str) -> str:
+    """SQL: the cells of a CSV record, quotes taken off."""
+    raw = rf"""regexp_extract_all(concat(',', {record}), r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)', 1)"""
+    return rf"""transform({raw}, c -> if(startswith(c, '"'), replace(substring(c, 2, length(c) - 2), '""', '"'), c))"""
+
+
+def _records(text: str) -> str:
+    """SQL: the records of a CSV text; a line break between quotes ends none."""
+    return rf"""regexp_extract_all(trim(LEADING '\uFEFF' FROM {text}), r'(?:[^"\r\n]++|"[^"]*+")++', 0)"""
+
+
 def read_csv_set(
     spark: SparkSession,
     folder: str,
     prefix: str,
     schema: str | T.StructType | None = None,
+    multi_line: bool = True,
 ) -> DataFrame | None:
     """All ``prefix*.csv`` files of a folder, stacked by column name.
 
-    Spark takes one header for a whole read, so files are grouped by their own
-    header (first line only) and each group is one read. With a schema, columns
-    a file lacks are null. No file: ``None``.
-    """
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*.csv").load(folder).select("path")
-    )
-    paths = sorted(row["path"] for row in listing.collect())  # names only, no content
+    One scan of all files as text: the header is a row like others, joined back
+    to the rows of its file, whose cells are then taken by the place their name
+    has in it. With a schema, columns that a file lacks are null, and no name and
+    no path comes to the driver; without one, the different names do, once, and
+    one pass finds the number columns. No file: ``None``.
 
-    def header_of(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
-
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPool(HEADER_READS) as pool:  # tiny first-line jobs, side by side
-        for path, header in zip(paths, pool.map(header_of, paths)):
-            by_header.setdefault(header, []).append(path)
-    if not by_header:
+    With ``multi_line`` quoted cells may hold line breaks and a file is one
+    record, so files should be small, as parts are; without it a file is split
+    like any text, and the header is the first line of its first block.
+    """
+    texts = spark.read.format("text").option("pathGlobFilter", f"{prefix}*.csv").option("wholetext", multi_line).load(folder)
+    if texts.isEmpty():
         return None
-    frames = []
-    for header, group in by_header.items():
-        if schema is None:
-            frames.append(read_csv(spark, group))
-        else:
-            present = [f for f in struct_of(schema).fields if f.name in header]
-            frames.append(read_csv(spark, group, T.StructType(present)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if multi_line:
+        records = texts.select(F.expr(_records("value")).alias("records")).select(
+            F.expr(_cells("get(records, 0)")).alias("header"), F.explode(F.expr("slice(records, 2, greatest(size(records) - 1, 0))")).alias("record"),
+        )
+    else:
+        lines = texts.select(
+            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.rtrim("value", F.lit("\r")).alias("record"),
+            F.monotonically_increasing_id().alias("_line"),
+        )
+        first = lines.where("_block = 0").groupBy(F.col("_file").alias("_of")).agg(
+            F.min_by("record", "_line").alias("_header"), F.min("_line").alias("_first")
+        )
+        met = lines.join(first, F.col("_file") == F.col("_of")).where("_line > _first AND record <> ''")
+        records = met.select(F.expr(_cells(r"trim(LEADING '\uFEFF' FROM _header)")).alias("header"), "record")
+    if schema is None:
+        names = records.agg(F.array_sort(F.flatten(F.collect_set("header")))).first()[0]
+        wanted = T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(names)])
+    else:
+        wanted = struct_of(schema)
+    places = F.transform(F.array(*[F.lit(n) for n in wanted.names]), lambda n: F.array_position("header", n).cast("int") - 1)
+    cells = records.select(places.alias("places"), F.expr(_cells("record")).alias("cells"))
+    texts = cells.select(*[F.expr(f"get(cells, places[{i}])").alias(n) for i, n in enumerate(wanted.names)])
+    texts = texts.select(*[F.when(~F.col(f"`{n}`").isin(CSV_MISSING), F.col(f"`{n}`")).alias(n) for n in wanted.names])
+    if schema is None:
+        types = _number_types(texts)
+        wanted = T.StructType.fromDDL(", ".join(f"`{n}` {types.get(n, 'string')}" for n in wanted.names))
+    return nan_to_null(texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields]))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
+from ..operators.columns import computed_once
 
 
 def read_cube(spark: SparkSession, path: str | list[str], order: Sequence[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -69,6 +70,37 @@ def split_cube(docs: DataFrame, order: Sequence[str], text: str = "text", doc: s
     return cells, dims
 
 
+def decode_documents(
+    docs: DataFrame, order: Sequence[str], text: str = "text", doc: str = "doc", strict: bool = False
+) -> DataFrame:
+    """Codes, labels and value of every cell, as :func:`split_cube` and :func:`decode_cube` give them.
+
+    Each document is parsed once, and its cells are decoded before they become
+    rows: the position of an index is looked up in the document's own arrays of
+    codes and labels. One scan, no join.
+    """
+    parsed = {"_value": F.from_json(F.get_json_object(_col(text), "$.value"), "map<string,string>")}
+    for d in order:
+        parsed[f"_json_{d}"] = F.get_json_object(_col(text), f"$.dimension.{d}.category.label")
+    rows = computed_once(docs.select(doc, text), **parsed).drop(text)
+    rows = computed_once(
+        rows, **{f"_codes_{d}": F.json_object_keys(f"_json_{d}") for d in order},
+        **{f"_names_{d}": F.from_json(f"_json_{d}", "map<string,string>") for d in order},
+    )
+    rows = computed_once(rows, **{f"_labels_{d}": F.expr(f"transform(_codes_{d}, c -> try_element_at(_names_{d}, c))") for d in order})
+    places, rest = {}, "cast(e.key AS bigint)"
+    for d in reversed(order[1:]):
+        places[d] = f"{rest} % size(_codes_{d})"
+        rest = f"({rest}) div size(_codes_{d})"
+    places[order[0]] = rest
+    past = f"{rest} >= size(_codes_{order[0]})"
+    late = "raise_error(concat('cube index past the axes: ', e.key))" if strict else "null"
+    fields = ", ".join(f"'{d}_code', get(_codes_{d}, cast({places[d]} AS int)), '{d}_label', get(_labels_{d}, cast({places[d]} AS int))" for d in order)
+    cell = f"named_struct({fields}, 'value', try_cast(e.value AS double))"
+    cells = f"filter(transform(map_entries(_value), e -> if({past}, {late}, {cell})), c -> c IS NOT NULL)"
+    return rows.select(doc, F.expr(f"inline({cells})"))
+
+
 def cube_out_of_range(cells: DataFrame) -> DataFrame:
     """Cells whose index lies past the axes."""
     return cells.where(~F.col("in_range"))

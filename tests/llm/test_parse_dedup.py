@@ -52,3 +52,17 @@ def test_left_text(spark):
     # a character that is cut in its middle goes whole
     assert P.kept_text("aéb".encode(), [(0, 2)]) == "b" and P.kept_text("aéb".encode(), [(2, 3)]) == "ab"
     assert P.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_of_one_id_whose_texts_hash_alike(spark):
+    """Two texts with one 32-bit hash share an id; only the one that repeats a smaller document loses bytes."""
+    from pyspark.sql import functions as F
+
+    found = spark.range(300_000).select(F.concat(F.lit("A "), F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("t"))
+    same = found.select("t", F.hash("t").alias("h")).groupBy("h").agg(F.collect_list("t").alias("t")).where("size(t) > 1").first()
+    a, b = sorted(same.t[:2])
+    docs = [(0, a), (5, a), (5, b), (5, b)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(P.remove_repeats(frame)) == sorted((r[:5] for r in repeats(docs)), key=repr)
+    lost = sorted(r[2] for r in got(P.remove_repeats(frame)))
+    assert lost == [0, 0, 0, len(a)]

@@ -32,7 +32,10 @@ bring positions to them. Long texts are parsed in slices of ``SLICE`` starts.
 Defined results: null texts are empty and lose nothing, as do texts shorter than
 ``length``. A null doc_id is neither smaller nor greater than any: such rows keep
 all bytes and cause no removals. Rows that share a doc_id do not remove from each
-other. Other columns are ignored.
+other, and what one of them loses is found in its own text. Other columns are
+ignored. Strings of frequent grams are equal if 128 bits of hashes are, phrases
+if their gram's and their own digest are (128 bits together); others are compared
+byte by byte.
 """
 
 from __future__ import annotations
@@ -162,7 +165,7 @@ def _dictionary_rows(work: DataFrame, length: int) -> DataFrame:
             })
 
     found = work.where("gram IS NOT NULL").select("doc_id", "version", "packed", *PLACE)
-    return found.mapInArrow(rows, "gram long, digest long, doc_id long, version int, first int, span int")
+    return found.mapInArrow(rows, "gram long, digest long, doc_id long, version long, first int, span int")
 
 
 def _suffix_rows(joined: DataFrame, length: int) -> DataFrame:
@@ -189,10 +192,10 @@ def _suffix_rows(joined: DataFrame, length: int) -> DataFrame:
         n = len(keys)
         return pa.RecordBatch.from_arrays([
             pa.array(grams, pa.int64()), pa.array(np.full(n, many)), pa.array(keys, pa.binary()), pa.array(np.full(n, doc_id, np.int64)),
-            pa.array(np.full(n, version, np.int32)), pa.array(starts, pa.int64()),
+            pa.array(np.full(n, version, np.int64)), pa.array(starts, pa.int64()),
         ], names=["gram", "many", "key", "doc_id", "version", "start"])
 
-    return joined.mapInArrow(rows, "gram long, many boolean, key binary, doc_id long, version int, start long")
+    return joined.mapInArrow(rows, "gram long, many boolean, key binary, doc_id long, version long, start long")
 
 
 def _compared(groups: DataFrame, length: int) -> DataFrame:
@@ -221,15 +224,15 @@ def _compared(groups: DataFrame, length: int) -> DataFrame:
                             lasts.append(p["start"] + i - 1)
                             run = None
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(versions, pa.int32()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
+                [pa.array(ids, pa.int64()), pa.array(versions, pa.int64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
                 names=["doc_id", "version", "first", "last"],
             )
 
-    return groups.mapInArrow(compared, "doc_id long, version int, first long, last long")
+    return groups.mapInArrow(compared, "doc_id long, version long, first long, last long")
 
 
 def _packed(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """doc_id, version (tells rows of one doc_id apart), compressed text, columns to keep."""
+    """doc_id, version (a number of the row, fixed once the texts are landed), compressed text, columns to keep."""
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def packed(batches):
@@ -241,8 +244,8 @@ def _packed(docs: DataFrame, keep: list[str]) -> DataFrame:
                 names=["doc_id", "version", "packed", *keep],
             )
 
-    rows = docs.select("doc_id", F.hash("text").alias("version"), "text", *keep)
-    return rows.mapInArrow(packed, "doc_id long, version int, packed binary" + (f", {kept}" if keep else ""))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("version"), "text", *keep)
+    return rows.mapInArrow(packed, "doc_id long, version long, packed binary" + (f", {kept}" if keep else ""))
 
 
 def kept_text(text: bytes, spans: list[tuple[int, int]]) -> str:
@@ -326,8 +329,6 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
     to_cut = to_cut.join(frequent, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     to_cut = to_cut.groupBy("doc_id", "version").agg(F.collect_list(F.struct("gram", "many", "first", "last")).alias("ranges"))
     bodies = work.select("doc_id", "version", "packed")
-    if not bodies.groupBy("doc_id", "version").count().where("count > 1").isEmpty():
-        bodies = bodies.dropDuplicates(["doc_id", "version"])  # costs a sort of the texts, so only where rows are repeated
     suffixes = landed(_suffix_rows(bodies.join(to_cut, ["doc_id", "version"]), length), "suffixes")
     groups = suffixes.where("NOT many").groupBy("gram").agg(F.collect_list(F.struct("key", "doc_id", "version", "start")).alias("phrases"))
     strings = suffixes.where("many").select("key", "doc_id", "version", "start")

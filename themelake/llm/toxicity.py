@@ -163,16 +163,20 @@ def training_bags(docs: DataFrame, labels: DataFrame, shape: Shape, max_docs: in
                 words = words_of(text)
                 ids, n = np.unique(grams(words, shape)[0], return_counts=True) if words else (np.zeros(0, np.int64),) * 2
                 out["buckets"].append(ids.astype(np.int32).tobytes())
-                out["counts"].append(np.minimum(n, 65_535).astype(np.uint16).tobytes())
+                out["counts"].append(n.astype(np.uint16 if n.max(initial=0) < 1 << 16 else np.uint32).tobytes())
             yield pa.RecordBatch.from_pydict(out)
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    # of texts that share an id the one with the least hash, whatever the order of rows
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(least)
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic {labels.schema['toxic'].dataType.simpleString()}"
     found = []
     # partition by partition, so that neither side of the driver holds the rows twice
     for row in rows.select("doc_id", "toxic", "text").mapInArrow(counted, f"{kinds}, buckets binary, counts binary").toLocalIterator():
         if row.buckets:
-            found.append((row.doc_id, int(row.toxic), np.frombuffer(row.buckets, np.int32), np.frombuffer(row.counts, np.uint16)))
+            ids = np.frombuffer(row.buckets, np.int32)
+            counts = np.frombuffer(row.counts, np.uint16 if len(row.counts) == 2 * len(ids) else np.uint32)
+            found.append((row.doc_id, int(row.toxic), ids, counts))
     found.sort(key=lambda f: f[0])
     return [(ids, n) for _, _, ids, n in found], np.array([toxic for _, toxic, _, _ in found], dtype=np.int64)
 

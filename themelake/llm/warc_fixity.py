@@ -3,9 +3,10 @@
 A record's digest is the SHA-256 of its bytes. Above the records a tree stands on
 offset ranges of the file: a node of level 1 hashes, in the order of offsets, the
 offset, length and digest of every record that begins in its ``range_bytes``; a
-node of a higher level hashes its up to ``fanout`` children. As ranges and not
-record numbers carry the tree, a record that is lost or longer changes its own
-path only.
+node of a higher level hashes its up to ``fanout`` children. Ranges and not record
+numbers carry the tree, so a record that is lost or rotten in its place changes
+its own path only. Where a replica was written anew and what follows a longer or
+shorter record has moved, the rest of that file differs and is reported.
 
 Two replicas are compared from the roots down: only children of nodes that
 differ are read at the next level, and only records of level-1 ranges that
@@ -44,18 +45,25 @@ def record_bytes(url: Column, payload: Column, name: Column) -> Column:
     )
 
 
-def located(pages: DataFrame, records_per_file: int = 1000) -> DataFrame:
+def located(pages: DataFrame, records_per_file: int = 1000, **replicas: Column) -> DataFrame:
     """Digests and places of the records of ``pages`` (page_id, url, html), files cut by ranges of page_id.
 
-    Within a file records stand by page_id, then digest; pages without an id are left out.
+    Within a file records stand by page_id, then digest; pages without an id are
+    left out. Each of ``replicas`` is another html for every page; what it makes of
+    the record at the same place is added as ``<name>_length`` and ``<name>_digest``.
     """
-    record = record_bytes(F.col("url"), F.col("html"), F.col("page_id"))
+
+    def measured(html: Column, prefix: str = "") -> list[Column]:
+        record = record_bytes(F.col("url"), html, F.col("page_id"))
+        return [F.octet_length(record).cast("long").alias(f"{prefix}length"), F.sha2(record.cast("binary"), 256).alias(f"{prefix}digest")]
+
+    others = [c for name, html in replicas.items() for c in measured(html, f"{name}_")]
     rows = pages.where(F.col("page_id").isNotNull()).select(
-        F.floor(F.col("page_id") / records_per_file).cast("long").alias("file"), "page_id",
-        F.octet_length(record).cast("long").alias("length"), F.sha2(record.cast("binary"), 256).alias("digest"),
+        F.floor(F.col("page_id") / records_per_file).cast("long").alias("file"), "page_id", *measured(F.col("html")), *others,
     )
     before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select("file", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length", "digest", "page_id")
+    place = F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")
+    return rows.select("file", place, "length", "digest", "page_id", *[f"{name}_{part}" for name in replicas for part in ("length", "digest")])
 
 
 def _hashed(children: Column) -> Column:
@@ -123,14 +131,13 @@ def audit(a: DataFrame, b: DataFrame, range_bytes: int = 65_536, fanout: int = 1
     )
 
 
-def damaged(pages: DataFrame) -> DataFrame:
-    """A replica of ``pages`` with rot in some pages: a letter changed, the end lost; and the pages that are gone (null html and url)."""
-    html = F.coalesce("html", F.lit(""))
-    return pages.select(
-        "page_id", "url",
-        F.when(F.col("page_id") % 997 == 3, F.concat(F.lit("?"), F.substring(html, 2, 1_000_000_000)))
-        .when(F.col("page_id") % 1999 == 7, F.expr("substring(coalesce(html, ''), 1, length(coalesce(html, '')) - 9)"))
-        .otherwise(html).alias("html"),
+def rotten(html: str) -> Column:
+    """The page as a replica has it: in some a letter changed, in some the end lost."""
+    text = F.coalesce(html, F.lit(""))
+    return (
+        F.when(F.col("page_id") % 997 == 3, F.concat(F.lit("?"), F.substring(text, 2, 1_000_000_000)))
+        .when(F.col("page_id") % 1999 == 7, F.expr(f"substring(coalesce({html}, ''), 1, length(coalesce({html}, '')) - 9)"))
+        .otherwise(text)
     )
 
 
@@ -159,8 +166,6 @@ FROM l WHERE page_id % 1499 = 5 OR ra <> rb"""
 def op6_warc_fixity(spark, sf_dir):
     """The archive of all pages against a replica with rot and lost records; every record that differs."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    first = located(pages)
-    again = located(damaged(pages)).select("file", "page_id", F.col("length").alias("l"), F.col("digest").alias("d"))
-    second = first.join(again, ["file", "page_id"]).where(F.col("page_id") % 1499 != 5)
-    found = audit(first, second.select("file", "offset", F.col("l").alias("length"), F.col("d").alias("digest")))
-    return found.drop("root_a", "root_b")
+    records = located(pages, copy=rotten("html"))
+    second = records.where(F.col("page_id") % 1499 != 5).select("file", "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest"))
+    return audit(records, second).drop("root_a", "root_b")

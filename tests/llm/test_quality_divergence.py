@@ -64,3 +64,27 @@ def test_native_plan(spark, plan):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     text = plan(Q.text_counts(docs))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_the_sql_knows_languages_that_are_not_listed(spark, tmp_path):
+    """Two languages without a list, one of them too small for a reference, and rows without a language."""
+    import random
+
+    import duckdb
+    from compare import difference
+    from themelake.llm.queries import QUERIES, SQL
+
+    rng, rows = random.Random(3), []
+    for lang, letters, n in (("xx", "abcdefghij", 30), ("ru", "абвгдежз", 25), ("tiny", "klmnop", 4), (None, "qrstuv", 6), ("en", "abcdefghijklmnop", 20)):
+        for _ in range(n):
+            words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(90, 140))]
+            rows.append((len(rows), " ".join([*words, "the", "of"] if lang == "en" else words), lang, "s", 1))
+    rows += [(len(rows), "абв " * 3 + " ".join(f"w{i}x" for i in range(200)), "xx", "s", 1), (len(rows) + 1, None, "ru", "s", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = QUERIES["op4_quality_divergence"](spark, str(tmp_path))
+    assert difference(found, con, SQL["op4_quality_divergence"]) is None
+    by_lang = {(r.doc_id, r.char_distance is None) for r in found.collect()}
+    assert all((i, True) in by_lang for i, _, lang, _, _ in rows if lang in ("tiny", None))
+    assert sum((i, False) in by_lang for i, _, lang, _, _ in rows if lang in ("xx", "ru")) > 50

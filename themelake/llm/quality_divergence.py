@@ -205,7 +205,7 @@ WITH words_of(lang, word) AS (VALUES """
     + r"""),
 d AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    CASE WHEN lang IN (SELECT lang FROM words_of) THEN lang ELSE 'other' END AS lang_group FROM documents),
+    lang AS lang_group FROM documents),
 w AS (
   SELECT doc_id, lang_group, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
   FROM (SELECT doc_id, lang_group, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)),
@@ -233,21 +233,24 @@ counts AS (
 based AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     n_text_chars - c0 - c1 - c2 - c3 - c4 - c5 - c6 AS c7 FROM counts),
+big AS (
+  SELECT lang_group FROM based WHERE NOT base_failed AND lang_group IS NOT NULL
+  GROUP BY lang_group HAVING count(*) >= 10 AND sum(n_text_chars) >= 10000),
 bins AS (
   SELECT doc_id, k, n, n / nullif(n_text_chars, 0) AS p, lang_group, base_failed
   FROM based, LATERAL (VALUES (0, c0), (1, c1), (2, c2), (3, c3), (4, c4), (5, c5), (6, c6), (7, c7)) v(k, n)),
-pooled AS (SELECT lang_group, k, sum(n) AS n FROM bins WHERE NOT base_failed GROUP BY lang_group, k),
+pooled AS (SELECT lang_group, k, sum(n) AS n FROM bins JOIN big USING (lang_group) WHERE NOT base_failed GROUP BY lang_group, k),
 ref AS (SELECT lang_group, k, n / sum(n) OVER (PARTITION BY lang_group) AS q FROM pooled),
 char_d AS (
   SELECT doc_id, sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) AS nats
   FROM bins JOIN ref USING (lang_group, k) GROUP BY doc_id),
 common AS (
   SELECT doc_id, w.lang_group, lower(w) AS word, count(*) AS n FROM w WHERE lower(w) IN (SELECT word FROM words_of) GROUP BY ALL),
-totals AS (SELECT lang_group, sum(n_words) AS words FROM based WHERE NOT base_failed GROUP BY ALL),
+totals AS (SELECT lang_group, sum(n_words) AS words FROM based JOIN big USING (lang_group) WHERE NOT base_failed GROUP BY ALL),
 wref AS (
   SELECT lang_group, word, sum(n) / any_value(words) AS q
   FROM common JOIN based USING (doc_id, lang_group) JOIN totals USING (lang_group) WHERE NOT base_failed GROUP BY ALL),
-wall AS (SELECT lang_group, sum(q) AS all_q FROM wref GROUP BY ALL),
+wall AS (SELECT lang_group, coalesce(sum(q), 0) AS all_q FROM totals LEFT JOIN wref USING (lang_group) GROUP BY ALL),
 share AS (
   SELECT doc_id, sum(p) AS all_p, sum(p * ln(2 * p / (p + q)) + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END - q * ln(2)) AS nats
   FROM (SELECT doc_id, n / n_words AS p, coalesce(q, 0) AS q
@@ -259,8 +262,8 @@ word_d AS (
   SELECT doc_id, nats + CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END AS nats
   FROM rest),
 judged AS (
-  SELECT b.*, CASE WHEN n_text_chars >= 200 THEN round(sqrt(greatest(c.nats / (2 * ln(2)), 0)), 6) END AS char_distance,
-    CASE WHEN n_words >= 80 THEN round(sqrt(greatest(w.nats / (2 * ln(2)), 0)), 6) END AS word_distance
+  SELECT b.*, CASE WHEN n_text_chars >= 200 AND c.nats IS NOT NULL THEN round(sqrt(greatest(c.nats / (2 * ln(2)), 0)), 6) END AS char_distance,
+    CASE WHEN n_words >= 80 AND w.nats IS NOT NULL THEN round(sqrt(greatest(w.nats / (2 * ln(2)), 0)), 6) END AS word_distance
   FROM based b LEFT JOIN char_d c USING (doc_id) LEFT JOIN word_d w USING (doc_id))
 SELECT doc_id, n_words, n_text_chars - c1 AS word_chars, c6 AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(char_distance > 0.31, FALSE) AND NOT coalesce(word_distance > 0.35, FALSE) AS kept,

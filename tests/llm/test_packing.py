@@ -56,3 +56,29 @@ def test_round_trip(spark, tmp_path):
         assert all(len(ids) == 128 for _, ids in parts[:-1])
     assert len(whole[2]) == 2 and len(whole[None]) == 1
     assert P.pack(docs.limit(0)).count() == 0
+
+
+def test_words_remembered_give_the_ids_of_whole_texts():
+    model, rng = P.tokenizer(P.MODEL), random.Random(8)
+    letters = ["a", "b", "é", "ñ", "e\u0301", "\u00b4", "\u200b", "\u00a0", "\n", "\t", "\r\n", " ", "  ", "\u3000", "ﬁ", "Ⅳ", "日", "本", "\U0001f600", ".", "1", "<s>", "</s>", "\u2581", "ß", "\x00", "\u0301", "½"]
+    words = P.Words(model)
+    assert words.apart
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    assert [list(x) for x in words(texts)] == [model.encode(t) for t in texts]
+    texts = [" ".join(rng.choice(["one", "two", "three", "four", "five" * 30]) for _ in range(9)) for _ in range(50)] + ["", "x " * 100_000 + "y"]
+    words.MOST = 3
+    for cut in (1, 100, 10**7):
+        P.TOGETHER, before = cut, P.TOGETHER
+        try:
+            assert [list(x) for x in words(texts)] == [model.encode(t) for t in texts]
+        finally:
+            P.TOGETHER = before
+    assert list(words([])) == []
+
+
+def test_other_types_of_ids(spark):
+    from decimal import Decimal
+
+    for kind, value in (("decimal(20,0)", Decimal(7)), ("smallint", 7), ("string", "seven")):
+        packed = P.pack(spark.createDataFrame([(value, "a text"), (None, "b")], f"doc_id {kind}, text string"), size=16)
+        assert sorted((r.doc_id for r in P.unpack(packed, 16).collect()), key=repr) == sorted([value, None], key=repr)

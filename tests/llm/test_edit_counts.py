@@ -56,3 +56,20 @@ def test_rows(spark):
     assert after[1].n_after == len(count.encode(applied(left[1], 3, 4, "xyz"))) and after[3].n_after == len(count.encode("first words"))
     assert after[5].n_after == after[5].n_before and after[5].n_encoded == 0
     assert E.count_after_edits(E.with_edits(docs.limit(0), edits)).count() == 0
+
+
+def test_leaves_stay_small_under_large_insertions_and_cuts():
+    count, rng = E.Counter(E.RANKS), random.Random(3)
+    text = "The quick brown fox. " * 50
+    tree = E.build(text, count, 32)
+    text, _ = E.edit(tree, text, 500, 0, " word" * 40_000, count)
+    assert max(len(s) for s, _ in tree.pieces) <= 64 and tree.tokens[1] == len(count.encode(text))
+    for _ in range(60):
+        at = rng.randrange(len(text))
+        text, n = E.edit(tree, text, at, rng.choice([3, 2000]), " new words" * rng.choice([1, 30, 400]), count)
+        assert max(len(s) for s, _ in tree.pieces) <= 64 and n < 2000
+    assert tree.tokens[1] == len(count.encode(text)) and [n for s, _ in tree.pieces for n in s] == list(map(len, count.cut.findall(text)))
+    text, _ = E.edit(tree, text, 0, len(text), "", count)
+    assert text == "" and tree.tokens[1] == 0
+    text, _ = E.edit(tree, text, 0, 0, "back again", count)
+    assert tree.tokens[1] == len(count.encode(text))

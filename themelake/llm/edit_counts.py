@@ -75,9 +75,12 @@ class Tree:
     """Segment tree over runs of pre-tokens. Leaves hold (characters, tokens) of each pre-token."""
 
     def __init__(self, sizes: list[int], tokens: list[int], leaf: int):
-        self.leaf = leaf
         cuts = range(0, max(len(sizes), 1), leaf)
-        self.pieces = [(sizes[i : i + leaf], tokens[i : i + leaf]) for i in cuts]
+        self.grow([(sizes[i : i + leaf], tokens[i : i + leaf]) for i in cuts], leaf)
+
+    def grow(self, pieces: list[tuple[list[int], list[int]]], leaf: int) -> None:
+        """A tree over these leaves."""
+        self.leaf, self.pieces = leaf, pieces
         self.width = 1 << (len(self.pieces) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
         for k, (s, t) in enumerate(self.pieces):
@@ -96,6 +99,19 @@ class Tree:
                 node += 1
         return min(node - self.width, len(self.pieces) - 1), start
 
+    def settle(self, k: int) -> None:
+        """Cut a leaf of more than twice the size, drop empty ones once they are many.
+
+        A new tree then stands over the leaves; it takes as many edits' growth to make the next one needed.
+        """
+        sizes, tokens = self.pieces[k]
+        empty = sum(not s for s, _ in self.pieces) if not sizes or len(sizes) > 2 * self.leaf else 0
+        if len(sizes) > 2 * self.leaf:
+            cut = [(sizes[i : i + self.leaf], tokens[i : i + self.leaf]) for i in range(0, len(sizes), self.leaf)]
+            self.grow([p for p in self.pieces[:k] if p[0]] + cut + [p for p in self.pieces[k + 1 :] if p[0]], self.leaf)
+        elif 2 * empty > len(self.pieces) > 1:
+            self.grow([p for p in self.pieces if p[0]] or [([], [])], self.leaf)
+
     def put(self, k: int, sizes: list[int], tokens: list[int]) -> None:
         """Replace a leaf; its sums and those above follow."""
         self.pieces[k] = (sizes, tokens)
@@ -147,6 +163,7 @@ def edit(tree: Tree, text: str, start: int, length: int, new: str, count: Counte
     for gone in range(first + 1, k + 1):
         tree.put(gone, [], [])
     tree.put(first, head[0] + fresh_sizes + rest[0], head[1] + fresh_tokens + rest[1])
+    tree.settle(first)
     return after, len(fresh_sizes)
 
 
@@ -156,11 +173,11 @@ STATE = "leaf_sizes array<int>, piece_chars array<int>, piece_tokens array<int>"
 def _restored(sizes: list[int], chars: list[int], tokens: list[int], leaf: int) -> Tree:
     tree, i = Tree([], [], leaf), 0
     if sizes:
-        tree = Tree([0] * len(sizes), [0] * len(sizes), 1)
-        tree.leaf = leaf
-        for k, n in enumerate(sizes):
-            tree.put(k, chars[i : i + n], tokens[i : i + n])
+        leaves = []
+        for n in sizes:
+            leaves.append((chars[i : i + n], tokens[i : i + n]))
             i += n
+        tree.grow(leaves, leaf)
     return tree
 
 

@@ -179,6 +179,7 @@ def test_run_isolates_failures(spark, tmp_path):
 
 
 def test_weather_axis_covers_all_days(spark, tmp_path):
+    from themelake.plans import queries_tables  # noqa: F401  (it registers the query)
     from themelake.plans.registry import QUERIES
 
     at = [datetime(2023, 12, 30, 23, 59), datetime(2024, 1, 15), datetime(2024, 3, 31, 1), datetime(2024, 10, 28, 0, 30)]

@@ -51,8 +51,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import byte_texts, landed, mixed, query, runs, table
+from .common import byte_texts, forget, landed, mixed, query, runs, table
 from .components import components
 
 K, RUN, SMALL = 128, 3, 12
@@ -194,16 +193,19 @@ def _whole_sets(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return sets.select("rep", n.alias("n"), "c", F.size("set").alias("size"), F.explode("set").alias("value"))
 
 
-def _rest(lists: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components to test, of the documents in ``lists`` (rep, n, c)."""
+def _rest(lists: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, spent: list[str]) -> DataFrame:
+    """Pairs (a, b) of different components to test, of the documents in ``lists`` (rep, n, c).
+
+    Tables that the pairs are made from are added to ``spent``.
+    """
     open_ = lists.select("rep", "c").distinct().join(classes, "rep")
-    values = landed(open_.select("rep", "n", "c", F.size("sketch").alias("size"), F.explode("sketch").alias("value")), "values")
-    keys = landed(_prefixes(values, percent, sketch=True), "prefixes")
-    long = landed(keys.groupBy("value").agg(F.count("*").alias("m")).where(F.col("m") > TOGETHER).select("value"), "long")
+    values = landed(open_.select("rep", "n", "c", F.size("sketch").alias("size"), F.explode("sketch").alias("value")), "values", spent=spent)
+    keys = landed(_prefixes(values, percent, sketch=True), "prefixes", spent=spent)
+    long = landed(keys.groupBy("value").agg(F.count("*").alias("m")).where(F.col("m") > TOGETHER).select("value"), "long", spent=spent)
     pairs = _across(keys.join(long, "value", "left_anti"), percent)
     # documents that only long lists bring together: prefixes of the sets themselves tell more than those of sketches
     dense = keys.join(long, "value", "left_semi").select("rep", "c").distinct()
-    sets = landed(_whole_sets(dense, texts, words), "sets")
+    sets = landed(_whole_sets(dense, texts, words), "sets", spent=spent)
     return pairs.unionAll(_across(_prefixes(sets, percent, sketch=False), percent)).distinct()
 
 
@@ -261,8 +263,9 @@ def _labelled(listed: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
-def _links(listed: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that give the components of all similar classes."""
+def _links(listed: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, held: list[str]) -> DataFrame:
+    """Links (a, b) that give the components of all similar classes; their tables are added to ``held``."""
+    spark, spent = listed.sparkSession, []
     tested = links = labels = None
     for _ in range(STAR_ROUNDS):
         lists = _labelled(listed, labels)
@@ -273,10 +276,10 @@ def _links(listed: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
             pairs = _labelled(pairs.withColumnsRenamed({"c": "c_a", "b": "rep"}), labels).where("c <> c_a").withColumnRenamed("rep", "b")
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         best = pairs.groupBy("a").agg(F.max(F.struct("keys", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
-        best = cut_lineage(best)
+        best = landed(best, "stars", spent=spent)
         if best.isEmpty():
             break
-        found = landed(_confirmed(_alike(best, classes, percent), texts, words, percent), "links")
+        found = landed(_confirmed(_alike(best, classes, percent), texts, words, percent), "links", spent=held)
         tested = best if tested is None else tested.unionAll(best)
         if found.isEmpty():
             break
@@ -284,10 +287,11 @@ def _links(listed: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
         labels = components(links)
     lists = _labelled(listed, labels)
     hubs = lists.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi")).where("c_lo < c_hi").select("key")
-    across = _rest(lists.join(hubs, "key"), classes, texts, words, percent)
+    across = _rest(lists.join(hubs, "key"), classes, texts, words, percent, spent)
     if tested is not None:
         across = across.join(tested, ["a", "b"], "left_anti")
-    found = landed(_confirmed(_alike(across, classes, percent), texts, words, percent), "links")
+    found = landed(_confirmed(_alike(across, classes, percent), texts, words, percent), "links", spent=held)
+    forget(spark, *spent)
     return found if links is None else links.unionAll(found)
 
 
@@ -295,24 +299,26 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     """doc_id (a number), n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
     if not 75 <= percent <= 100:
         raise ValueError("a similarity from 75 to 100 percent")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = landed(sketches(docs, words), "sketches")
+    docs, spent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), []
+    sets = landed(sketches(docs, words), "sketches", spent=spent)
+    sizes = landed(sets.select("doc_id", "n_shingles"), "sizes")
     filled = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = landed(filled.select("doc_id", "digest").join(reps, "digest").select("doc_id", "rep").distinct(), "members")
+    members = landed(filled.select("doc_id", "digest").join(reps, "digest").select("doc_id", "rep").distinct(), "members", spent=spent)
     # rows that share a doc_id are one document: its classes are linked
     classes = filled.join(reps.select("digest", "rep"), "digest").where("doc_id = rep")
-    classes = landed(classes.select("rep", F.col("n_shingles").alias("n"), "sketch", "digest").dropDuplicates(["rep", "digest"]).drop("digest"), "classes")
+    classes = landed(classes.select("rep", F.col("n_shingles").alias("n"), "sketch", "digest").dropDuplicates(["rep", "digest"]).drop("digest"), "classes", spent=spent)
     keys = _keys(classes)
     shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    listed = landed(keys.join(shared, "key"), "lists")
+    listed = landed(keys.join(shared, "key"), "lists", spent=spent)
     wanted = listed.select(F.col("rep").alias("doc_id")).distinct()
-    texts = landed(_packed(docs).join(wanted, "doc_id"), "texts")
-    links = _links(listed, classes, texts, words, percent)
+    texts = landed(_packed(docs).join(wanted, "doc_id"), "texts", spent=spent)
+    links = _links(listed, classes, texts, words, percent, spent)
     linked = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").unionAll(links.select("a", "b"))
     found = components(linked).withColumnRenamed("node", "doc_id")
+    forget(docs.sparkSession, *spent)  # sizes and components are all that the result reads
     own = F.coalesce("component", "doc_id")
-    return sets.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
+    return sizes.join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")
     )
 

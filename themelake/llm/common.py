@@ -46,14 +46,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def landed(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def landed(df: DataFrame, label: str, path: str | None = None, spent: list[str] | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     Lineage ends there, so a lost executor costs nothing before it, and the
-    shuffle files that led to the rows are removed when the write ends.
+    shuffle files that led to the rows are removed when the write ends. The path
+    is added to ``spent``, a list of those to :func:`forget` at a later point.
     """
     spark = df.sparkSession
     path, before = path or scratch(spark, label), spark.conf.get(SHUFFLE_CLEANUP)
+    if spent is not None:
+        spent.append(path)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
         df.write.parquet(path)

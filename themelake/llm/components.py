@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .common import forget, landed
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,18 +16,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links are folded in the map tasks. Nodes without links do not appear. Rounds
     end when no label changes; only that count reaches the driver.
     """
+    spark, spent = links.sparkSession, []
     edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    edges = cut_lineage(edges.unionAll(edges.select("b", "a")).distinct())
-    labels = cut_lineage(edges.groupBy("a").agg(F.min("b").alias("low")).select(
-        F.col("a").alias("node"), F.least("a", "low").alias("component")
-    ))
+    edges = landed(edges.unionAll(edges.select("b", "a")).distinct(), "edges", spent=spent)
+    labels = edges.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component"))
+    last: list[str] = []
+    labels = landed(labels, "labels", spent=last)
     while True:
         near = edges.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         hooked = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("component").alias("root"))
-        moved = cut_lineage(hooked.join(jump, "low").select(
+        moved = hooked.join(jump, "low").select(
             "node", F.least("low", "root").alias("component"), (F.least("low", "root") < F.col("component")).alias("changed")
-        ))
-        labels = moved.select("node", "component")
+        )
+        this: list[str] = []
+        moved = landed(moved, "labels", spent=this)
+        forget(spark, *last)  # the labels before these
+        labels, last = moved.select("node", "component"), this
         if moved.where("changed").isEmpty():
+            forget(spark, *spent)
             return labels

@@ -305,7 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
         raise ValueError("a gram from 8 bytes to the length")
     keep = list(keep)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
-    spark = docs.sparkSession
+    spark, spent = docs.sparkSession, []
     paths = {name: scratch(spark, name) for name in ("grams", "places", "parse", "dictionary")}
     grams = _parsed(docs, length, gram, places=False).groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = landed(grams.where("lo < hi").select("gram"), "grams", paths["grams"])
@@ -322,14 +322,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
     resolved = landed(parse.join(marked.hint("shuffle_hash"), ["gram", "digest"]).where("smallest < doc_id OR several").select(
         F.when(~whole, F.col("gram")).alias("gram"), "doc_id", "version", F.col("first").cast("long").alias("first"),
         (F.col("first") + F.col("span")).cast("long").alias("last"), whole.alias("whole"),
-    ), "phrases")
+    ), "phrases", spent=spent)
     forget(spark, *paths.values())
     to_cut = resolved.where("NOT whole")
     frequent = to_cut.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > TOGETHER).select("gram", F.lit(True).alias("many"))
     to_cut = to_cut.join(frequent, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     to_cut = to_cut.groupBy("doc_id", "version").agg(F.collect_list(F.struct("gram", "many", "first", "last")).alias("ranges"))
     bodies = work.select("doc_id", "version", "packed")
-    suffixes = landed(_suffix_rows(bodies.join(to_cut, ["doc_id", "version"]), length), "suffixes")
+    suffixes = landed(_suffix_rows(bodies.join(to_cut, ["doc_id", "version"]), length), "suffixes", spent=spent)
     groups = suffixes.where("NOT many").groupBy("gram").agg(F.collect_list(F.struct("key", "doc_id", "version", "start")).alias("phrases"))
     strings = suffixes.where("many").select("key", "doc_id", "version", "start")
     first = strings.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).where("smallest < largest")
@@ -337,7 +337,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
     starts = strings.join(first, "key").where("smallest < doc_id").select("doc_id", "version", F.col("start").alias("first"), F.col("start").alias("last"))
     starts = starts.unionAll(_compared(groups, length))
     ranges = resolved.where("whole").select("doc_id", "version", "first", "last").unionAll(starts)
-    ranges = ranges.groupBy("doc_id", "version").agg(F.collect_list(one).alias("ranges"))
+    ranges = landed(ranges.groupBy("doc_id", "version").agg(F.collect_list(one).alias("ranges")), "ranges")
+    forget(spark, *spent)  # texts and ranges are all that the result reads
     return _removed(work.join(ranges, ["doc_id", "version"], "left"), length, keep, texts)
 
 

@@ -256,21 +256,34 @@ def night_light_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zone_side(spark: SparkSession, sf_dir: str) -> Column:
-    """Side of a zone: a quarter of a degree for 1,280 suppliers, halved for each four times as many, so zones never overlap."""
+def _last_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key of the last zone, and the side of them all."""
     last = F.col("last")
     halvings = sum((F.when(last >= 1280 * 4**j, 1).otherwise(0) for j in range(1, 12)), F.when(last >= 1280, 1).otherwise(0))
-    return table(spark, sf_dir, "supplier").agg(F.max("s_suppkey").alias("last")).select(0.25 * F.pow(F.lit(0.5), halvings)).scalar()
+    return table(spark, sf_dir, "supplier").agg(F.max("s_suppkey").alias("last")).withColumn("side", 0.25 * F.pow(F.lit(0.5), halvings))
+
+
+def zone_side(spark: SparkSession, sf_dir: str) -> Column:
+    """Side of a zone: a quarter of a degree for 1,280 suppliers, halved for each four times as many, so zones never overlap."""
+    return _last_zone(spark, sf_dir).select("side").scalar()
+
+
+def land_steps(spark: SparkSession, sf_dir: str) -> Column:
+    """Steps of a 1,024th of a degree from 35.5 to half a degree past the last zone."""
+    last, side = F.col("last"), F.col("side")
+    north = F.lit(36.0) + F.floor(last / (10 / side).cast("bigint")) * side + side
+    return _last_zone(spark, sf_dir).select(F.ceil((north - 35) * 1024)).scalar()
 
 
-def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pixel per order line, over all the land that zones may cover; a third of them fall into one zone."""
+def pixels(spark: SparkSession, sf_dir: str, lat_steps: Column | None = None) -> DataFrame:
+    """One pixel per order line, over all the land that zones may cover, or ``lat_steps`` of it; a third of them fall into one zone."""
+    lat_steps = F.lit(9216) if lat_steps is None else lat_steps
     o, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     a, b = o * 37 + p * 13 + n * 101, o * 53 + p * 29 + n * 7
     hot, side = p % 3 == 0, F.col("_side")
     return table(spark, sf_dir, "lineitem").withColumn("_side", zone_side(spark, sf_dir)).select(
         F.when(hot, F.lit(-10.0) + (a % 256) / 256.0 * side).otherwise(F.lit(-10.5) + (a % 11264) / 1024.0).alias("lon"),
-        F.when(hot, F.lit(36.0) + (b % 256) / 256.0 * side).otherwise(F.lit(35.5) + (b % 9216) / 1024.0).alias("lat"),
+        F.when(hot, F.lit(36.0) + (b % 256) / 256.0 * side).otherwise(F.lit(35.5) + (b % lat_steps) / 1024.0).alias("lat"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("avg_rad"),
     )

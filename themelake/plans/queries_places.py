@@ -112,16 +112,23 @@ edges AS (
         (0.375, 0.125, 0.375, 0.25, true, -1)) v(dx1, dy1, dx2, dy2, hole, sign)
     WHERE NOT hole OR k % 3 = 0
 )"""
-_PIXELS = """
+def _pixels(lat_steps: str, one_row: str) -> str:
+    return f"""
 pixels AS (
     SELECT row_number() OVER () AS id, CAST(l_shipdate AS DATE) AS date, nullif(l_quantity, 13.0) AS avg_rad,
            CASE WHEN l_partkey % 3 = 0 THEN -10.0::DOUBLE + (a % 256) / 256.0::DOUBLE * side
                 ELSE -10.5::DOUBLE + (a % 11264) / 1024.0::DOUBLE END AS lon,
            CASE WHEN l_partkey % 3 = 0 THEN 36.0::DOUBLE + (b % 256) / 256.0::DOUBLE * side
-                ELSE 35.5::DOUBLE + (b % 9216) / 1024.0::DOUBLE END AS lat
+                ELSE 35.5::DOUBLE + (b % {lat_steps}) / 1024.0::DOUBLE END AS lat
     FROM (SELECT *, l_orderkey * 37 + l_partkey * 13 + l_linenumber * 101 AS a,
-                    l_orderkey * 53 + l_partkey * 29 + l_linenumber * 7 AS b FROM lineitem), side
+                    l_orderkey * 53 + l_partkey * 29 + l_linenumber * 7 AS b FROM lineitem), {one_row}
 )"""
+
+
+_PIXELS = _pixels("9216", "side")
+# Over the land that has zones, and half a degree around it.
+_LAND_PIXELS = """
+land AS (SELECT CAST(ceil((max(y0 + side) - 35) * 1024) AS BIGINT) AS lat_steps FROM corners),""" + _pixels("lat_steps", "side, land")
 _HITS = """
 hits AS (
     SELECT p.id, e.k FROM pixels p JOIN edges e
@@ -184,11 +191,12 @@ def zone_scan(spark, sf_dir):
 
 
 @query(
-    "WITH " + _ZONES + "," + _PIXELS + "," + _HITS + """
+    "WITH " + _ZONES + "," + _LAND_PIXELS + "," + _HITS + """
 SELECT 'ES_' || k AS zone_id, lon, lat, count(*) AS points FROM hits JOIN pixels USING (id) GROUP BY ALL"""
 )
 def points_in_zones(spark, sf_dir):
-    found = point_in_zone(inputs.pixels(spark, sf_dir), _zones(spark, sf_dir).select("zone_id", "rings"))
+    pixels = inputs.pixels(spark, sf_dir, inputs.land_steps(spark, sf_dir))
+    found = point_in_zone(pixels, _zones(spark, sf_dir).select("zone_id", "rings"))
     return found.groupBy("zone_id", "lon", "lat").agg(F.count(F.lit(1)).alias("points"))
 
 

@@ -66,3 +66,62 @@ def test_rows_of_one_id_whose_texts_hash_alike(spark):
     assert got(P.remove_repeats(frame)) == sorted((r[:5] for r in repeats(docs)), key=repr)
     lost = sorted(r[2] for r in got(P.remove_repeats(frame)))
     assert lost == [0, 0, 0, len(a)]
+
+
+@pytest.mark.parametrize("together", [0, 3])
+def test_frequent_grams(spark, monkeypatch, together):
+    docs = list(enumerate(texts(random.Random(8))))
+    monkeypatch.setattr(P, "TOGETHER", together)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert got(P.remove_repeats(frame)) == sorted((r[:5] for r in repeats(docs)), key=repr)
+
+
+def alike_by_lanes(rng):
+    """Two strings of 50 bytes, different in two of them, of the same sum of lanes times odd numbers for both seeds and with the same trigger."""
+    import numpy as np
+
+    odd = [np.random.default_rng([seed, 50]).integers(1 << 63, size=7, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for seed in (1, 2)]
+    pairs = [
+        (i, j, x, y) for i in range(5) for j in range(i) for x in range(-60, 60) for y in range(1, 60)
+        if all((x * int(m[i]) + y * int(m[j])) % 256 == 0 for m in odd)
+    ]
+    while True:
+        i, j, x, y = rng.choice(pairs)
+        a = bytearray(rng.choice(b"ABCDEFGHabcdefgh !#") for _ in range(50))
+        a[8 * i + 7], a[8 * j + 7] = (33 if x > 0 else 100), 50
+        b = bytearray(a)
+        b[8 * i + 7] += x
+        b[8 * j + 7] += y
+        p, q = (P.phrases([(0, 0, bytes(t))], 50, 20) for t in (a, b))
+        if p["gram"][0] == q["gram"][0]:
+            return a.decode(), b.decode()
+
+
+def test_strings_of_frequent_grams_that_differ_in_two_bytes(spark, monkeypatch):
+    docs = list(enumerate(alike_by_lanes(random.Random(3))))
+    monkeypatch.setattr(P, "TOGETHER", 0)
+    assert [r[2] for r in got(P.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")))] == [0, 0]
+
+
+def test_strings_with_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(4)
+    keys = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(8, 30))) for _ in range(60)]
+    group, doc = np.sort(np.array([rng.randrange(4) for _ in keys])), np.array([rng.randrange(9) for _ in keys])
+    want = [(k, x) for k, t in enumerate(keys) for x in range(len(t) - 7) if any(
+        group[m] == group[k] and doc[m] < doc[k] and t[x : x + 8] in keys[m] for m in range(len(keys)))]
+    for hashed in (P._digest, lambda lanes, at, size, seed: at.astype(np.uint64) % np.uint64(2) * np.uint64(0)):
+        monkeypatch.setattr(P, "_digest", hashed)
+        found = P.repeated(keys, group, doc, 8)
+        assert [(k, x) for k, a, b in zip(*found) for x in range(a, b + 1)] == want and len(want) > 20
+
+
+def test_a_place_travels_as_one_number(spark):
+    """Two longs and the gram a row: five columns took more disk than the budget."""
+    docs = spark.createDataFrame([(3, "abcdefghij" * 30)], "doc_id long, text string")
+    rows = P._parsed(docs, 50, 20, places=True)
+    assert rows.columns == ["gram", "doc_id", "place"]
+    p = P.phrases([(0, 0, b"abcdefghij" * 30)], 50, 20)
+    unpacked = sorted((r.gram, r.place >> 32, (r.place >> 16) & 0xFFFF, r.place & 0xFFFF) for r in rows.collect())
+    assert unpacked == sorted(zip(p["gram"].tolist(), p["first"].tolist(), (p["trigger"] - p["first"]).tolist(), (p["last"] - p["first"]).tolist()))

@@ -16,7 +16,7 @@ it is resolved from the coarse to the fine, each step on what the last one left:
    Counting needs smallest and largest document of each gram, folded in the map
    tasks. Highly repetitive text collapses here and in the next step.
 2. Dictionary of the phrases left: phrases are equal if their grams' hashes and
-   their digests are (64 bits each). All but those in the smallest document of a phrase are removed whole.
+   their digests are (64 bits each). A phrase's place travels as one number. All but those in the smallest document of a phrase are removed whole.
 3. Phrases of the dictionary that share a trigger gram but are not equal (where
    repeats begin and end, in different contexts) are cut into their strings, that
    is suffixes to ``length`` bytes. Up to ``TOGETHER`` phrases of a gram are
@@ -24,6 +24,11 @@ it is resolved from the coarse to the fine, each step on what the last one left:
    128-bit digest in turn, folded in the map tasks.
 4. The parse maps the strings found back to each document.
 
+Texts are taken from a batch in groups of about ``SLICE`` bytes, and each group's
+phrases or strings are hashed, sorted and compared as numpy arrays. Where few
+phrases share a gram, strings meet by a 64-bit hash and neighbours in its order are
+compared byte by byte; should one differ, the group is ordered by all its bytes.
+
 Each step is a map and an equi-join or grouping with map-side folding; joins on
 grams and digests can be hot and are split by adaptive execution. Step results
 are written to the shared folder, and removed there when a later result is. Texts are compressed for the three joins that
@@ -45,6 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +84,41 @@ def _grams(lanes: np.ndarray, at: np.ndarray | None, size: int, seed: int = 0) -
     return mixed(h)
 
 
+def _lanes_at(data: bytes) -> np.ndarray:
+    """The eight bytes from each position on as one number, without a copy; to be read by index."""
+    return np.ndarray((max(len(data) - 7, 0),), "<u8", data, 0, (1,))
+
+
+def _digest(lanes: np.ndarray, at: np.ndarray, size: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
+    """Hash of the ``size`` (8 or more) bytes from each of ``at`` on and of ``seed``; every bit is mixed before the next eight bytes join."""
+    size = np.broadcast_to(np.asarray(size, dtype=np.int64), at.shape)
+    h = mixed((size.astype(np.uint64) << np.uint64(32)) ^ mixed(np.atleast_1d(seed).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+    for k in range(0, int(size.max(initial=0)), 8):
+        more = mixed(h ^ lanes[at + np.minimum(k, size - 8)])
+        h = np.where(k < size, more, h)
+    return h
+
+
+def _unpacked(batch: pa.RecordBatch, lists: str) -> Iterator[tuple[int, int, list[bytes], np.ndarray, list[np.ndarray]]]:
+    """Texts of a batch in groups of about SLICE bytes: first and last row, texts, and of the list of structs ``lists``
+    the row within the group and each field."""
+    unzip = zstandard.ZstdDecompressor()
+    packed, column = batch.column("packed"), batch.column(lists)
+    count = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    fields = [f.to_numpy(zero_copy_only=False) for f in column.flatten().flatten()]
+    bound = np.concatenate([[0], np.cumsum(count)])
+    sizes = [zstandard.frame_content_size(x.as_buffer()) for x in packed]
+    for i, j in runs(sizes, SLICE):
+        texts = [unzip.decompress(x.as_buffer()) for x in packed[i:j]]
+        yield i, j, texts, np.repeat(np.arange(j - i), count[i:j]), [f[bound[i] : bound[j]] for f in fields]
+
+
+def _starts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text begins once they are joined, and its length."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    return np.cumsum(sizes) - sizes, sizes
+
+
 def _slices(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Texts in groups of about SLICE bytes: (number, first byte, part); parts of a long text overlap."""
     parts = []
@@ -116,7 +157,8 @@ def phrases(parts: list[tuple[int, int, bytes]], length: int, gram: int) -> dict
 
 
 def _parsed(docs: DataFrame, length: int, gram: int, places: bool) -> DataFrame:
-    """Trigger grams of all texts by document, with their places if asked for."""
+    """Trigger grams of all texts by document, with their places if asked for: first start (32 bits), bytes from there
+    to the trigger and to the last start (16 bits each)."""
 
     def parsed(batches):
         for batch in batches:
@@ -125,16 +167,11 @@ def _parsed(docs: DataFrame, length: int, gram: int, places: bool) -> DataFrame:
                 p = phrases(parts, length, gram)
                 columns = {"gram": p["gram"], "doc_id": ids[p["text"]].astype(np.int64)}
                 if places:
-                    columns |= {c: x.astype(np.int32) for c, x in (
-                        ("first", p["first"]), ("before", p["trigger"] - p["first"]), ("span", p["last"] - p["first"])
-                    )}
+                    columns["place"] = p["first"] << 32 | (p["trigger"] - p["first"]) << 16 | (p["last"] - p["first"])
                 yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    return rows.mapInArrow(parsed, "gram long, doc_id long" + (", first int, before int, span int" if places else ""))
-
-
-PLACE = ("gram", "first", "before", "span")
+    return rows.mapInArrow(parsed, "gram long, doc_id long" + (", place long" if places else ""))
 
 
 def _dictionary_rows(work: DataFrame, length: int) -> DataFrame:
@@ -145,26 +182,20 @@ def _dictionary_rows(work: DataFrame, length: int) -> DataFrame:
     """
 
     def rows(batches):
-        unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            count = batch.column("gram").value_lengths().to_numpy(zero_copy_only=False)
-            grams, first, before, span = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in PLACE]
-            ids, versions = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), count) for c in ("doc_id", "version")]
-            at, digests, fits = 0, [], np.ones(len(grams), dtype=bool)
-            for packed, n in zip(batch.column("packed").to_pylist(), count.tolist(), strict=True):
-                text = unzip.decompress(packed)
-                for k, (a, b, t) in enumerate(zip(*[x[at : at + n].tolist() for x in (first, span, before)], strict=True), at):
-                    if a + b + length > len(text):
-                        fits[k] = False
-                    else:
-                        digests.append(hashlib.blake2b(text[a : a + b + length], digest_size=8, salt=t.to_bytes(8, "little")).digest())
-                at += n
-            yield pa.RecordBatch.from_pydict({
-                "gram": grams[fits], "digest": np.frombuffer(b"".join(digests), dtype=np.int64), "doc_id": ids[fits], "version": versions[fits],
-                "first": first[fits], "span": span[fits],
-            })
-
-    found = work.where("gram IS NOT NULL").select("doc_id", "version", "packed", *PLACE)
+            ids, versions = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version")]
+            for i, j, texts, row, (grams, place) in _unpacked(batch, "places"):
+                begin, sizes = _starts(texts)
+                first, before, span = place >> 32, place >> 16 & 0xFFFF, place & 0xFFFF
+                fits = first + span + length <= sizes[row]
+                row, grams, first, before, span = [x[fits] for x in (row, grams, first, before, span)]
+                digests = _digest(_lanes_at(b"".join(texts)), begin[row] + first, span + length, before)
+                yield pa.RecordBatch.from_pydict({
+                    "gram": grams, "digest": digests.view(np.int64), "doc_id": ids[i:j][row], "version": versions[i:j][row],
+                    "first": first.astype(np.int32), "span": span.astype(np.int32),
+                })
+
+    found = work.where("places IS NOT NULL").select("doc_id", "version", "packed", "places")
     return found.mapInArrow(rows, "gram long, digest long, doc_id long, version long, first int, span int")
 
 
@@ -173,60 +204,85 @@ def _suffix_rows(joined: DataFrame, length: int) -> DataFrame:
     string, of others the phrase whole."""
 
     def rows(batches):
-        unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "packed", "ranges")]
-            for doc_id, version, packed, ranges in zip(*columns, strict=True):
-                text = unzip.decompress(packed)
-                few = [r for r in ranges if not r["many"]]
-                yield _batch([r["gram"] for r in few], False, [text[r["first"] : r["last"] + length] for r in few], doc_id, version, [r["first"] for r in few])
-                many = sorted((r["first"], r["last"]) for r in ranges if r["many"])
-                for i, j in runs([b - a + 1 for a, b in many], SLICE):
-                    at = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in many[i:j]]))
-                    low = int(at[0])
-                    lanes = _lanes(np.frombuffer(text[low : int(at[-1]) + length], dtype=np.uint8))
-                    both = np.stack([_grams(lanes, at - low, length, seed) for seed in (1, 2)], axis=1).tobytes()
-                    yield _batch(np.zeros(len(at), np.int64), True, [both[k : k + 16] for k in range(0, len(both), 16)], doc_id, version, at)
-
-    def _batch(grams, many, keys, doc_id, version, starts):
-        n = len(keys)
+            ids, versions = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version")]
+            for i, j, texts, row, (grams, many, first, last) in _unpacked(batch, "ranges"):
+                begin, _ = _starts(texts)
+                data, own = b"".join(texts), (ids[i:j], versions[i:j])
+                for few in np.array_split(np.flatnonzero(~many), 1 + len(row) // SLICE):
+                    at = begin[row[few]]
+                    keys = [data[a:b] for a, b in zip((at + first[few]).tolist(), (at + last[few] + length).tolist(), strict=True)]
+                    yield _batch(grams[few], False, keys, *[x[row[few]] for x in own], first[few])
+                often = np.flatnonzero(many)
+                often = often[np.argsort(begin[row[often]] + first[often])]
+                lanes, count = _lanes_at(data), (last - first + 1)[often]
+                for k, m in runs(count.tolist(), SLICE):
+                    n, some = count[k:m], often[k:m]
+                    at = np.arange(int(n.sum())) + np.repeat((begin[row] + first)[some] - (np.cumsum(n) - n), n)
+                    at, one = np.unique(at, return_index=True)
+                    whose = np.repeat(row[some], n)[one]
+                    both = np.stack([_digest(lanes, at, length, seed) for seed in (1, 2)], axis=1).tobytes()
+                    keys = [both[x : x + 16] for x in range(0, len(both), 16)]
+                    yield _batch(np.zeros(len(at), np.int64), True, keys, *[x[whose] for x in own], at - begin[whose])
+
+    def _batch(grams, many, keys, ids, versions, starts):
         return pa.RecordBatch.from_arrays([
-            pa.array(grams, pa.int64()), pa.array(np.full(n, many)), pa.array(keys, pa.binary()), pa.array(np.full(n, doc_id, np.int64)),
-            pa.array(np.full(n, version, np.int64)), pa.array(starts, pa.int64()),
+            pa.array(grams, pa.int64()), pa.array(np.full(len(keys), many)), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()),
+            pa.array(versions, pa.int64()), pa.array(starts, pa.int64()),
         ], names=["gram", "many", "key", "doc_id", "version", "start"])
 
     return joined.mapInArrow(rows, "gram long, many boolean, key binary, doc_id long, version long, start long")
 
 
+def repeated(keys: list[bytes], group: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings of ``length`` bytes in ``keys`` that a key of the same group, of a smaller document, holds too: key, first and last start."""
+    begin, sizes = _starts(keys)
+    count = sizes - length + 1
+    key = np.repeat(np.arange(len(keys)), count)
+    at = np.arange(int(count.sum())) + np.repeat(begin - (np.cumsum(count) - count), count)
+    lanes, where = _lanes_at(b"".join(keys)), group[key]
+    steps = [*range(0, length - 8, 8), length - 8]
+    h = _digest(lanes, at, length, where)
+
+    def alike(order):
+        same = where[order][1:] == where[order][:-1]
+        for k in steps:
+            x = lanes[at[order] + k]
+            same &= x[1:] == x[:-1]
+        return same
+
+    order = np.argsort(h)
+    same = alike(order)
+    if (same != (h[order][1:] == h[order][:-1])).any():  # different strings with one hash
+        order = np.lexsort([*(lanes[at + k] for k in steps), where])
+        same = alike(order)
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    docs = doc[key][order]
+    smallest = np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(order))))
+    found = np.zeros(len(at) + 2, dtype=bool)
+    found[1:-1][order] = smallest < docs
+    joined = found[1:-2] & found[2:-1] & (key[1:] == key[:-1])
+    opens = np.flatnonzero(found[1:-1] & ~np.concatenate([[False], joined]))
+    closes = np.flatnonzero(found[1:-1] & ~np.concatenate([joined, [False]]))
+    return key[opens], (at - begin[key])[opens], (at - begin[key])[closes]
+
+
 def _compared(groups: DataFrame, length: int) -> DataFrame:
     """Starts of strings that a smaller document has, among the phrases of each gram (``phrases``: key, doc_id, version, start)."""
 
     def compared(batches):
         for batch in batches:
-            ids, versions, firsts, lasts = [], [], [], []
-            for group in batch.column("phrases").to_pylist():
-                smallest: dict[bytes, int] = {}
-                for p in group:
-                    for i in range(len(p["key"]) - length + 1):
-                        part = p["key"][i : i + length]
-                        if p["doc_id"] < smallest.get(part, p["doc_id"] + 1):
-                            smallest[part] = p["doc_id"]
-                for p in group:
-                    run = None
-                    for i in range(len(p["key"]) - length + 2):
-                        found = i <= len(p["key"]) - length and smallest[p["key"][i : i + length]] < p["doc_id"]
-                        if found and run is None:
-                            run = i
-                        elif not found and run is not None:
-                            ids.append(p["doc_id"])
-                            versions.append(p["version"])
-                            firsts.append(p["start"] + run)
-                            lasts.append(p["start"] + i - 1)
-                            run = None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(versions, pa.int64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
-                names=["doc_id", "version", "first", "last"],
-            )
+            column = batch.column("phrases")
+            count = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            keys, ids, versions, starts = column.flatten().flatten()
+            ids, versions, starts = [x.to_numpy(zero_copy_only=False) for x in (ids, versions, starts)]
+            bound = np.concatenate([[0], np.cumsum(count)])
+            total = np.concatenate([[0], np.cumsum(pc.binary_length(keys).to_numpy(zero_copy_only=False).astype(np.int64))])
+            for i, j in runs(np.diff(total[bound]).tolist(), SLICE):
+                some = slice(int(bound[i]), int(bound[j]))
+                key, first, last = repeated(keys[some].to_pylist(), np.repeat(np.arange(j - i), count[i:j]), ids[some], length)
+                at = starts[some][key]
+                yield pa.RecordBatch.from_pydict({"doc_id": ids[some][key], "version": versions[some][key], "first": at + first, "last": at + last})
 
     return groups.mapInArrow(compared, "doc_id long, version long, first long, last long")
 
@@ -265,33 +321,33 @@ def _removed(rows: DataFrame, length: int, keep: list[str], texts: bool) -> Data
     """Spans and what is left of each text, from ``ranges`` of starts."""
     kept = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     schema = "doc_id long, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept_sha256 string" + kept + (", text string" if texts else "")
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def removed(batches):
-        unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            sizes, found, digests, left = [], [], [], []
-            for packed, ranges in zip(batch.column("packed").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
-                text, spans, at = unzip.decompress(packed), [], 0
-                for r in sorted(ranges or [], key=lambda r: r["first"]):
-                    a, b = r["first"], r["last"] + length
-                    if spans and a <= spans[-1][1]:
-                        spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-                    else:
-                        spans.append((a, b))
-                digest = hashlib.sha256()
-                for a, b in spans:
-                    digest.update(text[at:a])
-                    at = b
-                digest.update(text[at:])
-                sizes.append(len(text))
-                found.append([{"start": a, "stop": b} for a, b in spans])
-                digests.append(digest.hexdigest())
-                if texts:
-                    left.append(kept_text(text, spans))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(found, span), pa.array(digests, pa.string())]
-            columns += [batch.column(c) for c in keep] + ([pa.array(left, pa.string())] if texts else [])
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept_sha256", *keep, *(["text"] if texts else [])])
+            for i, j, bodies, row, (first, last) in _unpacked(batch, "ranges"):
+                begin, sizes = _starts(bodies)
+                begin = begin + np.arange(len(bodies))  # a byte between texts, so that their spans never meet
+                order = np.argsort(begin[row] + first)
+                a, b = (begin[row] + first)[order], np.maximum.accumulate((begin[row] + last)[order] + length)
+                new = np.flatnonzero(np.concatenate([[True], a[1:] > b[:-1]])) if len(a) else np.zeros(0, np.int64)
+                whose = row[order][new]
+                a, b = a[new] - begin[whose], b[np.append(new[1:], len(b))[: len(new)] - 1] - begin[whose]
+                bound = np.concatenate([[0], np.cumsum(np.bincount(whose, minlength=len(bodies)))])
+                spans = list(zip(a.tolist(), b.tolist(), strict=True))
+                digests, left = [], []
+                for text, k, m in zip(bodies, bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                    digest, at = hashlib.sha256(), 0
+                    for start, stop in spans[k:m]:
+                        digest.update(text[at:start])
+                        at = stop
+                    digest.update(text[at:] if at else text)
+                    digests.append(digest.hexdigest())
+                    if texts:
+                        left.append(kept_text(text, spans[k:m]))
+                found = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["start", "stop"]))
+                columns = [batch.column("doc_id")[i:j], pa.array(sizes, pa.int64()), found, pa.array(digests, pa.string())]
+                columns += [batch.column(c)[i:j] for c in keep] + ([pa.array(left, pa.string())] if texts else [])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept_sha256", *keep, *(["text"] if texts else [])])
 
     return rows.select("doc_id", "packed", "ranges", *keep).mapInArrow(removed, schema)
 
@@ -301,8 +357,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
 
     ``keep`` names columns to hand through; with ``texts`` the text left is added.
     """
-    if not 8 <= gram <= length:
-        raise ValueError("a gram from 8 bytes to the length")
+    if not 8 <= gram <= length <= 65_535:
+        raise ValueError("a gram from 8 bytes to the length, a length to 65,535")
     keep = list(keep)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
     spark, spent = docs.sparkSession, []
@@ -310,11 +366,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, keep: tupl
     grams = _parsed(docs, length, gram, places=False).groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = landed(grams.where("lo < hi").select("gram"), "grams", paths["grams"])
     places = _parsed(docs, length, gram, places=True).join(shared.hint("shuffle_hash"), "gram")
-    places = places.groupBy("doc_id").agg(F.collect_list(F.struct(*PLACE)).alias("p"))
-    places = landed(places.select("doc_id", *[F.col(f"p.{c}").alias(c) for c in PLACE]), "places", paths["places"])
+    places = landed(places.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place")).alias("places")), "places", paths["places"])
+    forget(spark, paths.pop("grams"))
     packed = _packed(docs, keep)
     work = landed(packed, "texts")
     parse = landed(_dictionary_rows(work.select("doc_id", "version", "packed").join(places, "doc_id"), length), "parse", paths["parse"])
+    forget(spark, paths.pop("places"))
     dictionary = landed(parse.groupBy("gram", "digest").agg(F.min("doc_id").alias("smallest")), "dictionary", paths["dictionary"])
     several = dictionary.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     marked = dictionary.join(several, "gram", "left").select("gram", "digest", "smallest", F.col("n").isNotNull().alias("several"))

@@ -133,6 +133,43 @@ def test_a_thousand_files_in_one_job(spark, tmp_path, plan):
     assert plan(found).count("FileScan") == 1
 
 
+def test_csv_set_of_a_large_file_is_split(spark, tmp_path):
+    large = "a,b\r\n" + "".join(f'{i},"t{i}, ""{i % 7}"""\r\n\r\n' for i in range(80000)) + "a,b\r\na,b\r\n"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = read_csv_set(spark, put(tmp_path, p_1=large, p_2="b,c,a\nx,y,7\n", p_3="a\n"), "p_", "b string, a string, missing int")
+        assert found.rdd.getNumPartitions() > 10  # a file was one task, and one array of all its records
+        assert found.where("b = concat('t', a, ', \"', try_cast(a AS int) % 7, '\"') AND missing IS NULL").count() == 80000
+        assert rows(found.where("b NOT LIKE 't%'")) == [("b", "a", None), ("b", "a", None), ("x", "7", None)]
+        by_name = read_csv_set(spark, str(tmp_path), "p_")
+        assert by_name.dtypes == [("a", "string"), ("b", "string"), ("c", "string")] and by_name.count() == 80003
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_set_of_large_files_with_breaks_in_cells(spark, tmp_path):
+    cell = "line\nbreak\r\nand\rthat, "
+    files = FILES | {
+        "p_6": 'a,"b\nc"\r\n' + "".join(f'{i},"{cell}{i}"\r\n' if i % 3 else f"{i},plain\r" for i in range(200)) + '"' + "long\n" * 1000 + '",x',  # over some blocks
+        "p_7": '\n\n"a",b\n1,"x\ny"\n\n2,"open\n3,z "q\n4,"u\n5,w\n',  # a quote too many
+        "p_8": "a,b\na,b\n1,2\na,b\n", "p_9": '\ufeff"a"\n"\ufeff\n"\n', "p_10": "\n\r\n",
+    }
+    schema = "a string, b string, `c, d` string, `b\nc` string, extra string"
+    path = put(tmp_path, **files)
+    expected, inferred = rows(read_csv_set(spark, path, "p_", schema)), read_csv_set(spark, path, "p_")
+    assert {("2", "open\n3,z "), ("4", None), ("u", None), ("5", "w")} <= {r[:2] for r in expected}
+    assert len(expected) == 216 and sum(r[3] == f"{cell}{r[0]}" for r in expected) == 133
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        assert rows(read_csv_set(spark, path, "p_", schema, whole_bytes=0)) == expected
+        split = read_csv_set(spark, path, "p_", whole_bytes=0, broadcast_bytes=0)
+        assert split.dtypes == inferred.dtypes and rows(split) == rows(inferred)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_without_open_quotes_is_split(spark, tmp_path):
     path = put(tmp_path / "plain", t="a,b\n" + "".join(f'{i},"q{i}"\n' for i in range(5000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
